@@ -6,7 +6,7 @@ against the pre-registered tables.
 
 from __future__ import annotations
 
-from tasteflow.plans.registry import TEST_GENRES
+from tasteflow.plans.registry import LIST_THRESHOLD, PAIR_THRESHOLD, TEST_GENRES
 
 RATINGS = """ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(l_partkey AS INTEGER) AS mid,
@@ -122,3 +122,77 @@ SELECT mid, array_to_string(list_sort(list_distinct(list(tag))), '|') AS tags FR
 SQL["items_with_tags"] = with_views(MOVIES, TAGS) + """
 , rollup AS (SELECT mid, array_to_string(list_sort(list_distinct(list(tag))), '|') AS tags FROM tags GROUP BY mid)
 SELECT m.*, r.tags FROM movies m LEFT JOIN rollup r USING (mid)"""
+
+
+def _pairs(threshold: float, name: str = "sim") -> str:
+    return f"""{name} AS (
+  SELECT a.id AS mid, b.id AS sim_mid, list_cosine_similarity(a.features, b.features) AS score
+  FROM factors a JOIN factors b ON a.id <> b.id
+  WHERE list_cosine_similarity(a.features, b.features) > {threshold})"""
+
+
+SQL["item_similarity"] = with_views(FACTORS, _pairs(PAIR_THRESHOLD)) + """
+SELECT mid, sim_mid, round(score, 6) AS score FROM sim"""
+
+SQL["similar_items_list"] = with_views(FACTORS, _pairs(LIST_THRESHOLD)) + """
+SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, sim_mid) AS INTEGER) AS "rank",
+       sim_mid, round(score, 6) AS score FROM sim"""
+
+SQL["factor_topk"] = with_views(FACTORS, MOVIES) + """
+, items AS (SELECT * FROM factors WHERE id IN (SELECT mid FROM movies))
+, scored AS (
+  SELECT u.id AS uid, i.id AS mid, list_dot_product(u.features, i.features) AS score
+  FROM factors u CROSS JOIN items i)
+, ranked AS (
+  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS rn
+  FROM scored WHERE score > 0)
+SELECT uid, CAST(rn AS INTEGER) AS "rank", mid, round(score, 6) AS score FROM ranked WHERE rn <= 10"""
+
+RECENT = """recent AS (
+  SELECT uid, CAST(rn AS INTEGER) AS rn, mid, score FROM (
+    SELECT uid, mid, score,
+           row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS rn
+    FROM ratings) WHERE rn <= 10)"""
+
+LAST_EVENT = """last_event AS (
+  SELECT uid, mid, score, "timestamp" FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS rn
+    FROM ratings) WHERE rn = 1)"""
+
+CANDIDATES = """cand AS (
+  SELECT uid, CAST(rk AS INTEGER) AS "rank", mid, sim FROM (
+    SELECT e.uid, s.sim_mid AS mid, s.score AS sim,
+           row_number() OVER (PARTITION BY e.uid ORDER BY s.score DESC, s.sim_mid) AS rk
+    FROM last_event e JOIN sim s ON s.mid = e.mid
+    WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.uid = e.uid AND r.mid = s.sim_mid))
+  WHERE rk <= 10)"""
+
+SCORES = f"""scores AS (
+  SELECT c.uid, c.mid,
+         avg(s.score * r.score) + log2(greatest(count(*) FILTER (WHERE r.score > 3), 1))
+           - log2(greatest(count(*) FILTER (WHERE r.score <= 3), 1)) AS score
+  FROM cand c JOIN recent r ON r.uid = c.uid
+  JOIN sim s ON s.mid = c.mid AND s.sim_mid = r.mid
+  WHERE s.score > {PAIR_THRESHOLD}
+  GROUP BY c.uid, c.mid)"""
+
+SQL["recent_ratings"] = with_views(RATINGS, RECENT) + """
+SELECT * FROM recent"""
+
+SQL["last_events"] = with_views(RATINGS, LAST_EVENT) + """
+SELECT * FROM last_event"""
+
+SQL["unseen_candidates"] = with_views(RATINGS, FACTORS, _pairs(PAIR_THRESHOLD), LAST_EVENT, CANDIDATES) + """
+SELECT uid, "rank", mid, round(sim, 6) AS sim FROM cand"""
+
+SQL["realtime_scores"] = with_views(RATINGS, FACTORS, _pairs(PAIR_THRESHOLD), LAST_EVENT, CANDIDATES, RECENT, SCORES) + """
+SELECT uid, mid, round(score, 6) AS score FROM scores"""
+
+SQL["realtime_lists"] = with_views(RATINGS, FACTORS, _pairs(PAIR_THRESHOLD), LAST_EVENT, CANDIDATES, RECENT, SCORES) + """
+SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS "rank",
+       mid, round(score, 6) AS score FROM scores"""
+
+SQL["rmse"] = with_views(RATINGS, AVERAGES) + """
+, predicted AS (SELECT r.uid, r.mid, a.avg_score AS prediction FROM ratings r JOIN averages a USING (mid))
+SELECT round(sqrt(avg(power(t.score - p.prediction, 2))), 6) AS rmse
+FROM ratings t JOIN predicted p USING (uid, mid)"""

