@@ -196,3 +196,18 @@ SQL["rmse"] = with_views(RATINGS, AVERAGES) + """
 , predicted AS (SELECT r.uid, r.mid, a.avg_score AS prediction FROM ratings r JOIN averages a USING (mid))
 SELECT round(sqrt(avg(power(t.score - p.prediction, 2))), 6) AS rmse
 FROM ratings t JOIN predicted p USING (uid, mid)"""
+
+SQL["log_filter_stream"] = with_views(RATINGS) + f"""
+SELECT 'logProcessor' AS key, {RATING_LINES.replace("concat_ws(',',", "concat_ws('|',")} AS value FROM ratings"""
+
+SQL["rating_event_stream"] = SQL["ratings_parsed"]
+
+SQL["realtime_stream_upsert"] = SQL["realtime_lists"]
+
+SQL["stream_list_string"] = with_views(RATINGS, FACTORS, _pairs(PAIR_THRESHOLD), LAST_EVENT, CANDIDATES, RECENT, SCORES) + """
+SELECT e.uid, coalesce(string_agg(CAST(s.mid AS VARCHAR) || ':' || printf('%.6f', round(s.score, 6)), '|'
+                                  ORDER BY s.score DESC, s.mid), '') AS recs
+FROM last_event e LEFT JOIN scores s ON s.uid = e.uid
+GROUP BY e.uid"""
+
+SQL["genre_lists_roundtrip"] = SQL["genre_top10"]

@@ -11,10 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteflow.operators import catalog, evaluation, realtime, similarity, stats
+from tasteflow.functions.lists import format_recs, lists_to_ranked, ranked_to_lists
+from tasteflow.operators import als, catalog, evaluation, realtime, similarity, stats
+from tasteflow.schemas import GENRE_RECS
 from tasteflow.session import scratch_dir
 from tasteflow.sources import adapters, compose
+from tasteflow.sources.tables import TableStore
 from tasteflow.sources.text import parse_movies, parse_ratings, parse_tags, read_lines
+from tasteflow.streaming.logs import start_event_parser, start_log_forwarder
+from tasteflow.streaming.recommender import RealtimeRecommender
+from tasteflow.streaming.sink import KeyedTable
 
 # Genre words of the test catalogue (mixed case; 'old' is also inside 'cold').
 TEST_GENRES = ["old", "small", "red", "PROMO", "widget", "Ring", "economy"]
@@ -173,6 +179,114 @@ def rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.rmse(ratings, predicted).select(r6("rmse"))
 
 
+# ---- step 8: ALS (no SQL oracle: checked by row counts and property tests) --
+
+SEED = 42
+ITEM_LIST_THRESHOLD = 0.7
+_MODELS: dict = {}
+
+
+def _als_model(spark: SparkSession, sf_dir: str):
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = als.fit_als(adapters.ratings_view(spark, sf_dir), seed=SEED)
+    return _MODELS[key]
+
+
+def als_user_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _als_model(spark, sf_dir)
+    ratings, movies = adapters.ratings_view(spark, sf_dir), adapters.movies_view(spark, sf_dir)
+    return als.user_top_k(model, ratings, movies, k=10).select("uid", "rank", "mid", r6("score"))
+
+
+def als_item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = als.item_similarity(_als_model(spark, sf_dir), threshold=ITEM_LIST_THRESHOLD)
+    return similarity.rank_similar(pairs).select("mid", "rank", "sim_mid", r6("score"))
+
+
+def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = als.holdout_split(adapters.ratings_view(spark, sf_dir), seed=SEED)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = als.holdout_split(adapters.ratings_view(spark, sf_dir), seed=SEED)
+    grid = als.tune_grid(train, test, seed=SEED, parallelism=3)
+    return grid.select("rank", "reg_param", r6("rmse"))
+
+
+# ---- step 9: streaming (file source, availableNow, result read back) --------
+
+STREAM_FILES = 8
+
+
+def _land_lines(spark: SparkSession, lines: DataFrame, label: str) -> str:
+    """Composed lines as STREAM_FILES text files, range-split in event-time order."""
+    path = scratch_dir(spark, label)
+    compose.write_lines(lines, path, partitions=STREAM_FILES, order_by="event_time")
+    return path
+
+
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = adapters.ratings_view(spark, sf_dir)
+    tags = adapters.tags_view(spark, sf_dir)
+    return compose.rating_log_lines(ratings).unionByName(compose.activity_log_lines(tags))
+
+
+def log_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _land_lines(spark, _log_lines(spark, sf_dir), "log-lines")
+    sink, ckpt = scratch_dir(spark, "forwarded"), scratch_dir(spark, "forwarded-ckpt")
+    query = start_log_forwarder(spark, source, sink, ckpt, trigger={"availableNow": True}, max_files_per_trigger=2)
+    query.awaitTermination()
+    return spark.read.parquet(sink).select("key", "value")
+
+
+def rating_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _land_lines(spark, _log_lines(spark, sf_dir), "log-lines")
+    sink, ckpt = scratch_dir(spark, "events"), scratch_dir(spark, "events-ckpt")
+    query = start_event_parser(spark, source, sink, ckpt, trigger={"availableNow": True}, max_files_per_trigger=2)
+    query.awaitTermination()
+    return spark.read.parquet(sink).select("uid", "mid", "score", "timestamp")
+
+
+def _run_realtime_stream(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    ratings, sims = _realtime_inputs(spark, sf_dir)
+    source = _land_lines(spark, compose.rating_event_lines(ratings), "rating-events")
+    table = KeyedTable(scratch_dir(spark, "stream-recs"), key="uid", n_buckets=16)
+    job = RealtimeRecommender(sims, ratings, table, min_sim=PAIR_THRESHOLD)
+    query = job.start(spark, source, scratch_dir(spark, "stream-recs-ckpt"), trigger={"availableNow": True}, max_files_per_trigger=2)
+    query.awaitTermination()
+    return table
+
+
+def realtime_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating events streamed through the real-time job; the upserted table, flattened."""
+    table = _run_realtime_stream(spark, sf_dir)
+    return lists_to_ranked(table.read(spark), "uid").select("uid", "rank", "mid", r6("score"))
+
+
+def stream_list_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upserted lists in their string form ``mid:score|...`` (empty list -> '')."""
+    table = _run_realtime_stream(spark, sf_dir)
+    lists = table.read(spark)
+    rounded = F.transform("recs", lambda x: F.struct(x["mid"].alias("mid"), F.round(x["score"], DIGITS).alias("score")))
+    return lists.select("uid", format_recs(rounded, decimals=DIGITS).alias("recs"))
+
+
+# ---- step 10: sinks ---------------------------------------------------------
+
+def genre_lists_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genre top-10 stored as (genres, recs array) through the table writer, read back."""
+    ranked = genre_top10(spark, sf_dir)
+    lists = ranked_to_lists(ranked, "genre", score="avg_score").withColumnRenamed("genre", "genres")
+    store = TableStore(root=scratch_dir(spark, "tables"))
+    store.write(lists, "genres_top_movies")
+    back = store.read(spark, "genres_top_movies", GENRE_RECS)
+    return lists_to_ranked(back, "genres").select(
+        F.col("genres").alias("genre"), "rank", "mid", F.col("score").alias("avg_score")
+    )
+
+
 QUERIES = {
     "average_scores": average_scores,
     "genre_top10": genre_top10,
@@ -195,4 +309,13 @@ QUERIES = {
     "realtime_scores": realtime_scores,
     "realtime_lists": realtime_lists,
     "rmse": rmse,
+    "als_user_lists": als_user_lists,
+    "als_item_lists": als_item_lists,
+    "holdout_split": holdout_split,
+    "als_grid": als_grid,
+    "log_filter_stream": log_filter_stream,
+    "rating_event_stream": rating_event_stream,
+    "realtime_stream_upsert": realtime_stream_upsert,
+    "stream_list_string": stream_list_string,
+    "genre_lists_roundtrip": genre_lists_roundtrip,
 }

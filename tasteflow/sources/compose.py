@@ -31,6 +31,14 @@ def tag_lines(tags: DataFrame, sep: str = ",") -> DataFrame:
     return tags.select(F.concat_ws(sep, *[_text(c) for c in ("uid", "mid", "tag", "timestamp")]).alias("value"))
 
 
+def rating_event_lines(ratings: DataFrame, sep: str = "|") -> DataFrame:
+    """Rating events ``uid|mid|score|timestamp`` with their event time."""
+    return ratings.select(
+        F.concat_ws(sep, *[_text(c) for c in ("uid", "mid", "score", "timestamp")]).alias("value"),
+        F.col("timestamp").alias("event_time"),
+    )
+
+
 def rating_log_lines(ratings: DataFrame, marker: str = RATING_LOG_MARKER) -> DataFrame:
     """Application log lines carrying a rating payload after the marker."""
     payload = F.concat_ws("|", *[_text(c) for c in ("uid", "mid", "score", "timestamp")])
