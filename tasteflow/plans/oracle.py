@@ -211,3 +211,7 @@ FROM last_event e LEFT JOIN scores s ON s.uid = e.uid
 GROUP BY e.uid"""
 
 SQL["genre_lists_roundtrip"] = SQL["genre_top10"]
+
+SQL["loaded_ratings"] = SQL["ratings_parsed"]
+SQL["rating_counts_sql"] = SQL["rating_counts"]
+SQL["monthly_counts_sql"] = SQL["monthly_counts"]

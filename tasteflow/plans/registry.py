@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tasteflow.functions.lists import format_recs, lists_to_ranked, ranked_to_lists
 from tasteflow.operators import als, catalog, evaluation, realtime, similarity, stats
+from tasteflow.plans import loader, statistics
 from tasteflow.schemas import GENRE_RECS
 from tasteflow.session import scratch_dir
 from tasteflow.sources import adapters, compose
@@ -287,6 +288,32 @@ def genre_lists_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def loaded_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load job end to end: three text inputs -> stored tables; the rating table read back."""
+    inputs = scratch_dir(spark, "text-inputs")
+    compose.write_lines(compose.movie_lines(adapters.movies_view(spark, sf_dir)), f"{inputs}/movies")
+    compose.write_lines(compose.rating_lines(adapters.ratings_view(spark, sf_dir)), f"{inputs}/ratings")
+    compose.write_lines(compose.tag_lines(adapters.tags_view(spark, sf_dir)), f"{inputs}/tags")
+    store = TableStore(root=scratch_dir(spark, "loaded"))
+    loaded = loader.load_text_inputs(
+        spark, f"{inputs}/movies", f"{inputs}/ratings", f"{inputs}/tags", store, rating_buckets=16
+    )
+    return loaded.ratings
+
+
+def _sql_statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    statistics.register_views(adapters.ratings_view(spark, sf_dir))
+    return statistics.sql_statistics(spark)[name]
+
+
+def rating_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql_statistic(spark, sf_dir, statistics.RATE_MORE)
+
+
+def monthly_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql_statistic(spark, sf_dir, statistics.RATE_MORE_RECENTLY)
+
+
 QUERIES = {
     "average_scores": average_scores,
     "genre_top10": genre_top10,
@@ -318,4 +345,7 @@ QUERIES = {
     "realtime_stream_upsert": realtime_stream_upsert,
     "stream_list_string": stream_list_string,
     "genre_lists_roundtrip": genre_lists_roundtrip,
+    "loaded_ratings": loaded_ratings,
+    "rating_counts_sql": rating_counts_sql,
+    "monthly_counts_sql": monthly_counts_sql,
 }
