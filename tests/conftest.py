@@ -1,0 +1,41 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from tasteflow.session import DEFAULT_CONF
+
+    builder = SparkSession.builder.master("local[4]").appName("tasteflow-tests")
+    for k, v in DEFAULT_CONF.items():
+        builder = builder.config(k, v)
+    builder = builder.config("spark.sql.shuffle.partitions", "8")
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    # tests own their checkpoint folder (the setting is read from the session elsewhere)
+    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tasteflow-test-ckpt-"))
+    yield session
+    session.stop()
+
+
+@pytest.fixture()
+def tmp_dir():
+    return tempfile.mkdtemp(prefix="tasteflow-test-")
+
+
+def rows(df, *cols):
+    """Sorted list of tuples for exact comparisons."""
+    cols = cols or df.columns
+    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

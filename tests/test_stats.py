@@ -1,0 +1,71 @@
+"""Statistics operators on hand-made rows."""
+
+from pyspark.sql import functions as F
+
+from tasteflow.operators import catalog, stats
+from tasteflow.schemas import MOVIE, RATING, TAG
+from tasteflow.functions.time import year_month
+from conftest import rows
+
+
+def movie(mid, genres):
+    return (mid, f"m{mid}", "", "", "", "", "", genres, "", "")
+
+
+def test_month_key_is_utc(spark):
+    df = spark.createDataFrame([(1260759144,), (0,), (1262304000 - 1,)], "t long")
+    assert [r[0] for r in df.select(year_month("t")).collect()] == ["200912", "197001", "200912"]
+
+
+def test_rating_counts_order_by_mid_desc(spark):
+    r = spark.createDataFrame([(1, 5, 4.0, 1), (2, 5, 3.0, 1), (1, 9, 1.0, 1)], RATING)
+    assert [tuple(x) for x in stats.rating_counts(r).collect()] == [(9, 1), (5, 2)]
+    assert [tuple(x) for x in stats.rating_counts(r, order_by="count").collect()] == [(5, 2), (9, 1)]
+
+
+def test_monthly_counts(spark):
+    r = spark.createDataFrame([(1, 5, 4.0, 1260759144), (2, 5, 3.0, 1260759000), (1, 6, 1.0, 0)], RATING)
+    assert [tuple(x) for x in stats.monthly_counts(r).collect()] == [("200912", 5, 2), ("197001", 6, 1)]
+
+
+def test_genre_top_k_substring_case_and_ties(spark):
+    movies = spark.createDataFrame(
+        [movie(1, "Cold|Drama"), movie(2, "old"), movie(3, "GOLD"), movie(4, None), movie(5, "Old")], MOVIE
+    )
+    ratings = spark.createDataFrame(
+        [(1, 1, 4.0, 0), (1, 2, 4.0, 0), (1, 3, 5.0, 0), (1, 4, 5.0, 0), (1, 5, 1.0, 0)], RATING
+    )
+    top = stats.genre_top_k(movies, stats.average_scores(ratings), ["old"], k=3)
+    # substring: cold, old, gold and Old all match; null genres never match; ties by mid
+    assert rows(top, "genre", "rank", "mid") == [("old", 1, 3), ("old", 2, 1), ("old", 3, 2)]
+    token = stats.genre_top_k(movies, stats.average_scores(ratings), ["old"], k=3, match="token")
+    assert rows(token, "rank", "mid") == [(1, 2), (2, 5)]
+
+
+def test_genre_top_k_plan_limits_before_shuffle(spark):
+    movies = spark.createDataFrame([movie(1, "a|b")], MOVIE)
+    ratings = spark.createDataFrame([(1, 1, 4.0, 0)], RATING)
+    plan = stats.genre_top_k(movies, stats.average_scores(ratings), ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "BroadcastNestedLoopJoin" in plan
+
+
+def test_distinct_genres_and_users(spark):
+    movies = spark.createDataFrame([movie(1, "a|b|"), movie(2, "b|c")], MOVIE)
+    assert rows(stats.distinct_genres(movies)) == [("a",), ("b",), ("c",)]
+    r = spark.createDataFrame([(1, 5, 4.0, 1), (1, 6, 3.0, 1), (2, 6, 3.0, 1)], RATING)
+    assert rows(stats.distinct_users(r)) == [(1,), (2,)]
+
+
+def test_tag_rollup_sorted_distinct_and_left_join(spark):
+    tags = spark.createDataFrame([(1, 10, "b", 0), (2, 10, "a", 0), (3, 10, "b", 0)], TAG)
+    roll = catalog.tags_by_item(tags)
+    assert rows(roll) == [(10, "a|b")]
+    movies = spark.createDataFrame([movie(10, "x"), movie(11, "y")], MOVIE)
+    joined = catalog.items_with_tags(movies, roll)
+    assert rows(joined, "mid", "tags") == [(10, "a|b"), (11, None)]
+
+
+def test_average_scores(spark):
+    r = spark.createDataFrame([(1, 5, 4.0, 1), (2, 5, 3.0, 1)], RATING)
+    assert rows(stats.average_scores(r)) == [(5, 3.5)]
+    assert F is not None
