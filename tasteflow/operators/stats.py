@@ -74,8 +74,8 @@ def genre_top_k(
     Returns ranked rows ``(genre, rank, mid, avg_score)``.
     """
     genres = list(DEFAULT_GENRES if genres is None else genres)
-    spark = movies.sparkSession
-    genre_df = spark.createDataFrame([(g,) for g in genres], "genre string")
+    # the list becomes a literal array in the plan: a local relation, no Python-side data
+    genre_df = movies.sparkSession.range(1).select(F.explode(F.array(*[F.lit(g) for g in genres])).alias("genre"))
     if len(genres) <= MAX_BROADCAST_GENRES:
         genre_df = F.broadcast(genre_df)
     scored = movies.select("mid", "genres").join(averages.select("mid", "avg_score"), "mid")

@@ -7,9 +7,10 @@ similar candidates -> score against the user's recent ratings -> one
 list per user of the batch (empty when nothing scored) -> replace-by-key
 upsert into the suggestions table.
 
-The similarity table and the recent-ratings table are snapshots taken
-once at start, like the original job's broadcast map; they are
-checkpointed into the shared folder, so losing an executor never
+The similarity table, the recent-ratings table and the rated set are
+snapshots taken once at start, like the original job's broadcast map.
+They are written as bucketed tables in the shared folder: each micro-batch
+joins against them without shuffling them, and losing an executor never
 recomputes them from the raw tables.  Nothing is collected to the driver.
 """
 
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators import realtime
+from tasteflow.session import scratch_dir
+from tasteflow.sources.tables import bucketed_snapshot
 from tasteflow.sources.text import parse_rating_events
 from tasteflow.streaming.logs import read_line_stream
 from tasteflow.streaming.sink import KeyedTable
@@ -39,15 +42,29 @@ class RealtimeRecommender:
         min_sim: float = MIN_SIM,
         boost_above: float = BOOST_ABOVE,
         snapshot: bool = True,
+        snapshot_buckets: int | None = None,
     ):
         sims = similarity.select("mid", "sim_mid", "score")
         recent = realtime.recent_ratings(ratings, k=recent_k)
+        rated = ratings.select("uid", "mid")
+        self.snapshot = snapshot
         if snapshot:
-            sims = sims.repartition("mid").checkpoint(eager=True)
-            recent = recent.repartition("uid").checkpoint(eager=True)
-        self.similarity = sims
-        self.recent = recent
-        self.ratings = ratings.select("uid", "mid")
+            # each snapshot is bucketed on exactly the keys it is joined on, so a
+            # micro-batch reads it in place and shuffles only its own (small) side
+            spark = ratings.sparkSession
+            n = snapshot_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+            def snap(df, keys, label):
+                return bucketed_snapshot(df, keys, n, scratch_dir(spark, label), label)
+
+            self.sims_by_item = snap(sims, ["mid"], "sims_by_item")
+            # re-bucket from the written copy: the similarity kernel runs once
+            self.sims_by_pair = snap(self.sims_by_item, ["mid", "sim_mid"], "sims_by_pair")
+            self.recent = snap(recent, ["uid"], "recent")
+            self.rated = snap(rated, ["uid", "mid"], "rated")
+        else:
+            self.sims_by_item = self.sims_by_pair = sims
+            self.recent, self.rated = recent, rated
         self.table = table
         self.candidate_k = candidate_k
         self.min_sim = min_sim
@@ -56,22 +73,21 @@ class RealtimeRecommender:
     def lists_for(self, events: DataFrame) -> DataFrame:
         """(uid, recs, event_time, event_mid, event_score) for the newest event of each user."""
         last = realtime.last_event_per_user(events)
-        cand = realtime.unseen_candidates(last, self.similarity, self.ratings, k=self.candidate_k)
-        scores = realtime.realtime_scores(cand, self.recent, self.similarity, self.min_sim, self.boost_above)
-        lists = realtime.user_lists(last, scores)
-        return lists.join(
-            last.select(
-                "uid",
-                F.col("timestamp").alias("event_time"),
-                F.col("mid").alias("event_mid"),
-                F.col("score").alias("event_score"),
-            ),
+        cand = realtime.unseen_candidates(
+            last, self.sims_by_item, self.rated, k=self.candidate_k, prefilter=not self.snapshot
+        )
+        scores = realtime.realtime_scores(cand, self.recent, self.sims_by_pair, self.min_sim, self.boost_above)
+        users = last.select(
             "uid",
+            F.col("timestamp").alias("event_time"),
+            F.col("mid").alias("event_mid"),
+            F.col("score").alias("event_score"),
         )
+        return realtime.user_lists(users, scores, distinct_users=False)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         events = parse_rating_events(batch.select("value")).rows
-        self.table.upsert(self.lists_for(events))
+        self.table.upsert(self.lists_for(events), unique_keys=True)
 
     def start(
         self,

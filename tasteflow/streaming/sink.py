@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteflow.operators.topk import newest_per_key
+from tasteflow.operators.topk import top_k_per_key
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -29,6 +29,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def newest_in_batch(rows: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
+    """One row per key: the greatest ``order_cols`` (a top-1 window, limited before its shuffle)."""
+    return top_k_per_key(rows, key, [F.desc(c) for c in order_cols], 1, rank_col="_rn").drop("_rn")
+
+
 class KeyedTable:
     def __init__(
         self,
@@ -45,20 +50,35 @@ class KeyedTable:
     def bucket_of(self, col: str) -> F.Column:
         return F.pmod(F.xxhash64(F.col(col)), F.lit(self.n_buckets)).cast("int")
 
+    def _merge(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """Full outer join on the key: take the new row unless the old one is strictly newer."""
+        o, n = old.alias("o"), new.alias("n")
+        joined = o.join(n, F.col(f"o.{self.key}") == F.col(f"n.{self.key}"), "full_outer")
+        old_order = F.struct(*[F.col(f"o.{c}") for c in self.order_cols])
+        new_order = F.struct(*[F.col(f"n.{c}") for c in self.order_cols])
+        take_new = F.col(f"o.{self.key}").isNull() | (F.col(f"n.{self.key}").isNotNull() & (new_order >= old_order))
+        return joined.select(*[F.when(take_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in new.columns])
+
     def exists(self, spark: SparkSession) -> bool:
         return path_exists(spark, self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("bucket")
 
-    def upsert(self, rows: DataFrame) -> None:
+    def upsert(self, rows: DataFrame, unique_keys: bool = False) -> None:
+        """Merge ``rows`` into the table; per key the row with the greater ``order_cols`` stays.
+
+        ``unique_keys=True`` skips the in-batch de-duplication when the
+        caller already produces one row per key.
+        """
         spark = rows.sparkSession
-        new = newest_per_key(rows, self.key, self.order_cols).withColumn("bucket", self.bucket_of(self.key))
+        new = rows if unique_keys else newest_in_batch(rows, self.key, self.order_cols)
+        new = new.withColumn("bucket", self.bucket_of(self.key))
         if self.exists(spark):
             touched = new.select("bucket").distinct()
             # the partition filter comes from a semi-join on the partition column (dynamic pruning)
             old = spark.read.parquet(self.path).join(touched, "bucket", "left_semi")
-            merged = newest_per_key(old.unionByName(new), [self.key, "bucket"], self.order_cols)
+            merged = self._merge(old.select(*new.columns), new)
         else:
             merged = new
         (
