@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def top_k_per_key(
@@ -39,3 +40,69 @@ def newest_per_key(df: DataFrame, keys: str | Sequence[str], order_cols: Sequenc
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     packed = F.max(F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in rest])).alias("_newest")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in list(order_cols) + rest])
+
+
+def _local_numbers(key: str, rank_col: str):
+    """Number rows 1..n per run of equal keys inside one sorted partition (Arrow batches)."""
+    import pandas as pd
+    from pyspark import TaskContext
+
+    def number(batches):
+        pid = TaskContext.get().partitionId()
+        prev_key, prev_n, have_prev = None, 0, False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf[key]
+            shifted = k.shift()
+            starts = (k != shifted) & ~(k.isna() & shifted.isna())
+            starts.iloc[0] = True
+            group = starts.cumsum()
+            n = pdf.groupby(group).cumcount().astype("int64") + 1
+            first = k.iloc[0]
+            same_as_prev = have_prev and ((pd.isna(first) and pd.isna(prev_key)) or first == prev_key)
+            if same_as_prev:  # the batch continues the previous batch's key
+                n = n + (group == group.iloc[0]).astype("int64") * prev_n
+            prev_key, prev_n, have_prev = k.iloc[-1], int(n.iloc[-1]), True
+            yield pdf.assign(**{rank_col: n.to_numpy(), "_pid": pid})
+
+    return number
+
+
+def rank_within_key(
+    df: DataFrame,
+    key: str,
+    order: Sequence[Column],
+    rank_col: str = "rank",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Exact 1-based rank per key under a total ``order``, for groups of any size.
+
+    A window would send every row of a key to one task.  Here the rows are
+    range-partitioned on (key, order), so a hot key spreads over many
+    partitions; each partition numbers its rows per key locally (Arrow
+    batches, already sorted), and keys that straddle partition boundaries get
+    the row counts of the earlier partitions added.  Only boundary keys need
+    an offset: at most two per partition, so the offset table has at most
+    2 * partitions rows and is broadcast by construction.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(key).asc_nulls_first(), *order]
+    ordered = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    schema = T.StructType(
+        list(ordered.schema.fields) + [T.StructField(rank_col, T.LongType()), T.StructField("_pid", T.IntegerType())]
+    )
+    numbered = ordered.mapInPandas(_local_numbers(key, rank_col), schema)
+
+    counts = numbered.groupBy("_pid", key).agg(F.max(rank_col).alias("_cnt"))
+    spread = Window.partitionBy(key)
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        counts.withColumn("_parts", F.count("*").over(spread))
+        .where(F.col("_parts") > 1)
+        .select("_pid", key, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
+    )
+    joined = numbered.join(F.broadcast(offsets), ["_pid", key], "left")
+    ranked = joined.withColumn(rank_col, F.col(rank_col) + F.coalesce("_offset", F.lit(0)))
+    return ranked.drop("_pid", "_offset")

@@ -69,3 +69,20 @@ def test_average_scores(spark):
     r = spark.createDataFrame([(1, 5, 4.0, 1), (2, 5, 3.0, 1)], RATING)
     assert rows(stats.average_scores(r)) == [(5, 3.5)]
     assert F is not None
+
+
+def test_rank_within_key_matches_window_on_skewed_keys(spark):
+    from pyspark.sql import Window
+
+    from tasteflow.operators.topk import rank_within_key
+
+    # key 7 holds most rows, so it straddles many range partitions
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(7)).otherwise((F.col("id") % 13).cast("int")).alias("k"),
+        ((F.col("id") * 7919) % 101).cast("double").alias("s"),
+        F.col("id").cast("int").alias("v"),
+    )
+    order = [F.desc("s"), F.asc("v")]
+    got = rows(rank_within_key(df, "k", order, partitions=9), "k", "v", "rank")
+    want = rows(df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order))), "k", "v", "rank")
+    assert got == want
