@@ -43,6 +43,7 @@ class RealtimeRecommender:
         boost_above: float = BOOST_ABOVE,
         snapshot: bool = True,
         snapshot_buckets: int | None = None,
+        append_ratings_to: str | None = None,
     ):
         sims = similarity.select("mid", "sim_mid", "score")
         recent = realtime.recent_ratings(ratings, k=recent_k)
@@ -66,6 +67,7 @@ class RealtimeRecommender:
             self.sims_by_item = self.sims_by_pair = sims
             self.recent, self.rated = recent, rated
         self.table = table
+        self.append_ratings_to = append_ratings_to
         self.candidate_k = candidate_k
         self.min_sim = min_sim
         self.boost_above = boost_above
@@ -87,7 +89,13 @@ class RealtimeRecommender:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         events = parse_rating_events(batch.select("value")).rows
+        if self.append_ratings_to:
+            # optional: keep the incoming ratings; one folder per batch id, so a replay overwrites it
+            events.persist()
+            events.write.mode("overwrite").parquet(f"{self.append_ratings_to.rstrip('/')}/batch_id={batch_id}")
         self.table.upsert(self.lists_for(events), unique_keys=True)
+        if self.append_ratings_to:
+            events.unpersist()
 
     def start(
         self,
