@@ -83,7 +83,10 @@ def genre_top_k(
         hits = scored.join(genre_df, F.lower(scored["genres"]).contains(F.lower(genre_df["genre"])))
         hits = hits.select("genre", "mid", "avg_score")
     elif match == "token":
-        tokens = genre_tokens(scored.select("mid", "genres")).select(F.lower("genre").alias("token"), "mid")
+        # one row per (movie, distinct lower-cased token): a word listed twice must not count twice
+        tokens = scored.select(
+            "mid", F.explode(F.array_distinct(split_literal(F.lower("genres"), "|"))).alias("token")
+        ).where(F.col("token") != "")
         keyed = genre_df.select("genre", F.lower("genre").alias("token"))
         hits = tokens.join(keyed, "token").join(scored.select("mid", "avg_score"), "mid")
         hits = hits.select("genre", "mid", "avg_score")

@@ -215,3 +215,9 @@ SQL["genre_lists_roundtrip"] = SQL["genre_top10"]
 SQL["loaded_ratings"] = SQL["ratings_parsed"]
 SQL["rating_counts_sql"] = SQL["rating_counts"]
 SQL["monthly_counts_sql"] = SQL["monthly_counts"]
+
+SQL["genre_top10_token"] = SQL["genre_top10"].replace(
+    "JOIN genre_list g ON contains(lower(m.genres), lower(g.genre))",
+    "JOIN genre_list g ON list_contains(string_split(lower(m.genres), '|'), lower(g.genre))",
+)
+SQL["movie_index_roundtrip"] = SQL["items_with_tags"]

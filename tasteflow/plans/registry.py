@@ -48,6 +48,14 @@ def genre_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("genre", "rank", "mid", r6("avg_score"))
 
 
+def genre_top10_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same ranking with whole-token genre matching ('old' no longer hits 'cold')."""
+    ratings = adapters.ratings_view(spark, sf_dir)
+    movies = adapters.movies_view(spark, sf_dir)
+    top = stats.genre_top_k(movies, stats.average_scores(ratings), TEST_GENRES, k=10, match="token")
+    return top.select("genre", "rank", "mid", r6("avg_score"))
+
+
 def rating_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.rating_counts(adapters.ratings_view(spark, sf_dir))
 
@@ -196,8 +204,7 @@ def _als_model(spark: SparkSession, sf_dir: str):
 
 def als_user_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _als_model(spark, sf_dir)
-    ratings, movies = adapters.ratings_view(spark, sf_dir), adapters.movies_view(spark, sf_dir)
-    return als.user_top_k(model, ratings, movies, k=10).select("uid", "rank", "mid", r6("score"))
+    return als.user_top_k(model, adapters.movies_view(spark, sf_dir), k=10).select("uid", "rank", "mid", r6("score"))
 
 
 def als_item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,6 +308,13 @@ def loaded_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.ratings
 
 
+def movie_index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movies with rolled-up tags written as the keyed index table, read back."""
+    store = TableStore(root=scratch_dir(spark, "index"))
+    loader.write_movie_index(adapters.movies_view(spark, sf_dir), adapters.tags_view(spark, sf_dir), store)
+    return store.read(spark, loader.INDEX_TABLE)
+
+
 def _sql_statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     statistics.register_views(adapters.ratings_view(spark, sf_dir))
     return statistics.sql_statistics(spark)[name]
@@ -317,6 +331,7 @@ def monthly_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "average_scores": average_scores,
     "genre_top10": genre_top10,
+    "genre_top10_token": genre_top10_token,
     "rating_counts": rating_counts,
     "monthly_counts": monthly_counts,
     "distinct_genres": distinct_genres,
@@ -346,6 +361,7 @@ QUERIES = {
     "stream_list_string": stream_list_string,
     "genre_lists_roundtrip": genre_lists_roundtrip,
     "loaded_ratings": loaded_ratings,
+    "movie_index_roundtrip": movie_index_roundtrip,
     "rating_counts_sql": rating_counts_sql,
     "monthly_counts_sql": monthly_counts_sql,
 }

@@ -30,7 +30,7 @@ def test_user_lists_properties(spark):
     sf = "/root/testdata/sf0.001"
     ratings, movies = adapters.ratings_view(spark, sf), adapters.movies_view(spark, sf)
     model = als.fit_als(ratings, rank=8, max_iter=3, seed=5)
-    top = als.user_top_k(model, ratings, movies, k=10).collect()
+    top = als.user_top_k(model, movies, k=10).collect()
     by_user = {}
     for r in top:
         by_user.setdefault(r.uid, []).append((r.rank, r.mid, r.score))

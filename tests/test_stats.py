@@ -30,7 +30,7 @@ def test_monthly_counts(spark):
 
 def test_genre_top_k_substring_case_and_ties(spark):
     movies = spark.createDataFrame(
-        [movie(1, "Cold|Drama"), movie(2, "old"), movie(3, "GOLD"), movie(4, None), movie(5, "Old")], MOVIE
+        [movie(1, "Cold|Drama"), movie(2, "old"), movie(3, "GOLD"), movie(4, None), movie(5, "Old|old")], MOVIE
     )
     ratings = spark.createDataFrame(
         [(1, 1, 4.0, 0), (1, 2, 4.0, 0), (1, 3, 5.0, 0), (1, 4, 5.0, 0), (1, 5, 1.0, 0)], RATING
