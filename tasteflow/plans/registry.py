@@ -145,8 +145,13 @@ def factor_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- step 6: real-time scoring as a batch over every user's last rating ---
 
 def _realtime_inputs(spark: SparkSession, sf_dir: str):
+    """Ratings and the similarity table; the table is computed once and checkpointed.
+
+    It feeds two joins (candidates, pair lookups), as the stored similarity
+    table of the offline job would; without the cut the kernel would run twice.
+    """
     ratings = adapters.ratings_view(spark, sf_dir)
-    sims = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD)
+    sims = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD).checkpoint()
     return ratings, sims
 
 
