@@ -32,9 +32,11 @@ def top_k_per_key(
 def newest_per_key(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order_cols`` tuple per key, as one aggregate.
 
-    ``max(struct(...))`` compares fields left to right, so this is a plain
-    hash aggregate with map-side partial merging: no sort, no window, and
-    a hot key is reduced in every map task before the shuffle.
+    ``max(struct(...))`` compares fields left to right.  Spark runs it as a
+    sort-based aggregate (struct buffers are not hash-aggregable) with a
+    partial step in every map task, so a hot key is reduced to one row per
+    task before the shuffle.  Measured faster than a top-1 window, with and
+    without a key holding a third of the rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order_cols]

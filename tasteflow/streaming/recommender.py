@@ -44,10 +44,13 @@ class RealtimeRecommender:
         snapshot: bool = True,
         snapshot_buckets: int | None = None,
         append_ratings_to: str | None = None,
+        uid_buckets: int | None = None,
     ):
         sims = similarity.select("mid", "sim_mid", "score")
         recent = realtime.recent_ratings(ratings, k=recent_k)
-        rated = ratings.select("uid", "mid")
+        # live mode keeps the table's uid_bucket partition column for pruning
+        rated = ratings.select("uid", "mid", *(["uid_bucket"] if "uid_bucket" in ratings.columns else []))
+        self.uid_buckets = uid_buckets
         self.snapshot = snapshot
         if snapshot:
             # each snapshot is bucketed on exactly the keys it is joined on, so a
@@ -62,7 +65,7 @@ class RealtimeRecommender:
             # re-bucket from the written copy: the similarity kernel runs once
             self.sims_by_pair = snap(self.sims_by_item, ["mid", "sim_mid"], "sims_by_pair")
             self.recent = snap(recent, ["uid"], "recent")
-            self.rated = snap(rated, ["uid", "mid"], "rated")
+            self.rated = snap(rated.select("uid", "mid"), ["uid", "mid"], "rated")
         else:
             self.sims_by_item = self.sims_by_pair = sims
             self.recent, self.rated = recent, rated
@@ -76,7 +79,8 @@ class RealtimeRecommender:
         """(uid, recs, event_time, event_mid, event_score) for the newest event of each user."""
         last = realtime.last_event_per_user(events)
         cand = realtime.unseen_candidates(
-            last, self.sims_by_item, self.rated, k=self.candidate_k, prefilter=not self.snapshot
+            last, self.sims_by_item, self.rated, k=self.candidate_k, prefilter=not self.snapshot,
+            uid_buckets=self.uid_buckets,
         )
         scores = realtime.realtime_scores(cand, self.recent, self.sims_by_pair, self.min_sim, self.boost_above)
         users = last.select(

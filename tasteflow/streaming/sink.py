@@ -1,9 +1,10 @@
 """Replace-by-key table on plain Parquet (no merge-capable table format needed).
 
 Rows are spread over ``n_buckets`` hash buckets (a partition column).  An
-upsert reads only the buckets its keys fall into, keeps the newest row per
-key (by ``order_cols``) among old and new rows, and rewrites just those
-buckets with dynamic partition overwrite.  Untouched buckets are never
+upsert reads only the buckets its keys fall into (a static partition filter
+built from at most ``n_buckets`` ids), keeps the newest row per key (by
+``order_cols``) among old and new rows, and rewrites just those buckets
+with dynamic partition overwrite.  Untouched buckets are never
 read or written, so a micro-batch costs O(touched buckets), not O(table).
 
 "Newest wins" makes an upsert idempotent and order-independent: replaying
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators.topk import top_k_per_key
+from tasteflow.sources.tables import touched_buckets
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -73,14 +75,20 @@ class KeyedTable:
         """
         spark = rows.sparkSession
         new = rows if unique_keys else newest_in_batch(rows, self.key, self.order_cols)
-        new = new.withColumn("bucket", self.bucket_of(self.key))
-        if self.exists(spark):
-            touched = new.select("bucket").distinct()
-            # the partition filter comes from a semi-join on the partition column (dynamic pruning)
-            old = spark.read.parquet(self.path).join(touched, "bucket", "left_semi")
-            merged = self._merge(old.select(*new.columns), new)
-        else:
-            merged = new
+        new = new.withColumn("bucket", self.bucket_of(self.key)).persist()
+        try:
+            if self.exists(spark):
+                # static partition filter: only the touched buckets are read and rewritten
+                ids = touched_buckets(new, "bucket", self.n_buckets)
+                old = spark.read.parquet(self.path).where(F.col("bucket").isin(ids))
+                merged = self._merge(old.select(*new.columns), new)
+            else:
+                merged = new
+            self._write(merged)
+        finally:
+            new.unpersist()
+
+    def _write(self, merged: DataFrame) -> None:
         (
             merged.repartition("bucket")
             .write.mode("overwrite")

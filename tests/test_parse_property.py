@@ -1,0 +1,64 @@
+"""Rating parser vs a plain-Python model of the parsing rules, on random lines."""
+
+import math
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tasteflow.sources.text import parse_ratings
+
+INT = re.compile(r"[+-]?[0-9]+")
+DOUBLE = re.compile(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?")
+
+
+def jvm_trim(s):
+    i, j = 0, len(s)
+    while i < j and ord(s[i]) <= 32:
+        i += 1
+    while j > i and ord(s[j - 1]) <= 32:
+        j -= 1
+    return s[i:j]
+
+
+def strict(s, bits):
+    if not INT.fullmatch(s):
+        return None
+    v = int(s)
+    return v if -(2 ** (bits - 1)) <= v < 2 ** (bits - 1) else None
+
+
+def model(line):
+    parts = line.split(",")
+    if len(parts) < 4:
+        return None, "field_count"
+    uid, mid = strict(parts[0], 32), strict(parts[1], 32)
+    t = jvm_trim(parts[2])
+    score = float(t) if DOUBLE.fullmatch(t) else None
+    ts = strict(parts[3], 64)
+    for value, reason in ((uid, "bad_uid"), (mid, "bad_mid"), (score, "bad_score"), (ts, "bad_timestamp")):
+        if value is None:
+            return None, reason
+    return (uid, mid, score, ts), None
+
+
+field = st.text(alphabet="0123456789+-. \te", min_size=0, max_size=6)
+numbers = st.one_of(st.integers(-(2**40), 2**40).map(str), st.floats(allow_nan=False, allow_infinity=False).map(repr), field)
+line = st.lists(numbers, min_size=1, max_size=6).map(",".join)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(line, min_size=1, max_size=40))
+def test_rating_parser_matches_model(spark, lines):
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    parsed = parse_ratings(df)
+    got_rows = sorted(tuple(r) for r in parsed.rows.collect())
+    got_bad = sorted((r.value, r.reason) for r in parsed.rejects.collect())
+    want = [(v, *model(v)) for v in lines]
+    want_rows = sorted(row for _, row, _ in want if row is not None)
+    want_bad = sorted((v, reason) for v, _, reason in want if reason is not None)
+    assert got_bad == want_bad
+    assert len(got_rows) == len(want_rows)
+    for g, w in zip(got_rows, want_rows):
+        assert g[0] == w[0] and g[1] == w[1] and g[3] == w[3]
+        assert math.isclose(g[2], w[2], rel_tol=1e-15) or g[2] == w[2]

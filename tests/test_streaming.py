@@ -54,3 +54,24 @@ def test_stream_result_equals_batch(spark):
     key = ["uid", "rank", "mid", "score"]
     assert sorted(tuple(r) for r in stream.select(*key).collect()) == sorted(tuple(r) for r in batch_df.select(*key).collect())
     assert F is not None
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "recs")
+    t = KeyedTable(path, n_buckets=4)
+    t.upsert(batch(spark, [(u, [(5, 1.0)], 10, 5, 4.0) for u in range(40)]))
+
+    def files():
+        out = {}
+        for d in sorted(os.listdir(path)):
+            if d.startswith("bucket="):
+                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+        return out
+
+    before = files()
+    assert len(before) == 4
+    t.upsert(batch(spark, [(7, [(9, 2.0)], 20, 9, 4.0)]))
+    after = files()
+    changed = [b for b in before if before[b] != after[b]]
+    assert len(changed) == 1
+    assert table_rows(spark, t)[7] == (7, [9], 20) and len(table_rows(spark, t)) == 40
