@@ -51,3 +51,13 @@ def test_grid_and_best(spark):
     assert len(rows) == 4
     best = als.best_params(grid).first()
     assert best.rmse == min(r.rmse for r in rows)
+
+
+def test_same_seed_same_split_and_factors(spark):
+    ratings = low_rank_ratings(spark, n_users=20, n_items=15)
+    a_train, _ = als.holdout_split(ratings, seed=11)
+    b_train, _ = als.holdout_split(ratings, seed=11)
+    assert sorted(map(tuple, a_train.collect())) == sorted(map(tuple, b_train.collect()))
+    f1 = {r.id: r.features for r in als.item_factors(als.fit_als(ratings, rank=2, max_iter=2, seed=3)).collect()}
+    f2 = {r.id: r.features for r in als.item_factors(als.fit_als(ratings, rank=2, max_iter=2, seed=3)).collect()}
+    assert f1 == f2
