@@ -1,10 +1,13 @@
 """Load job: three delimited text inputs -> Movie, Rating, Tag tables (+ quarantine, + tag index).
 
-Text is parsed once per input; rejected lines land in a ``rejects`` table
-with their source and reason instead of failing the job (``strict=True``
-fails on the first bad line, like the original loader).  The enriched
-movie index is built from the *written* tables, so the text is never
-parsed twice and the index job has a short lineage.
+Each input is scanned and parsed exactly once.  The parsed projection is
+written in one pass, partitioned by ``status``: ``status=ok`` holds the
+typed rows, ``status=reject`` the raw line and the reason (the raw column
+is null for good rows, which Parquet stores almost for free).  Readers of
+the clean table filter ``status = 'ok'``, a static partition filter.
+``strict=True`` fails on the first bad line before writing, like the
+original loader.  The enriched movie index is built from the *written*
+tables, so the index job has a short lineage and never re-parses text.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from tasteflow.sources.tables import TableStore
 from tasteflow.sources.text import Parsed, parse_movies, parse_ratings, parse_tags, read_lines
 
 MOVIE_TABLE, RATING_TABLE, TAG_TABLE = "movie", "rating", "tag"
-REJECT_TABLE, INDEX_TABLE = "rejects", "movie_index"
+INDEX_TABLE = "movie_index"
+OK, REJECT = "ok", "reject"
 
 
 @dataclass(frozen=True)
@@ -31,8 +35,44 @@ class LoadedTables:
     rejects: DataFrame
 
 
-def _rows(parsed: Parsed, strict: bool) -> DataFrame:
-    return parsed.require_clean() if strict else parsed.rows
+def write_parsed(
+    parsed: Parsed, store: TableStore, name: str, columns: list[str], extra: dict | None = None, strict: bool = False
+) -> None:
+    """One pass: typed rows and quarantined lines into ``name``, partitioned by status."""
+    if strict:
+        parsed.require_clean()
+    ok = F.col("reason").isNull()
+    extra = extra or {}
+    out = parsed.staged.select(
+        *columns,
+        *[expr.alias(col) for col, expr in extra.items()],
+        F.when(ok, F.lit(None).cast("string")).otherwise(F.col("value")).alias("raw"),
+        "reason",
+        F.when(ok, F.lit(OK)).otherwise(F.lit(REJECT)).alias("status"),
+    )
+    store.write(out, name, partition_by=["status", *extra])
+
+
+def read_clean(spark: SparkSession, store: TableStore, name: str, schema, keep: tuple[str, ...] = ("uid_bucket",)) -> DataFrame:
+    """The typed rows of a loaded table (``status = 'ok'`` partitions only).
+
+    Layout columns listed in ``keep`` (the rating table's ``uid_bucket``)
+    stay, so later per-user lookups can prune on them.
+    """
+    table = store.read(spark, name).where(F.col("status") == OK)
+    extra = [F.col(c) for c in keep if c in table.columns]
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+
+
+def read_rejects(spark: SparkSession, store: TableStore, names=(MOVIE_TABLE, RATING_TABLE, TAG_TABLE)) -> DataFrame:
+    """All quarantined lines: (source, value, reason)."""
+    out = None
+    for name in names:
+        part = store.read(spark, name).where(F.col("status") == REJECT).select(
+            F.lit(name).alias("source"), F.col("raw").alias("value"), "reason"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def load_text_inputs(
@@ -55,26 +95,16 @@ def load_text_inputs(
     ratings = parse_ratings(read_lines(spark, rating_path))
     tags = parse_tags(read_lines(spark, tag_path))
 
-    store.write(_rows(movies, strict), MOVIE_TABLE)
-    rating_rows = _rows(ratings, strict)
-    if rating_buckets:
-        rating_rows = rating_rows.withColumn("uid_bucket", F.pmod(F.xxhash64("uid"), F.lit(rating_buckets)).cast("int"))
-        store.write(rating_rows, RATING_TABLE, partition_by=["uid_bucket"])
-    else:
-        store.write(rating_rows, RATING_TABLE)
-    store.write(_rows(tags, strict), TAG_TABLE)
-    rejects = (
-        movies.rejects.withColumn("source", F.lit(MOVIE_TABLE))
-        .unionByName(ratings.rejects.withColumn("source", F.lit(RATING_TABLE)))
-        .unionByName(tags.rejects.withColumn("source", F.lit(TAG_TABLE)))
-    )
-    store.write(rejects, REJECT_TABLE)
+    write_parsed(movies, store, MOVIE_TABLE, MOVIE.fieldNames(), strict=strict)
+    bucket = {"uid_bucket": F.pmod(F.xxhash64("uid"), F.lit(rating_buckets)).cast("int")} if rating_buckets else None
+    write_parsed(ratings, store, RATING_TABLE, RATING.fieldNames(), extra=bucket, strict=strict)
+    write_parsed(tags, store, TAG_TABLE, TAG.fieldNames(), strict=strict)
 
     loaded = LoadedTables(
-        movies=store.read(spark, MOVIE_TABLE, MOVIE),
-        ratings=store.read(spark, RATING_TABLE, RATING),
-        tags=store.read(spark, TAG_TABLE, TAG),
-        rejects=store.read(spark, REJECT_TABLE),
+        movies=read_clean(spark, store, MOVIE_TABLE, MOVIE),
+        ratings=read_clean(spark, store, RATING_TABLE, RATING),
+        tags=read_clean(spark, store, TAG_TABLE, TAG),
+        rejects=read_rejects(spark, store),
     )
     if build_index:
         write_movie_index(loaded.movies, loaded.tags, store)

@@ -310,7 +310,7 @@ def loaded_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = loader.load_text_inputs(
         spark, f"{inputs}/movies", f"{inputs}/ratings", f"{inputs}/tags", store, rating_buckets=16
     )
-    return loaded.ratings
+    return loaded.ratings.select("uid", "mid", "score", "timestamp")
 
 
 def movie_index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

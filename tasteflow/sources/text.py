@@ -30,6 +30,7 @@ from tasteflow.schemas import MOVIE_FIELDS
 class Parsed:
     rows: DataFrame
     rejects: DataFrame  # columns: value, reason
+    staged: DataFrame | None = None  # value, typed columns, reason: one projection for one-pass writers
 
     def require_clean(self) -> DataFrame:
         """Strict mode: fail like the original loader if any line is bad."""
@@ -67,7 +68,7 @@ def _split_result(df: DataFrame, typed: list[Column], reason: Column, names: lis
     staged = df.select("value", *typed, reason.alias("reason"))
     rows = staged.where(F.col("reason").isNull()).select(*names)
     rejects = staged.where(F.col("reason").isNotNull()).select("value", "reason")
-    return Parsed(rows, rejects)
+    return Parsed(rows, rejects, staged)
 
 
 def parse_movies(lines: DataFrame, value: str = "value", sep: str = "^") -> Parsed:
