@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tasteflow.session import default_partitions
+
 
 def top_k_per_key(
     df: DataFrame,
@@ -88,8 +90,7 @@ def rank_within_key(
     an offset: at most two per partition, so the offset table has at most
     2 * partitions rows and is broadcast by construction.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or default_partitions(df.sparkSession)
     sort_cols = [F.col(key).asc_nulls_first(), *order]
     ordered = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     schema = T.StructType(

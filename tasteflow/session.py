@@ -90,3 +90,14 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def default_partitions(spark: SparkSession) -> int:
+    """Partition count for layouts AQE cannot coalesce (buckets, explicit range partitions).
+
+    ``min(spark.sql.shuffle.partitions, 2 x cores)``: on a large cluster this
+    is the configured shuffle width; on a small one it avoids hundreds of
+    near-empty tasks per join.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 2 * spark.sparkContext.defaultParallelism))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators import realtime
-from tasteflow.session import scratch_dir
+from tasteflow.session import default_partitions, scratch_dir
 from tasteflow.sources.tables import bucketed_snapshot
 from tasteflow.sources.text import parse_rating_events
 from tasteflow.streaming.logs import read_line_stream
@@ -45,6 +45,7 @@ class RealtimeRecommender:
         snapshot_buckets: int | None = None,
         append_ratings_to: str | None = None,
         uid_buckets: int | None = None,
+        batch_partitions: int | None = None,
     ):
         sims = similarity.select("mid", "sim_mid", "score")
         recent = realtime.recent_ratings(ratings, k=recent_k)
@@ -56,7 +57,7 @@ class RealtimeRecommender:
             # each snapshot is bucketed on exactly the keys it is joined on, so a
             # micro-batch reads it in place and shuffles only its own (small) side
             spark = ratings.sparkSession
-            n = snapshot_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            n = snapshot_buckets or default_partitions(spark)
 
             def snap(df, keys, label):
                 return bucketed_snapshot(df, keys, n, scratch_dir(spark, label), label)
@@ -70,6 +71,7 @@ class RealtimeRecommender:
             self.sims_by_item = self.sims_by_pair = sims
             self.recent, self.rated = recent, rated
         self.table = table
+        self.batch_partitions = batch_partitions or default_partitions(ratings.sparkSession)
         self.append_ratings_to = append_ratings_to
         self.candidate_k = candidate_k
         self.min_sim = min_sim
@@ -92,6 +94,9 @@ class RealtimeRecommender:
         return realtime.user_lists(users, scores, distinct_users=False)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        # a streaming query runs on its own clone of the session: this sizes the
+        # micro-batch shuffles without touching the caller's session
+        batch.sparkSession.conf.set("spark.sql.shuffle.partitions", str(self.batch_partitions))
         events = parse_rating_events(batch.select("value")).rows
         if self.append_ratings_to:
             # optional: keep the incoming ratings; one folder per batch id, so a replay overwrites it
