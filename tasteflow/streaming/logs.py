@@ -86,11 +86,14 @@ def start_log_forwarder(
 ):
     """Source -> marker filter -> sink, as one Structured Streaming query.
 
-    A ``kafka`` sink takes the ``key``/``value`` columns as they are.
+    A ``kafka`` sink gets the ``key``/``value`` columns (topic in
+    ``sink_options``); file sinks also keep the ingestion time.
     ``trigger`` defaults to 2-second micro-batches.
     """
     lines = read_line_stream(spark, source, source_format, max_files_per_trigger, source_options)
     out = filter_rating_logs(lines, marker).forwarded
+    if sink_format == "kafka":  # a topic record carries only key and value
+        out = out.select("key", "value")
     writer = out.writeStream.format(sink_format).option("checkpointLocation", checkpoint).options(**(sink_options or {}))
     if sink_format not in ("kafka", "memory", "console"):
         writer = writer.option("path", sink)
