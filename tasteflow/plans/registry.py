@@ -257,7 +257,7 @@ def log_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rating_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _land_lines(spark, _log_lines(spark, sf_dir), "log-lines")
     sink, ckpt = scratch_dir(spark, "events"), scratch_dir(spark, "events-ckpt")
-    query = start_event_parser(spark, source, sink, ckpt, trigger={"availableNow": True}, max_files_per_trigger=2)
+    query, _ = start_event_parser(spark, source, sink, ckpt, trigger={"availableNow": True}, max_files_per_trigger=2)
     query.awaitTermination()
     return spark.read.parquet(sink).select("uid", "mid", "score", "timestamp")
 

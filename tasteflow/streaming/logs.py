@@ -111,7 +111,12 @@ def start_event_parser(
     max_files_per_trigger: int | None = None,
     rejects_sink: str | None = None,
 ):
-    """Log lines -> typed rating events in a Parquet sink (rejects to a second sink)."""
+    """Log lines -> typed rating events in a Parquet sink.
+
+    Returns ``(events_query, rejects_query)``; the second is ``None`` unless
+    ``rejects_sink`` is given, in which case quarantined lines stream there
+    with their own checkpoint.
+    """
     lines = read_line_stream(spark, source, "text", max_files_per_trigger)
     parsed = rating_events_from_logs(lines, marker)
     trig = trigger or {"processingTime": "2 seconds"}
@@ -119,9 +124,10 @@ def start_event_parser(
         parsed.rows.writeStream.format("parquet").option("path", sink)
         .option("checkpointLocation", checkpoint).trigger(**trig).start()
     )
+    rejects_query = None
     if rejects_sink:
-        (
+        rejects_query = (
             parsed.rejects.writeStream.format("parquet").option("path", rejects_sink)
             .option("checkpointLocation", checkpoint.rstrip("/") + "-rejects").trigger(**trig).start()
         )
-    return query
+    return query, rejects_query

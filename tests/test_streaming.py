@@ -91,3 +91,16 @@ def test_recommender_appends_incoming_ratings_once_per_batch(spark, tmp_dir):
     assert [tuple(r) for r in spark.read.parquet(log).select("uid", "mid", "score", "timestamp").collect()] == [(1, 100, 5.0, 9)]
     recs = {r.uid: [(x.mid, round(x.score, 6)) for x in r.recs] for r in job.table.read(spark).collect()}
     assert recs == {1: [(200, round(0.8 * 4.0, 6))]}
+
+
+def test_event_parser_stream_with_rejects(spark, tmp_dir):
+    from tasteflow.streaming.logs import start_event_parser
+
+    src = os.path.join(tmp_dir, "logs")
+    spark.createDataFrame([(f"{M}1|2|3.5|4",), (f"{M}1|x|3.5|4",), ("noise",)], "value string").write.text(src)
+    out, bad = os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "bad")
+    q, rq = start_event_parser(spark, src, out, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}, rejects_sink=bad)
+    q.awaitTermination()
+    rq.awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, 2, 3.5, 4)]
+    assert [(r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [("1|x|3.5|4", "bad_mid")]
