@@ -47,6 +47,27 @@ class RealtimeRecommender:
         uid_buckets: int | None = None,
         batch_partitions: int | None = None,
     ):
+        self._sources = (similarity, ratings, recent_k, snapshot_buckets)
+        self._take_snapshots(similarity, ratings, recent_k, snapshot, snapshot_buckets, uid_buckets)
+        self.table = table
+        self.batch_partitions = batch_partitions or default_partitions(ratings.sparkSession)
+        self.append_ratings_to = append_ratings_to
+        self.candidate_k = candidate_k
+        self.min_sim = min_sim
+        self.boost_above = boost_above
+
+    def refresh_snapshots(self, similarity: DataFrame | None = None, ratings: DataFrame | None = None) -> None:
+        """Re-take the snapshots (e.g. after the offline job rewrote the similarity table).
+
+        Pass freshly read DataFrames for tables that were rewritten: a file
+        DataFrame keeps the file listing it was created with.  Call between
+        micro-batches; batches already running keep the old snapshot.
+        """
+        old_sims, old_ratings, recent_k, buckets = self._sources
+        self._sources = (similarity or old_sims, ratings or old_ratings, recent_k, buckets)
+        self._take_snapshots(self._sources[0], self._sources[1], recent_k, self.snapshot, buckets, self.uid_buckets)
+
+    def _take_snapshots(self, similarity, ratings, recent_k, snapshot, snapshot_buckets, uid_buckets) -> None:
         sims = similarity.select("mid", "sim_mid", "score")
         recent = realtime.recent_ratings(ratings, k=recent_k)
         # live mode keeps the table's uid_bucket partition column for pruning
@@ -70,12 +91,6 @@ class RealtimeRecommender:
         else:
             self.sims_by_item = self.sims_by_pair = sims
             self.recent, self.rated = recent, rated
-        self.table = table
-        self.batch_partitions = batch_partitions or default_partitions(ratings.sparkSession)
-        self.append_ratings_to = append_ratings_to
-        self.candidate_k = candidate_k
-        self.min_sim = min_sim
-        self.boost_above = boost_above
 
     def lists_for(self, events: DataFrame) -> DataFrame:
         """(uid, recs, event_time, event_mid, event_score) for the newest event of each user."""

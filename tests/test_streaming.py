@@ -104,3 +104,29 @@ def test_event_parser_stream_with_rejects(spark, tmp_dir):
     rq.awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, 2, 3.5, 4)]
     assert [(r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [("1|x|3.5|4", "bad_mid")]
+
+
+def test_refresh_snapshots_picks_up_rewritten_similarity(spark, tmp_dir):
+    from tasteflow.streaming.recommender import RealtimeRecommender
+
+    sim_path = os.path.join(tmp_dir, "sims")
+    schema = "mid int, sim_mid int, score double"
+    spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], schema).write.parquet(sim_path)
+    ratings = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp long")
+    job = RealtimeRecommender(spark.read.parquet(sim_path), ratings, KeyedTable(os.path.join(tmp_dir, "recs"), n_buckets=2),
+                              min_sim=0.6, snapshot_buckets=2)
+    spark.createDataFrame([(100, 300, 0.9), (300, 10, 0.7)], schema).write.mode("overwrite").parquet(sim_path)
+    job.refresh_snapshots(similarity=spark.read.parquet(sim_path))
+    job.process_batch(spark.createDataFrame([("1|100|5.0|9",)], "value string"), 0)
+    recs = {r.uid: [x.mid for x in r.recs] for r in job.table.read(spark).collect()}
+    assert recs == {1: [300]}
+
+
+def test_list_string_forms(spark):
+    from tasteflow.functions.lists import format_recs
+
+    df = spark.createDataFrame([(1, [(5, 4.5), (7, 0.1234567)]), (2, [])], "uid int, recs array<struct<mid:int,score:double>>")
+    got = {r.uid: r.s for r in df.select("uid", format_recs("recs").alias("s")).collect()}
+    assert got == {1: "5:4.5|7:0.1234567", 2: ""}
+    fixed = {r.uid: r.s for r in df.select("uid", format_recs("recs", decimals=3).alias("s")).collect()}
+    assert fixed == {1: "5:4.500|7:0.123", 2: ""}
