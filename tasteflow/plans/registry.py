@@ -129,7 +129,9 @@ def item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similar_items_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=LIST_THRESHOLD)
+    # ranked from the stored (checkpointed) flat table, as the offline job does: the
+    # range partitioner samples its input, which would otherwise run the kernel twice
+    pairs = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=LIST_THRESHOLD).checkpoint()
     return similarity.rank_similar(pairs).select("mid", "rank", "sim_mid", r6("score"))
 
 
@@ -213,7 +215,7 @@ def als_user_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = als.item_similarity(_als_model(spark, sf_dir), threshold=ITEM_LIST_THRESHOLD)
+    pairs = als.item_similarity(_als_model(spark, sf_dir), threshold=ITEM_LIST_THRESHOLD).checkpoint()
     return similarity.rank_similar(pairs).select("mid", "rank", "sim_mid", r6("score"))
 
 

@@ -46,12 +46,14 @@ class RealtimeRecommender:
         append_ratings_to: str | None = None,
         uid_buckets: int | None = None,
         batch_partitions: int | None = None,
+        rejects_to: str | None = None,
     ):
         self._sources = (similarity, ratings, recent_k, snapshot_buckets)
         self._take_snapshots(similarity, ratings, recent_k, snapshot, snapshot_buckets, uid_buckets)
         self.table = table
         self.batch_partitions = batch_partitions or default_partitions(ratings.sparkSession)
         self.append_ratings_to = append_ratings_to
+        self.rejects_to = rejects_to
         self.candidate_k = candidate_k
         self.min_sim = min_sim
         self.boost_above = boost_above
@@ -112,7 +114,11 @@ class RealtimeRecommender:
         # a streaming query runs on its own clone of the session: this sizes the
         # micro-batch shuffles without touching the caller's session
         batch.sparkSession.conf.set("spark.sql.shuffle.partitions", str(self.batch_partitions))
-        events = parse_rating_events(batch.select("value")).rows
+        parsed = parse_rating_events(batch.select("value"))
+        events = parsed.rows
+        if self.rejects_to:
+            # malformed events are kept per batch id (a replay overwrites the same folder)
+            parsed.rejects.write.mode("overwrite").parquet(f"{self.rejects_to.rstrip('/')}/batch_id={batch_id}")
         if self.append_ratings_to:
             # optional: keep the incoming ratings; one folder per batch id, so a replay overwrites it
             events.persist()

@@ -83,14 +83,16 @@ def test_recommender_appends_incoming_ratings_once_per_batch(spark, tmp_dir):
     sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], "mid int, sim_mid int, score double")
     ratings = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp long")
     log = os.path.join(tmp_dir, "incoming")
+    bad = os.path.join(tmp_dir, "bad")
     job = RealtimeRecommender(sims, ratings, KeyedTable(os.path.join(tmp_dir, "recs"), n_buckets=2),
-                              min_sim=0.6, snapshot=False, append_ratings_to=log)
-    batch_df = spark.createDataFrame([("1|100|5.0|9",)], "value string")
+                              min_sim=0.6, snapshot=False, append_ratings_to=log, rejects_to=bad)
+    batch_df = spark.createDataFrame([("1|100|5.0|9",), ("1|100|oops|9",)], "value string")
     job.process_batch(batch_df, 0)
     job.process_batch(batch_df, 0)  # replay of the same batch id
     assert [tuple(r) for r in spark.read.parquet(log).select("uid", "mid", "score", "timestamp").collect()] == [(1, 100, 5.0, 9)]
     recs = {r.uid: [(x.mid, round(x.score, 6)) for x in r.recs] for r in job.table.read(spark).collect()}
     assert recs == {1: [(200, round(0.8 * 4.0, 6))]}
+    assert [(r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [("1|100|oops|9", "bad_score")]
 
 
 def test_event_parser_stream_with_rejects(spark, tmp_dir):
