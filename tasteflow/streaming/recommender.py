@@ -96,7 +96,10 @@ class RealtimeRecommender:
 
     def lists_for(self, events: DataFrame) -> DataFrame:
         """(uid, recs, event_time, event_mid, event_score) for the newest event of each user."""
-        last = realtime.last_event_per_user(events)
+        return self.lists_from_last(realtime.last_event_per_user(events))
+
+    def lists_from_last(self, last: DataFrame) -> DataFrame:
+        """As :meth:`lists_for`, from events already reduced to one per user."""
         cand = realtime.unseen_candidates(
             last, self.sims_by_item, self.rated, k=self.candidate_k, prefilter=not self.snapshot,
             uid_buckets=self.uid_buckets,
@@ -114,18 +117,25 @@ class RealtimeRecommender:
         # a streaming query runs on its own clone of the session: this sizes the
         # micro-batch shuffles without touching the caller's session
         batch.sparkSession.conf.set("spark.sql.shuffle.partitions", str(self.batch_partitions))
-        parsed = parse_rating_events(batch.select("value"))
-        events = parsed.rows
-        if self.rejects_to:
-            # malformed events are kept per batch id (a replay overwrites the same folder)
-            parsed.rejects.write.mode("overwrite").parquet(f"{self.rejects_to.rstrip('/')}/batch_id={batch_id}")
-        if self.append_ratings_to:
-            # optional: keep the incoming ratings; one folder per batch id, so a replay overwrites it
-            events.persist()
-            events.write.mode("overwrite").parquet(f"{self.append_ratings_to.rstrip('/')}/batch_id={batch_id}")
-        self.table.upsert(self.lists_for(events), unique_keys=True)
-        if self.append_ratings_to:
-            events.unpersist()
+        lines = batch.select("value")
+        extra_outputs = bool(self.rejects_to or self.append_ratings_to)
+        if extra_outputs:  # several outputs read the batch: read and parse it once
+            lines = lines.persist()
+        parsed = parse_rating_events(lines)
+        # the newest event per user feeds two branches (candidates, output rows): compute it once
+        last = realtime.last_event_per_user(parsed.rows).persist()
+        try:
+            if self.rejects_to:
+                # malformed events are kept per batch id (a replay overwrites the same folder)
+                parsed.rejects.write.mode("overwrite").parquet(f"{self.rejects_to.rstrip('/')}/batch_id={batch_id}")
+            if self.append_ratings_to:
+                # optional: keep the incoming ratings; one folder per batch id, so a replay overwrites it
+                parsed.rows.write.mode("overwrite").parquet(f"{self.append_ratings_to.rstrip('/')}/batch_id={batch_id}")
+            self.table.upsert(self.lists_from_last(last), unique_keys=True)
+        finally:
+            last.unpersist()
+            if extra_outputs:
+                lines.unpersist()
 
     def start(
         self,
