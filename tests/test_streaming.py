@@ -22,6 +22,7 @@ def test_log_filter_rules(spark):
     out = filter_rating_logs(df)
     fwd = sorted((r.key, r.value) for r in out.forwarded.collect())
     assert fwd == [("logProcessor", "1|2|3.0|4"), ("logProcessor", "370|2770|4.0|835355511")]
+    assert all(r.ingest_time is not None for r in out.forwarded.collect())  # wall-clock event time
     assert sorted(r.reason for r in out.rejects.collect()) == ["empty_payload", "empty_payload"]
     events = rating_events_from_logs(df)
     assert sorted(tuple(r) for r in events.rows.collect()) == [(1, 2, 3.0, 4), (370, 2770, 4.0, 835355511)]
