@@ -68,7 +68,6 @@ def test_tag_rollup_sorted_distinct_and_left_join(spark):
 def test_average_scores(spark):
     r = spark.createDataFrame([(1, 5, 4.0, 1), (2, 5, 3.0, 1)], RATING)
     assert rows(stats.average_scores(r)) == [(5, 3.5)]
-    assert F is not None
 
 
 def test_rank_within_key_matches_window_on_skewed_keys(spark):
