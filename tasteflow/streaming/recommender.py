@@ -9,9 +9,12 @@ upsert into the suggestions table.
 
 The similarity table, the recent-ratings table and the rated set are
 snapshots taken once at start, like the original job's broadcast map.
-They are written as bucketed tables in the shared folder: each micro-batch
-joins against them without shuffling them, and losing an executor never
-recomputes them from the raw tables.  Nothing is collected to the driver.
+They are written to the shared folder, the lookup tables bucketed on their
+join keys, so each micro-batch joins against them without shuffling them,
+and losing an executor never recomputes them from the raw tables.  The
+candidate expansion instead semi-joins the similarity copy down to the
+batch's items and shuffles, so a hot item can be split by AQE.  Nothing is
+collected to the driver.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tasteflow.operators import realtime
 from tasteflow.session import default_partitions, scratch_dir
-from tasteflow.sources.tables import bucketed_snapshot
+from tasteflow.sources.tables import bucketed_snapshot, parquet_snapshot
 from tasteflow.sources.text import parse_rating_events
 from tasteflow.streaming.logs import read_line_stream
 from tasteflow.streaming.sink import KeyedTable
@@ -85,8 +88,10 @@ class RealtimeRecommender:
             def snap(df, keys, label):
                 return bucketed_snapshot(df, keys, n, scratch_dir(spark, label), label)
 
-            self.sims_by_item = snap(sims, ["mid"], "sims_by_item")
-            # re-bucket from the written copy: the similarity kernel runs once
+            # candidate expansion reads this copy through a semi-join on the batch's items and
+            # then shuffles, so AQE can split a hot item: plain Parquet, not bucketed
+            self.sims_by_item = parquet_snapshot(sims, scratch_dir(spark, "sims_by_item"))
+            # pair lookups join on (mid, sim_mid): bucketed on exactly those keys
             self.sims_by_pair = snap(self.sims_by_item, ["mid", "sim_mid"], "sims_by_pair")
             self.recent = snap(recent, ["uid"], "recent")
             self.rated = snap(rated.select("uid", "mid"), ["uid", "mid"], "rated")
