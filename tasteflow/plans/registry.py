@@ -15,7 +15,7 @@ from tasteflow.functions.lists import format_recs, lists_to_ranked, ranked_to_li
 from tasteflow.operators import als, catalog, evaluation, realtime, similarity, stats
 from tasteflow.plans import loader, statistics
 from tasteflow.schemas import GENRE_RECS
-from tasteflow.session import scratch_dir
+from tasteflow.session import checkpointed, scratch_dir
 from tasteflow.sources import adapters, compose
 from tasteflow.sources.tables import TableStore
 from tasteflow.sources.text import parse_movies, parse_ratings, parse_tags, read_lines
@@ -131,7 +131,7 @@ def item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def similar_items_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     # ranked from the stored (checkpointed) flat table, as the offline job does: the
     # range partitioner samples its input, which would otherwise run the kernel twice
-    pairs = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=LIST_THRESHOLD).checkpoint()
+    pairs = checkpointed(similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=LIST_THRESHOLD))
     return similarity.rank_similar(pairs).select("mid", "rank", "sim_mid", r6("score"))
 
 
@@ -153,7 +153,7 @@ def _realtime_inputs(spark: SparkSession, sf_dir: str):
     table of the offline job would; without the cut the kernel would run twice.
     """
     ratings = adapters.ratings_view(spark, sf_dir)
-    sims = similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD).checkpoint()
+    sims = checkpointed(similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD))
     return ratings, sims
 
 
@@ -215,7 +215,7 @@ def als_user_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = als.item_similarity(_als_model(spark, sf_dir), threshold=ITEM_LIST_THRESHOLD).checkpoint()
+    pairs = checkpointed(als.item_similarity(_als_model(spark, sf_dir), threshold=ITEM_LIST_THRESHOLD))
     return similarity.rank_similar(pairs).select("mid", "rank", "sim_mid", r6("score"))
 
 

@@ -101,3 +101,9 @@ def default_partitions(spark: SparkSession) -> int:
     """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(shuffle, 2 * spark.sparkContext.defaultParallelism))
+
+
+def checkpointed(df):
+    """``df.checkpoint()`` into the shared folder (created only when the session names none)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
