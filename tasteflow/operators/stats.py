@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasteflow.functions.text import split_literal
-from tasteflow.functions.time import year_month
+from tasteflow.functions.time import format_year_month, year_month_number
 from tasteflow.operators.topk import top_k_per_key
 
 # The genres the statistics job ranks when no list is given, in their original order.
@@ -31,12 +31,10 @@ def rating_counts(ratings: DataFrame, order_by: str = "mid") -> DataFrame:
 
 def monthly_counts(ratings: DataFrame) -> DataFrame:
     """Ratings per (yyyyMM in UTC, movie); newest month first, then most rated."""
-    keyed = ratings.select("mid", year_month("timestamp").alias("year_month"))
-    return (
-        keyed.groupBy("year_month", "mid")
-        .agg(F.count("mid").alias("rating_count"))
-        .orderBy(F.desc("year_month"), F.desc("rating_count"), F.asc("mid"))
-        .select("year_month", "mid", "rating_count")
+    keyed = ratings.select("mid", year_month_number("timestamp").alias("ym"))
+    counts = keyed.groupBy("ym", "mid").agg(F.count("mid").alias("rating_count"))
+    return counts.select(format_year_month("ym").alias("year_month"), "mid", "rating_count").orderBy(
+        F.desc("year_month"), F.desc("rating_count"), F.asc("mid")
     )
 
 

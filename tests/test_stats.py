@@ -13,8 +13,12 @@ def movie(mid, genres):
 
 
 def test_month_key_is_utc(spark):
-    df = spark.createDataFrame([(1260759144,), (0,), (1262304000 - 1,)], "t long")
-    assert [r[0] for r in df.select(year_month("t")).collect()] == ["200912", "197001", "200912"]
+    from tasteflow.functions.time import format_year_month, year_month_number
+
+    df = spark.createDataFrame([(1260759144,), (0,), (1262304000 - 1,), (-1,)], "t long")
+    want = ["200912", "197001", "200912", "196912"]
+    assert [r[0] for r in df.select(year_month("t")).collect()] == want
+    assert [r[0] for r in df.select(format_year_month(year_month_number("t"))).collect()] == want
 
 
 def test_rating_counts_order_by_mid_desc(spark):
