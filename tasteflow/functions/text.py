@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# every char <= U+0020, the set the JVM's String.trim removes
+_JVM_BLANKS = "".join(chr(code) for code in range(0x21))
 _INT_TEXT = r"^[+-]?[0-9]+$"
 _DOUBLE_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
 
@@ -22,7 +23,7 @@ def _col(c: Column | str) -> Column:
 
 def jvm_trim(c: Column | str) -> Column:
     """Trim all control characters and blanks from both ends (JVM ``trim``)."""
-    return F.regexp_replace(_col(c), _EDGE_CONTROL, "")
+    return F.trim(_col(c), F.lit(_JVM_BLANKS))
 
 
 def strict_int(c: Column | str) -> Column:
