@@ -35,6 +35,12 @@ def start_recommender(
     boost_above: float = BOOST_ABOVE,
     **kw,
 ):
+    """Start the real-time job; returns ``(query, job)`` (``job.refresh_snapshots`` re-reads its inputs).
+
+    The default checkpoint location is stable, so a restarted job resumes
+    where it stopped; replayed micro-batches are idempotent in the sink.
+    """
     table = KeyedTable(table_path, key="uid", n_buckets=n_buckets)
     job = RealtimeRecommender(similarity, ratings, table, recent_k, candidate_k, min_sim, boost_above)
-    return job.start(spark, source, checkpoint or shared_dir(spark, "streams", "recommender"), **kw)
+    query = job.start(spark, source, checkpoint or shared_dir(spark, "streams", "recommender"), **kw)
+    return query, job

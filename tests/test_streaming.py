@@ -131,3 +131,24 @@ def test_list_string_forms(spark):
     assert got == {1: "5:4.5|7:0.1234567", 2: ""}
     fixed = {r.uid: r.s for r in df.select("uid", format_recs("recs", decimals=3).alias("s")).collect()}
     assert fixed == {1: "5:4.500|7:0.123", 2: ""}
+
+
+def test_streaming_job_wiring(spark, tmp_dir):
+    from tasteflow.plans.streaming_job import start_forwarder, start_recommender
+
+    logs = os.path.join(tmp_dir, "logs")
+    spark.createDataFrame([(f"INFO {M}1|100|5.0|9",), ("INFO click user=1",)], "value string").write.text(logs)
+    fwd_out = os.path.join(tmp_dir, "fwd")
+    q = start_forwarder(spark, logs, fwd_out, os.path.join(tmp_dir, "ck1"), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert [(r.key, r.value) for r in spark.read.parquet(fwd_out).collect()] == [("logProcessor", "1|100|5.0|9")]
+
+    events = os.path.join(tmp_dir, "events")
+    spark.createDataFrame([("1|100|5.0|9",)], "value string").write.text(events)
+    sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], "mid int, sim_mid int, score double")
+    ratings = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp long")
+    table = os.path.join(tmp_dir, "recs")
+    q, job = start_recommender(spark, events, sims, ratings, table, os.path.join(tmp_dir, "ck2"),
+                               n_buckets=2, min_sim=0.6, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert {r.uid: [x.mid for x in r.recs] for r in job.table.read(spark).collect()} == {1: [200]}
