@@ -21,8 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Arrow batches for the numpy block kernels; a block is at most a few MB.
+    # Arrow batch size for mapInPandas (the distributed rank); block kernels get one block pair per call
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # delete checkpoint files once nothing references them (long-running jobs re-snapshot)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
 }
 
