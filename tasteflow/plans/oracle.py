@@ -6,7 +6,7 @@ against the pre-registered tables.
 
 from __future__ import annotations
 
-from tasteflow.plans.registry import LIST_THRESHOLD, PAIR_THRESHOLD, TEST_GENRES
+from tasteflow.plans.registry import ALL_PAIRS_THRESHOLD, LIST_THRESHOLD, PAIR_THRESHOLD, TEST_GENRES
 
 RATINGS = """ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(l_partkey AS INTEGER) AS mid,
@@ -221,3 +221,13 @@ SQL["genre_top10_token"] = SQL["genre_top10"].replace(
     "JOIN genre_list g ON list_contains(string_split(lower(m.genres), '|'), lower(g.genre))",
 )
 SQL["movie_index_roundtrip"] = SQL["items_with_tags"]
+
+SQL["realtime_scores_all_pairs"] = with_views(RATINGS, FACTORS, _pairs(PAIR_THRESHOLD), LAST_EVENT, CANDIDATES, RECENT) + """
+, scores AS (
+  SELECT c.uid, c.mid, avg(coalesce(s.score, 0.0) * r.score) AS mean,
+         count(*) FILTER (WHERE r.score > 3) AS boost, count(*) FILTER (WHERE r.score <= 3) AS dampen
+  FROM cand c JOIN recent r ON r.uid = c.uid
+  LEFT JOIN sim s ON s.mid = c.mid AND s.sim_mid = r.mid
+  WHERE coalesce(s.score, 0.0) > """ + str(ALL_PAIRS_THRESHOLD) + """
+  GROUP BY c.uid, c.mid)
+SELECT uid, mid, round(mean + log2(greatest(boost, 1)) - log2(greatest(dampen, 1)), 6) AS score FROM scores"""

@@ -121,6 +121,7 @@ def items_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Thresholds for the test vectors (their cosine never exceeds about 0.51).
 PAIR_THRESHOLD = 0.2
 LIST_THRESHOLD = 0.3
+ALL_PAIRS_THRESHOLD = -1.0
 
 
 def item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +179,15 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return realtime.realtime_scores(cand, recent, sims, min_sim=PAIR_THRESHOLD)
 
 
+def realtime_scores_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring with a negative threshold: pairs absent from the table count with similarity 0.0."""
+    ratings, sims = _realtime_inputs(spark, sf_dir)
+    cand = realtime.unseen_candidates(realtime.last_event_per_user(ratings), sims, ratings, k=10)
+    recent = realtime.recent_ratings(ratings, k=10)
+    scores = realtime.realtime_scores(cand, recent, sims, min_sim=ALL_PAIRS_THRESHOLD)
+    return scores.select("uid", "mid", r6("score"))
+
+
 def realtime_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(spark, sf_dir).select("uid", "mid", r6("score"))
 
@@ -356,6 +366,7 @@ QUERIES = {
     "last_events": last_events,
     "unseen_candidates": unseen_candidates,
     "realtime_scores": realtime_scores,
+    "realtime_scores_all_pairs": realtime_scores_all_pairs,
     "realtime_lists": realtime_lists,
     "rmse": rmse,
     "als_user_lists": als_user_lists,
