@@ -11,10 +11,19 @@ read or written, so a micro-batch costs O(touched buckets), not O(table).
 a micro-batch after a failure, or receiving batches out of order, leaves
 the same table.  Tasks that die mid-write are retried against the old
 files, which stay in place until the job commits.
+
+Driver crashes: swapping bucket directories at commit is not atomic across
+buckets.  So the merged content of the touched buckets is first written,
+complete and committed, to a fresh folder beside the table (``<path>_pending``),
+and only then swapped in.  If the driver dies during the swap, the next
+upsert (or :meth:`KeyedTable.recover`) re-applies every committed pending
+copy before anything else; re-applying is idempotent because a copy holds
+the whole content of its buckets.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +33,35 @@ from tasteflow.operators.topk import top_k_per_key
 from tasteflow.sources.tables import touched_buckets
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
     return bool(fs.exists(hpath))
 
 
+def committed_children(spark: SparkSession, path: str) -> list[str]:
+    """Sub-folders of ``path`` holding a committed Spark write (a ``_SUCCESS`` marker), oldest name first."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return []
+    out = []
+    for status in fs.listStatus(hpath):
+        child = status.getPath()
+        if status.isDirectory() and fs.exists(child.suffix("/_SUCCESS")):
+            out.append(child.toString())
+    return sorted(out)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def newest_in_batch(rows: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the greatest ``order_cols`` (a top-1 window, limited before its shuffle)."""
     return top_k_per_key(rows, key, [F.desc(c) for c in order_cols], 1, rank_col="_rn").drop("_rn")
@@ -67,6 +98,18 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("bucket")
 
+    @property
+    def pending_root(self) -> str:
+        return self.path.rstrip("/") + "_pending"
+
+    def recover(self, spark: SparkSession) -> int:
+        """Re-apply committed pending copies left by a crashed upsert; returns how many."""
+        copies = committed_children(spark, self.pending_root)
+        for copy in copies:
+            self._write(spark.read.parquet(copy))
+            delete_path(spark, copy)
+        return len(copies)
+
     def upsert(self, rows: DataFrame, unique_keys: bool = False) -> None:
         """Merge ``rows`` into the table; per key the row with the greater ``order_cols`` stays.
 
@@ -74,6 +117,7 @@ class KeyedTable:
         caller already produces one row per key.
         """
         spark = rows.sparkSession
+        self.recover(spark)
         new = rows if unique_keys else newest_in_batch(rows, self.key, self.order_cols)
         new = new.withColumn("bucket", self.bucket_of(self.key)).persist()
         try:
@@ -84,7 +128,11 @@ class KeyedTable:
                 merged = self._merge(old.select(*new.columns), new)
             else:
                 merged = new
-            self._write(merged)
+            # complete content of the touched buckets, committed before the table is touched
+            pending = f"{self.pending_root}/{uuid.uuid4().hex}"
+            merged.write.mode("overwrite").parquet(pending)
+            self._write(spark.read.parquet(pending))
+            delete_path(spark, pending)
         finally:
             new.unpersist()
 
