@@ -106,6 +106,9 @@ def rank_within_key(
         .where(F.col("_parts") > 1)
         .select("_pid", key, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
     )
-    joined = numbered.join(F.broadcast(offsets), ["_pid", key], "left")
+    offsets = offsets.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), "_offset")
+    # null-safe on the key: null keys form one group, as in a window
+    on = (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey"))
+    joined = numbered.join(F.broadcast(offsets), on, "left")
     ranked = joined.withColumn(rank_col, F.col(rank_col) + F.coalesce("_offset", F.lit(0)))
-    return ranked.drop("_pid", "_offset")
+    return ranked.drop("_pid", "_opid", "_okey", "_offset")

@@ -1,0 +1,68 @@
+"""Randomized checks: genre top-k against brute force, distributed rank against a window."""
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tasteflow.operators import stats
+from tasteflow.operators.topk import rank_within_key
+from tasteflow.schemas import MOVIE, RATING
+
+WORDS = ["old", "Cold", "gold", "RED", "red", "bolt", ""]
+
+
+def brute_genre_top_k(movies, ratings, genres, k, match):
+    sums = {}
+    for _, mid, score, _ in ratings:
+        total, n = sums.get(mid, (0.0, 0))
+        sums[mid] = (total + score, n + 1)
+    out = []
+    for g in genres:
+        hits = []
+        for mid, genre_text in movies:
+            if mid not in sums or genre_text is None:
+                continue
+            if match == "substring":
+                ok = g.lower() in genre_text.lower()
+            else:
+                ok = g.lower() in {t for t in genre_text.lower().split("|") if t}
+            if ok:
+                hits.append((sums[mid][0] / sums[mid][1], mid))
+        hits.sort(key=lambda t: (-t[0], t[1]))
+        out += [(g, rank + 1, mid) for rank, (_, mid) in enumerate(hits[:k])]
+    return sorted(out)
+
+
+movie_rows = st.lists(
+    st.tuples(st.integers(0, 12), st.one_of(st.none(), st.lists(st.sampled_from(WORDS), min_size=1, max_size=3).map("|".join))),
+    min_size=1, max_size=12, unique_by=lambda t: t[0],
+)
+rating_rows = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 12), st.sampled_from([1.0, 2.0, 3.5, 5.0]), st.just(0)), max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(movie_rows, rating_rows, st.sampled_from(["substring", "token"]))
+def test_genre_top_k_matches_brute_force(spark, movies, ratings, match):
+    mdf = spark.createDataFrame([(m, f"m{m}", "", "", "", "", "", g, "", "") for m, g in movies], MOVIE)
+    rdf = spark.createDataFrame(ratings, RATING)
+    genres = ["old", "red"]
+    got = stats.genre_top_k(mdf, stats.average_scores(rdf), genres, k=2, match=match)
+    assert sorted((r.genre, r.rank, r.mid) for r in got.collect()) == brute_genre_top_k(movies, ratings, genres, 2, match)
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3, None]), st.integers(0, 5)), min_size=1, max_size=60),
+    st.integers(1, 7),
+)
+def test_rank_within_key_matches_window(spark, rows, partitions):
+    df = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(rows)], "k int, s int, v int")
+    order = [F.desc("s"), F.asc("v")]
+    def key(t):  # null keys sort first
+        return (t[0] is not None, t[0] or 0, t[1], t[2])
+
+    got = sorted(((r.k, r.v, r.rank) for r in rank_within_key(df, "k", order, partitions=partitions).collect()), key=key)
+    want_df = df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    want = sorted(((r.k, r.v, r.rank) for r in want_df.collect()), key=key)
+    assert got == want
