@@ -62,3 +62,47 @@ def test_rating_parser_matches_model(spark, lines):
     for g, w in zip(got_rows, want_rows):
         assert g[0] == w[0] and g[1] == w[1] and g[3] == w[3]
         assert math.isclose(g[2], w[2], rel_tol=1e-15) or g[2] == w[2]
+
+
+from tasteflow.sources.text import parse_movies, parse_tags  # noqa: E402
+
+text_field = st.text(alphabet="ab 1\t-", min_size=0, max_size=4)
+movie_line = st.lists(st.one_of(st.integers(-3, 30).map(str), text_field), min_size=1, max_size=12).map("^".join)
+tag_line = st.lists(st.one_of(st.integers(-3, 30).map(str), text_field), min_size=1, max_size=6).map(",".join)
+
+
+def movie_model(line):
+    parts = line.split("^")
+    if len(parts) < 10:
+        return None, "field_count"
+    mid = strict(parts[0], 32)
+    if mid is None:
+        return None, "bad_mid"
+    return (mid, *[jvm_trim(p) for p in parts[1:10]]), None
+
+
+def tag_model(line):
+    parts = line.split(",")
+    if len(parts) < 4:
+        return None, "field_count"
+    uid, mid, ts = strict(parts[0], 32), strict(parts[1], 32), strict(parts[3], 64)
+    for value, reason in ((uid, "bad_uid"), (mid, "bad_mid"), (ts, "bad_timestamp")):
+        if value is None:
+            return None, reason
+    return (uid, mid, jvm_trim(parts[2]), ts), None
+
+
+def check(parser, model, spark, lines):
+    parsed = parser(spark.createDataFrame([(v,) for v in lines], "value string"))
+    got_rows = sorted(tuple(r) for r in parsed.rows.collect())
+    got_bad = sorted((r.value, r.reason) for r in parsed.rejects.collect())
+    want = [(v, *model(v)) for v in lines]
+    assert got_bad == sorted((v, reason) for v, _, reason in want if reason is not None)
+    assert got_rows == sorted(row for _, row, _ in want if row is not None)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(movie_line, min_size=1, max_size=30), st.lists(tag_line, min_size=1, max_size=30))
+def test_movie_and_tag_parsers_match_model(spark, movies, tags):
+    check(parse_movies, movie_model, spark, movies)
+    check(parse_tags, tag_model, spark, tags)
