@@ -23,6 +23,7 @@ the whole content of its buckets.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -44,17 +45,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def committed_children(spark: SparkSession, path: str) -> list[str]:
-    """Sub-folders of ``path`` holding a committed Spark write (a ``_SUCCESS`` marker), oldest name first."""
+def children(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Sub-folders of ``path``: (committed, i.e. with a ``_SUCCESS`` marker; not committed), sorted by name."""
     fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):
-        return []
-    out = []
+        return [], []
+    done, partial = [], []
     for status in fs.listStatus(hpath):
         child = status.getPath()
-        if status.isDirectory() and fs.exists(child.suffix("/_SUCCESS")):
-            out.append(child.toString())
-    return sorted(out)
+        if status.isDirectory():
+            (done if fs.exists(child.suffix("/_SUCCESS")) else partial).append(child.toString())
+    return sorted(done), sorted(partial)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -103,12 +104,19 @@ class KeyedTable:
         return self.path.rstrip("/") + "_pending"
 
     def recover(self, spark: SparkSession) -> int:
-        """Re-apply committed pending copies left by a crashed upsert; returns how many."""
-        copies = committed_children(spark, self.pending_root)
-        for copy in copies:
+        """Re-apply committed pending copies left by a crashed upsert, oldest first; returns how many.
+
+        Copies without a commit marker come from a write that died before the
+        table was touched: they are simply removed.  Assumes one writer per
+        table (one streaming query), as a checkpointed query guarantees.
+        """
+        done, partial = children(spark, self.pending_root)
+        for copy in partial:
+            delete_path(spark, copy)
+        for copy in done:
             self._write(spark.read.parquet(copy))
             delete_path(spark, copy)
-        return len(copies)
+        return len(done)
 
     def upsert(self, rows: DataFrame, unique_keys: bool = False) -> None:
         """Merge ``rows`` into the table; per key the row with the greater ``order_cols`` stays.
@@ -129,7 +137,8 @@ class KeyedTable:
             else:
                 merged = new
             # complete content of the touched buckets, committed before the table is touched
-            pending = f"{self.pending_root}/{uuid.uuid4().hex}"
+            # names sort in creation order
+            pending = f"{self.pending_root}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
             merged.write.mode("overwrite").parquet(pending)
             self._write(spark.read.parquet(pending))
             delete_path(spark, pending)
