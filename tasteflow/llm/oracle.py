@@ -63,6 +63,21 @@ SELECT id::BIGINT AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, co
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM norm LEFT JOIN covered USING (r) LEFT JOIN found USING (r) WHERE kind = 'd'"""
 
+SQL["op1_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+wins AS (SELECT r, doc_id, i, substr(x, 2 * i + 1, 100) AS s
+         FROM (SELECT r, doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM d)),
+hit AS (SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY s) AS m FROM wins) WHERE m < doc_id),
+gone AS (SELECT DISTINCT r, i + k AS p FROM hit, range(50) t(k)),
+runs AS (SELECT r, count(*) AS n, count(*) FILTER (before IS NULL OR before < p - 1) AS spans
+         FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM gone) GROUP BY r),
+chars AS (SELECT r, i, substr(x, 2 * i + 1, 2) AS b FROM (SELECT r, x, unnest(range(0, len(x) // 2)) AS i FROM d)),
+kept AS (SELECT r, string_agg(b, '' ORDER BY i) AS x FROM chars ANTI JOIN gone ON chars.r = gone.r AND chars.i = gone.p
+         GROUP BY r)
+SELECT doc_id, len(d.x) // 2 AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.x, ''))) AS kept_sha256
+FROM d LEFT JOIN runs USING (r) LEFT JOIN kept USING (r)"""
+
 _ROOT = ("-ln((('0x' || left(md5({node} || '/' || c), 13))::BIGINT + 0.5) / 4503599627370496.0) / {weight}")
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from tasteflow.llm import (
     chat,
     decontaminate,
+    jaccard_join,
     packing,
     quality_model,
     quality_rules,
     sharding,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -27,6 +29,10 @@ URL_RULES = [url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "exa
 SHARD_TREE = sharding.ShardTree.uniform(2, 2, 4)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -45,6 +51,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -68,5 +78,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_decontaminate, op4_url_filter, op5_token_counts, op7_sharding, op8_packing,
-    op9_chat_format, op10_quality_classifier)}
+    op1_suffix_dedup, op2_quality_rules, op3_decontaminate, op4_url_filter, op5_token_counts, op6_jaccard_join,
+    op7_sharding, op8_packing, op9_chat_format, op10_quality_classifier)}
