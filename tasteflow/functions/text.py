@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 # every char <= U+0020, the set the JVM's String.trim removes
 _JVM_BLANKS = "".join(chr(code) for code in range(0x21))
-_INT_TEXT = r"^[+-]?[0-9]+$"
-_DOUBLE_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
+# \z, not $: a final line end is not part of a number
+_INT_TEXT = r"^[+-]?[0-9]+\z"
+_DOUBLE_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -50,10 +51,10 @@ def field(parts: Column, index: int) -> Column:
 
 def split_literal(c: Column | str, sep: str) -> Column:
     """Split on a literal separator (the separator is regex-quoted)."""
-    return F.split(_col(c), _quote(sep))
+    return F.split(_col(c), quote_literal(sep))
 
 
-def _quote(sep: str) -> str:
+def quote_literal(sep: str) -> str:
     special = set(r"\^$.|?*+()[]{}")
     return "".join("\\" + ch if ch in special else ch for ch in sep)
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 def tags_by_item(tags: DataFrame, sep: str = "|") -> DataFrame:
     """(mid, tags): the distinct tags of each item, sorted, joined by ``sep``.
 
-    ``collect_set`` merges partial sets map-side, so a heavily tagged item
-    ships one set per task rather than every tag row.
+    Duplicates go first, spread over (mid, tag) and reduced within each map
+    task, so an item's last step sees its distinct tags only.
     """
-    return tags.groupBy("mid").agg(F.concat_ws(sep, F.array_sort(F.collect_set("tag"))).alias("tags")).select("mid", "tags")
+    distinct = tags.select("mid", "tag").distinct()
+    listed = distinct.groupBy("mid").agg(F.sort_array(F.collect_list("tag")).alias("sorted"))
+    return listed.select("mid", F.array_join("sorted", sep).alias("tags"))
 
 
 def items_with_tags(movies: DataFrame, tag_rollup: DataFrame) -> DataFrame:

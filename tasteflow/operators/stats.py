@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteflow.functions.text import split_literal
+from tasteflow.functions.text import quote_literal, split_literal
 from tasteflow.functions.time import format_year_month, year_month_number
 from tasteflow.operators.topk import top_k_per_key
 
@@ -17,9 +17,6 @@ DEFAULT_GENRES = [
     "Musical", "Animation", "Film-Noir", "IMAX", "Horror", "Western", "Comedy", "Children", "Action", "Sci-Fi",
 ]
 
-# A genre list is a driver-side parameter; beyond this size it is joined without a broadcast hint.
-MAX_BROADCAST_GENRES = 100_000
-
 
 def rating_counts(ratings: DataFrame, order_by: str = "mid") -> DataFrame:
     """Ratings per movie.  Sorted by movie id descending, or by ``order_by='count'``."""
@@ -44,8 +41,14 @@ def average_scores(ratings: DataFrame) -> DataFrame:
 
 
 def genre_tokens(movies: DataFrame, sep: str = "|") -> DataFrame:
-    """(mid, genre) for every non-empty token of the ``|``-joined genres."""
-    return movies.select("mid", F.explode(split_literal(F.col("genres"), sep)).alias("genre")).where(F.col("genre") != "")
+    """(mid, genre) for every token of the ``|``-joined genres.
+
+    Empty fields count, except trailing ones; a field of separators alone has no token.
+    """
+    text = F.col("genres")
+    kept = F.regexp_replace(text, F.lit(f"({quote_literal(sep)})+\\z"), F.lit(""))
+    tokens = F.when((kept == "") & (text != ""), F.array().cast("array<string>")).otherwise(split_literal(kept, sep))
+    return movies.select("mid", F.explode(tokens).alias("genre"))
 
 
 def distinct_genres(movies: DataFrame, sep: str = "|") -> DataFrame:
@@ -74,8 +77,6 @@ def genre_top_k(
     genres = list(DEFAULT_GENRES if genres is None else genres)
     # the list becomes a literal array in the plan: a local relation, no Python-side data
     genre_df = movies.sparkSession.range(1).select(F.explode(F.array(*[F.lit(g) for g in genres])).alias("genre"))
-    if len(genres) <= MAX_BROADCAST_GENRES:
-        genre_df = F.broadcast(genre_df)
     scored = movies.select("mid", "genres").join(averages.select("mid", "avg_score"), "mid")
     if match == "substring":
         hits = scored.join(genre_df, F.lower(scored["genres"]).contains(F.lower(genre_df["genre"])))
@@ -83,12 +84,12 @@ def genre_top_k(
     elif match == "token":
         # one row per (movie, distinct lower-cased token): a word listed twice must not count twice
         tokens = scored.select(
-            "mid", F.explode(F.array_distinct(split_literal(F.lower("genres"), "|"))).alias("token")
+            "mid", "avg_score", F.explode(F.array_distinct(split_literal(F.lower("genres"), "|"))).alias("token")
         ).where(F.col("token") != "")
         keyed = genre_df.select("genre", F.lower("genre").alias("token"))
-        hits = tokens.join(keyed, "token").join(scored.select("mid", "avg_score"), "mid")
-        hits = hits.select("genre", "mid", "avg_score")
+        hits = tokens.join(keyed, "token").select("genre", "mid", "avg_score")
     else:
         raise ValueError(f"unknown match mode {match!r}")
-    ranked = top_k_per_key(hits, "genre", [F.desc("avg_score"), F.asc("mid")], k)
+    # a NaN average (from a NaN rating) ranks last
+    ranked = top_k_per_key(hits, "genre", [F.isnan("avg_score").asc(), F.desc("avg_score"), F.asc("mid")], k)
     return ranked.select("genre", F.col("rank").cast("int").alias("rank"), "mid", "avg_score")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tasteflow.session import default_partitions
+from tasteflow.session import scratch_dir
 
 
 def top_k_per_key(
@@ -88,15 +88,20 @@ def rank_within_key(
     batches, already sorted), and keys that straddle partition boundaries get
     the row counts of the earlier partitions added.  Only boundary keys need
     an offset: at most two per partition, so the offset table has at most
-    2 * partitions rows and is broadcast by construction.
+    2 * partitions rows.  The numbered rows are written once to the shared
+    folder and both uses read that copy: ranges are sampled, so computing them
+    twice could number the partitions differently.  ``partitions`` defaults to
+    the session's shuffle width, which AQE adapts.
     """
-    n = partitions or default_partitions(df.sparkSession)
     sort_cols = [F.col(key).asc_nulls_first(), *order]
-    ordered = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    ranged = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
+    ordered = ranged.sortWithinPartitions(*sort_cols)
     schema = T.StructType(
         list(ordered.schema.fields) + [T.StructField(rank_col, T.LongType()), T.StructField("_pid", T.IntegerType())]
     )
-    numbered = ordered.mapInPandas(_local_numbers(key, rank_col), schema)
+    copy = scratch_dir(df.sparkSession, "ranked")
+    ordered.mapInPandas(_local_numbers(key, rank_col), schema).write.parquet(copy)
+    numbered = df.sparkSession.read.schema(schema).parquet(copy)
 
     counts = numbered.groupBy("_pid", key).agg(F.max(rank_col).alias("_cnt"))
     spread = Window.partitionBy(key)
@@ -109,6 +114,6 @@ def rank_within_key(
     offsets = offsets.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), "_offset")
     # null-safe on the key: null keys form one group, as in a window
     on = (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey"))
-    joined = numbered.join(F.broadcast(offsets), on, "left")
+    joined = numbered.join(offsets, on, "left")
     ranked = joined.withColumn(rank_col, F.col(rank_col) + F.coalesce("_offset", F.lit(0)))
     return ranked.drop("_pid", "_opid", "_okey", "_offset")

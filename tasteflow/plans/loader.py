@@ -5,7 +5,7 @@ written in one pass, partitioned by ``status``: ``status=ok`` holds the
 typed rows, ``status=reject`` the raw line and the reason (the raw column
 is null for good rows, which Parquet stores almost for free).  Readers of
 the clean table filter ``status = 'ok'``, a static partition filter.
-``strict=True`` fails on the first bad line before writing, like the
+``strict=True`` fails the writing job on the first bad line, like the
 original loader.  The enriched movie index is built from the *written*
 tables, so the index job has a short lineage and never re-parses text.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators.catalog import items_with_tags, tags_by_item
+from tasteflow.operators.topk import newest_per_key
 from tasteflow.schemas import MOVIE, RATING, TAG
 from tasteflow.sources.tables import TableStore
 from tasteflow.sources.text import Parsed, parse_movies, parse_ratings, parse_tags, read_lines
@@ -38,18 +39,23 @@ class LoadedTables:
 def write_parsed(
     parsed: Parsed, store: TableStore, name: str, columns: list[str], extra: dict | None = None, strict: bool = False
 ) -> None:
-    """One pass: typed rows and quarantined lines into ``name``, partitioned by status."""
-    if strict:
-        parsed.require_clean()
+    """One pass: typed rows and quarantined lines into ``name``, partitioned by status.
+
+    With layout columns the rows are first rebalanced on them, so a bucket is
+    a few files of even size however many tasks parsed it; AQE splits a hot one.
+    """
     ok = F.col("reason").isNull()
     extra = extra or {}
+    bad = F.raise_error(F.concat(F.lit(f"{name}: "), "reason", F.lit(": "), "value")) if strict else F.lit(REJECT)
     out = parsed.staged.select(
         *columns,
         *[expr.alias(col) for col, expr in extra.items()],
         F.when(ok, F.lit(None).cast("string")).otherwise(F.col("value")).alias("raw"),
         "reason",
-        F.when(ok, F.lit(OK)).otherwise(F.lit(REJECT)).alias("status"),
+        F.when(ok, F.lit(OK)).otherwise(bad).alias("status"),
     )
+    if extra:
+        out = out.hint("rebalance", *extra)
     store.write(out, name, partition_by=["status", *extra])
 
 
@@ -112,13 +118,13 @@ def load_text_inputs(
 
 
 def write_movie_index(movies: DataFrame, tags: DataFrame, store: TableStore, index_store: TableStore | None = None) -> None:
-    """Movies with their ``|``-joined distinct tags, written keyed by ``mid``.
+    """Movies with their ``|``-joined distinct tags, written keyed by ``mid``: one document per id.
 
-    For a search-index connector pass ``index_store`` with its format and
+    Of several movies with one id, the last by name (then by its other fields) stays.  For a search-index connector pass ``index_store`` with its format and
     options (for example an id-mapping option naming ``mid``); the default
     is a Parquet table clustered by ``mid``.
     """
-    index = items_with_tags(movies, tags_by_item(tags))
+    index = items_with_tags(newest_per_key(movies, "mid", ["name"]), tags_by_item(tags)).select(*movies.columns, "tags")
     target = index_store or store
     if target.fmt == "parquet":
         index = index.repartitionByRange("mid").sortWithinPartitions("mid")

@@ -6,7 +6,8 @@ against the pre-registered tables.
 
 from __future__ import annotations
 
-from tasteflow.plans.registry import ALL_PAIRS_THRESHOLD, LIST_THRESHOLD, PAIR_THRESHOLD, TEST_GENRES
+from tasteflow.operators.als import GRID_RANKS, GRID_REGS
+from tasteflow.plans.registry import ALL_PAIRS_THRESHOLD, LIST_THRESHOLD, PAIR_THRESHOLD, SEED, TEST_GENRES
 
 RATINGS = """ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(l_partkey AS INTEGER) AS mid,
@@ -86,7 +87,14 @@ SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y%m') AS year_month, mi
 FROM ratings GROUP BY 1, 2 ORDER BY 1 DESC, 3 DESC, 2"""
 
 SQL["distinct_genres"] = with_views(MOVIES) + """
-SELECT DISTINCT genre FROM (SELECT unnest(string_split(genres, '|')) AS genre FROM movies) WHERE genre <> ''"""
+SELECT DISTINCT unnest(string_split(regexp_replace(genres, '\|+$', ''), '|')) AS genre FROM movies"""
+
+SQL["sparse_genres"] = with_views(MOVIES) + """
+SELECT genre, count(*) AS n FROM (
+  SELECT unnest(string_split(regexp_replace(
+    concat(CASE WHEN mid % 5 = 0 THEN '|' ELSE '' END, replace(genres, '|red|', '||'),
+           CASE WHEN mid % 3 = 0 THEN '||' ELSE '' END), '\|+$', ''), '|')) AS genre FROM movies)
+GROUP BY genre"""
 
 SQL["distinct_users"] = with_views(RATINGS) + """
 SELECT DISTINCT uid FROM ratings"""
@@ -200,6 +208,31 @@ FROM ratings t JOIN predicted p USING (uid, mid)"""
 SQL["log_filter_stream"] = with_views(RATINGS) + f"""
 SELECT 'logProcessor' AS key, {RATING_LINES.replace("concat_ws(',',", "concat_ws('|',")} AS value FROM ratings"""
 
+SQL["forwarded_clock"] = with_views(RATINGS) + "SELECT true AS on_time, count(*) AS n FROM ratings"
+
+# facts about the fitted model: which rows a seed holds out, which ids have factors, what the lists are like
+SPLIT = f"""split AS (
+  SELECT *, ('0x' || left(md5(concat_ws('|', '{SEED}', {_c('uid')}, {_c('mid')},
+      coalesce(CAST(CAST(round(score * 1000000) AS BIGINT) AS VARCHAR), ''), {_c('"timestamp"')})), 8))::BIGINT
+      < {round(0.8 * 2 ** 32)} AS train FROM ratings)"""
+
+SQL["holdout_split"] = with_views(RATINGS, SPLIT) + """
+SELECT uid, mid, score, "timestamp", CASE WHEN train THEN 'train' ELSE 'test' END AS split FROM split"""
+
+SQL["als_factor_ids"] = with_views(RATINGS) + """
+SELECT DISTINCT 'user' AS side, uid AS id FROM ratings UNION ALL SELECT DISTINCT 'item', mid FROM ratings"""
+
+SQL["als_predicted_pairs"] = with_views(RATINGS, SPLIT) + """
+SELECT uid, mid FROM split WHERE NOT train AND uid IN (SELECT uid FROM split WHERE train)
+  AND mid IN (SELECT mid FROM split WHERE train)"""
+
+SQL["stored_user_lists"] = with_views(RATINGS) + """
+SELECT DISTINCT uid, true AS short, true AS sorted, true AS positive, true AS in_catalogue FROM ratings"""
+
+SQL["als_grid_facts"] = f"""
+SELECT CAST(r AS INTEGER) AS "rank", CAST(g AS DOUBLE) AS reg_param, true AS has_error, true AS best_is_least
+FROM unnest({list(GRID_RANKS)}) a(r), unnest({list(GRID_REGS)}) b(g)"""
+
 SQL["rating_event_stream"] = SQL["ratings_parsed"]
 
 SQL["realtime_stream_upsert"] = SQL["realtime_lists"]

@@ -1,15 +1,14 @@
 """Statistics job: rating counts, monthly counts, averages, top-k per genre.
 
-Two equivalent surfaces: DataFrame operators (``run_statistics``) and SQL
-over temp views (``register_views`` + ``STATISTICS_SQL``), where the
-month key is a native expression instead of a registered Python function.
+Two surfaces over the same operators: DataFrames (``run_statistics``) and temp
+views that users query with SQL (``register_views``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tasteflow.functions.lists import ranked_to_lists
 from tasteflow.operators import stats
@@ -55,24 +54,10 @@ def run_statistics(
 
 
 def register_views(ratings: DataFrame, movies: DataFrame | None = None) -> None:
-    """Expose the inputs to SQL as ``ratings`` (and ``movies``)."""
-    ratings.createOrReplaceTempView("ratings")
+    """Temp views for SQL users: the inputs, and each plain statistic under its table name."""
+    views = {"ratings": ratings, RATE_MORE: stats.rating_counts(ratings), AVERAGE: stats.average_scores(ratings),
+             RATE_MORE_RECENTLY: stats.monthly_counts(ratings)}
     if movies is not None:
-        movies.createOrReplaceTempView("movies")
-
-
-STATISTICS_SQL = {
-    RATE_MORE: "SELECT mid, count(score) AS rating_count FROM ratings GROUP BY mid ORDER BY mid DESC",
-    RATE_MORE_RECENTLY: """
-        SELECT year_month, mid, count(mid) AS rating_count
-        FROM (SELECT mid, date_format(date_from_unix_date(CAST(floor(timestamp / 86400) AS INT)), 'yyyyMM') AS year_month
-              FROM ratings)
-        GROUP BY year_month, mid
-        ORDER BY year_month DESC, rating_count DESC, mid""",
-    AVERAGE: "SELECT mid, avg(score) AS avg_score FROM ratings GROUP BY mid",
-}
-
-
-def sql_statistics(spark: SparkSession) -> dict[str, DataFrame]:
-    """The three plain statistics as SQL over the registered views."""
-    return {name: spark.sql(text) for name, text in STATISTICS_SQL.items()}
+        views["movies"] = movies
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)

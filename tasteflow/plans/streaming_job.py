@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tasteflow.session import shared_dir
+from tasteflow.sources.tables import HashedTable
 from tasteflow.streaming.logs import start_log_forwarder
 from tasteflow.streaming.recommender import BOOST_ABOVE, CANDIDATE_K, MIN_SIM, RECENT_K, RealtimeRecommender
 from tasteflow.streaming.sink import KeyedTable
@@ -25,22 +26,22 @@ def start_recommender(
     spark: SparkSession,
     source: str,
     similarity: DataFrame,
-    ratings: DataFrame,
+    ratings: HashedTable,
     table_path: str,
     checkpoint: str | None = None,
-    n_buckets: int = 64,
     recent_k: int = RECENT_K,
     candidate_k: int = CANDIDATE_K,
     min_sim: float = MIN_SIM,
     boost_above: float = BOOST_ABOVE,
+    job_options: dict | None = None,
     **kw,
 ):
-    """Start the real-time job; returns ``(query, job)`` (``job.refresh_snapshots`` re-reads its inputs).
+    """Start the real-time job; returns ``(query, job)``; ``job.close()`` stops it and drops its snapshot.
 
     The default checkpoint location is stable, so a restarted job resumes
     where it stopped; replayed micro-batches are idempotent in the sink.
     """
-    table = KeyedTable(table_path, key="uid", n_buckets=n_buckets)
-    job = RealtimeRecommender(similarity, ratings, table, recent_k, candidate_k, min_sim, boost_above)
+    table = KeyedTable(table_path, key="uid")
+    job = RealtimeRecommender(similarity, ratings, table, recent_k, candidate_k, min_sim, boost_above, **(job_options or {}))
     query = job.start(spark, source, checkpoint or shared_dir(spark, "streams", "recommender"), **kw)
     return query, job

@@ -8,6 +8,7 @@ local session) do we create one, with ``tempfile`` on the local disk.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -66,12 +67,16 @@ def _checkpoint_root(spark: SparkSession) -> str | None:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Return a path under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session.  If it is unset (tests,
-    ad-hoc local sessions) a local temporary folder is created and
-    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` works too.
+    Reads ``spark.checkpoint.dir`` from the session.  If it is unset, a local
+    master (tests, ad-hoc sessions) gets a temporary folder registered as the
+    checkpoint dir; any other master raises, because its executors would not
+    see the driver's disk.
     """
     root = _checkpoint_root(spark)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that every node of {master} sees")
         root = tempfile.mkdtemp(prefix="tasteflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -94,15 +99,12 @@ def local_path(path: str) -> str:
     return os.path.abspath(path)
 
 
-def default_partitions(spark: SparkSession) -> int:
-    """Partition count for layouts AQE cannot coalesce (buckets, explicit range partitions).
-
-    ``min(spark.sql.shuffle.partitions, 2 x cores)``: on a large cluster this
-    is the configured shuffle width; on a small one it avoids hundreds of
-    near-empty tasks per join.
-    """
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 2 * spark.sparkContext.defaultParallelism))
+def ship_package(spark: SparkSession) -> None:
+    """Give every executor this package, zipped, when it is not installed there."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tasteflow-ship-"), "tasteflow")
+    path = shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(path)
 
 
 def checkpointed(df):

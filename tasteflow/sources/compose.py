@@ -57,12 +57,7 @@ def activity_log_lines(tags: DataFrame) -> DataFrame:
     )
 
 
-def write_lines(lines: DataFrame, path: str, partitions: int | None = None, order_by: str | None = None) -> str:
-    """Write a ``value`` column as text files; ``order_by`` range-splits the files in time order."""
-    out = lines
-    if order_by is not None:
-        out = out.repartitionByRange(partitions or 8, order_by).sortWithinPartitions(order_by)
-    elif partitions is not None:
-        out = out.repartition(partitions)
-    out.select("value").write.mode("overwrite").text(path)
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Write a ``value`` column as text files, one per partition of ``lines``."""
+    lines.select("value").write.mode("overwrite").text(path)
     return path

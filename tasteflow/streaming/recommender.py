@@ -4,27 +4,27 @@ Per micro-batch (``foreachBatch``), all as joins on the whole batch:
 
 parse ``uid|mid|score|timestamp`` -> newest event per user -> unseen
 similar candidates -> score against the user's recent ratings -> one
-list per user of the batch (empty when nothing scored) -> replace-by-key
-upsert into the suggestions table.
-
-The similarity table, the recent-ratings table and the rated set are
-snapshots taken once at start, like the original job's broadcast map.
-They are written to the shared folder, the lookup tables bucketed on their
-join keys, so each micro-batch joins against them without shuffling them,
-and losing an executor never recomputes them from the raw tables.  The
-candidate expansion instead semi-joins the similarity copy down to the
-batch's items and shuffles, so a hot item can be split by AQE.  Nothing is
-collected to the driver.
+list per user of the batch (empty when nothing scored) -> keyed upsert
+into the suggestions table.
+
+Ratings are live: each batch looks up its users' newest ratings and rated
+items in the stored rating table, reading only their buckets, so a rating
+stored between two batches counts in the second.  The similarity table is a
+snapshot taken at start, as in the original job: a managed table in the
+warehouse, hashed by item, of which a batch reads the buckets of its items.
+``refresh`` takes a new snapshot, ``close`` drops it.  Nothing but bucket
+numbers is collected to the driver.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators import realtime
-from tasteflow.session import default_partitions, scratch_dir
-from tasteflow.sources.tables import bucketed_snapshot, parquet_snapshot
+from tasteflow.sources.tables import HashedTable
 from tasteflow.sources.text import parse_rating_events
 from tasteflow.streaming.logs import read_line_stream
 from tasteflow.streaming.sink import KeyedTable
@@ -34,70 +34,65 @@ RECENT_K, CANDIDATE_K = 10, 10
 MIN_SIM, BOOST_ABOVE = 0.6, 3.0
 
 
+class SimilaritySnapshot:
+    """The similarity table with each partner's place, partitioned by a hash of the item."""
+
+    def __init__(self, similarity: DataFrame, buckets: int):
+        self.spark, self.buckets = similarity.sparkSession, int(buckets)
+        self.name = f"similarity_{uuid.uuid4().hex[:12]}"
+        ranked = realtime.ranked_partners(similarity).withColumn("bucket", self._bucket("mid"))
+        ranked.hint("rebalance", "bucket").write.partitionBy("bucket").saveAsTable(self.name)
+
+    def _bucket(self, column: str):
+        return F.pmod(F.xxhash64(F.col(column).cast("bigint")), F.lit(self.buckets)).cast("int")
+
+    def of(self, items: DataFrame) -> DataFrame:
+        """The rows of the given items (``mid``)."""
+        wanted = items.select("mid").distinct()
+        ids = sorted(r[0] for r in wanted.select(self._bucket("mid").alias("b")).distinct().collect())
+        rows = items.sparkSession.table(self.name).where(F.col("bucket").isin(ids)).drop("bucket")
+        return rows.join(wanted, "mid", "left_semi")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 class RealtimeRecommender:
     def __init__(
         self,
         similarity: DataFrame,
-        ratings: DataFrame,
+        ratings: HashedTable,
         table: KeyedTable,
         recent_k: int = RECENT_K,
         candidate_k: int = CANDIDATE_K,
         min_sim: float = MIN_SIM,
         boost_above: float = BOOST_ABOVE,
-        snapshot: bool = True,
-        snapshot_buckets: int | None = None,
-        append_ratings_to: str | None = None,
-        uid_buckets: int | None = None,
-        batch_partitions: int | None = None,
+        similarity_buckets: int = 64,
+        store_ratings: bool = False,
         rejects_to: str | None = None,
+        compact_every: int | None = None,
     ):
-        self._sources = (similarity, ratings, recent_k, snapshot_buckets)
-        self._take_snapshots(similarity, ratings, recent_k, snapshot, snapshot_buckets, uid_buckets)
+        """``ratings`` is hashed by ``uid``.  ``store_ratings`` appends each batch's events to it."""
+        self.similarity = SimilaritySnapshot(similarity, similarity_buckets)
+        self.similarity_buckets = similarity_buckets
+        self.ratings = ratings
         self.table = table
-        self.batch_partitions = batch_partitions or default_partitions(ratings.sparkSession)
-        self.append_ratings_to = append_ratings_to
-        self.rejects_to = rejects_to
-        self.candidate_k = candidate_k
-        self.min_sim = min_sim
-        self.boost_above = boost_above
-
-    def refresh_snapshots(self, similarity: DataFrame | None = None, ratings: DataFrame | None = None) -> None:
-        """Re-take the snapshots (e.g. after the offline job rewrote the similarity table).
-
-        Pass freshly read DataFrames for tables that were rewritten: a file
-        DataFrame keeps the file listing it was created with.  Call between
-        micro-batches; batches already running keep the old snapshot.
-        """
-        old_sims, old_ratings, recent_k, buckets = self._sources
-        self._sources = (similarity or old_sims, ratings or old_ratings, recent_k, buckets)
-        self._take_snapshots(self._sources[0], self._sources[1], recent_k, self.snapshot, buckets, self.uid_buckets)
-
-    def _take_snapshots(self, similarity, ratings, recent_k, snapshot, snapshot_buckets, uid_buckets) -> None:
-        sims = similarity.select("mid", "sim_mid", "score")
-        recent = realtime.recent_ratings(ratings, k=recent_k)
-        # live mode keeps the table's uid_bucket partition column for pruning
-        rated = ratings.select("uid", "mid", *(["uid_bucket"] if "uid_bucket" in ratings.columns else []))
-        self.uid_buckets = uid_buckets
-        self.snapshot = snapshot
-        if snapshot:
-            # each snapshot is bucketed on exactly the keys it is joined on, so a
-            # micro-batch reads it in place and shuffles only its own (small) side
-            spark = ratings.sparkSession
-            n = snapshot_buckets or default_partitions(spark)
-
-            def snap(df, keys, label):
-                return bucketed_snapshot(df, keys, n, scratch_dir(spark, label), label)
-
-            # candidate expansion reads this copy through a semi-join on the batch's items and
-            # then shuffles, so AQE can split a hot item: plain Parquet, not bucketed
-            self.sims_by_item = parquet_snapshot(sims, scratch_dir(spark, "sims_by_item"))
-            # pair lookups join on (mid, sim_mid): bucketed on exactly those keys
-            self.sims_by_pair = snap(self.sims_by_item, ["mid", "sim_mid"], "sims_by_pair")
-            self.recent = snap(recent, ["uid"], "recent")
-            self.rated = snap(rated.select("uid", "mid"), ["uid", "mid"], "rated")
-        else:
-            self.sims_by_item = self.sims_by_pair = sims
-            self.recent, self.rated = recent, rated
+        self.recent_k, self.candidate_k = recent_k, candidate_k
+        self.min_sim, self.boost_above = min_sim, boost_above
+        self.store_ratings, self.rejects_to = store_ratings, rejects_to
+        self.compact_every = compact_every
+        self.query = None
+
+    def refresh(self, similarity: DataFrame) -> None:
+        """Take a new similarity snapshot; call between micro-batches."""
+        old, self.similarity = self.similarity, SimilaritySnapshot(similarity, self.similarity_buckets)
+        old.drop()
+
+    def close(self) -> None:
+        """Stop the query, if any, and drop the snapshot."""
+        if self.query is not None and self.query.isActive:
+            self.query.stop()
+        self.similarity.drop()
 
     def lists_for(self, events: DataFrame) -> DataFrame:
         """(uid, recs, event_time, event_mid, event_score) for the newest event of each user."""
@@ -105,11 +100,16 @@ class RealtimeRecommender:
 
     def lists_from_last(self, last: DataFrame) -> DataFrame:
         """As :meth:`lists_for`, from events already reduced to one per user."""
-        cand = realtime.unseen_candidates(
-            last, self.sims_by_item, self.rated, k=self.candidate_k, prefilter=not self.snapshot,
-            uid_buckets=self.uid_buckets,
-        )
-        scores = realtime.realtime_scores(cand, self.recent, self.sims_by_pair, self.min_sim, self.boost_above)
+        return self._lists(last, *self._candidates(last))
+
+    def _candidates(self, last: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The batch's candidates, and its users' newest ratings."""
+        mine = self.ratings.lookup(last)
+        cand = realtime.unseen_candidates(last, self.similarity.of(last), mine, k=self.candidate_k)
+        return cand, realtime.recent_ratings(mine, k=self.recent_k)
+
+    def _lists(self, last: DataFrame, cand: DataFrame, recent: DataFrame) -> DataFrame:
+        scores = realtime.realtime_scores(cand, recent, self.similarity.of(cand), self.min_sim, self.boost_above)
         users = last.select(
             "uid",
             F.col("timestamp").alias("event_time"),
@@ -119,28 +119,27 @@ class RealtimeRecommender:
         return realtime.user_lists(users, scores, distinct_users=False)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        # a streaming query runs on its own clone of the session: this sizes the
-        # micro-batch shuffles without touching the caller's session
-        batch.sparkSession.conf.set("spark.sql.shuffle.partitions", str(self.batch_partitions))
-        lines = batch.select("value")
-        extra_outputs = bool(self.rejects_to or self.append_ratings_to)
-        if extra_outputs:  # several outputs read the batch: read and parse it once
-            lines = lines.persist()
+        lines = batch.select("value").persist()
         parsed = parse_rating_events(lines)
-        # the newest event per user feeds two branches (candidates, output rows): compute it once
+        # the newest event per user feeds several branches: compute it once
         last = realtime.last_event_per_user(parsed.rows).persist()
         try:
             if self.rejects_to:
                 # malformed events are kept per batch id (a replay overwrites the same folder)
                 parsed.rejects.write.mode("overwrite").parquet(f"{self.rejects_to.rstrip('/')}/batch_id={batch_id}")
-            if self.append_ratings_to:
-                # optional: keep the incoming ratings; one folder per batch id, so a replay overwrites it
-                parsed.rows.write.mode("overwrite").parquet(f"{self.append_ratings_to.rstrip('/')}/batch_id={batch_id}")
-            self.table.upsert(self.lists_from_last(last), unique_keys=True)
+            cand, recent = self._candidates(last)
+            cand = cand.persist()  # read for its buckets, then for its scores
+            try:
+                self.table.upsert(self._lists(last, cand, recent), batch_id)
+            finally:
+                cand.unpersist()
+            if self.store_ratings:  # after the lists: an event does not see itself; batch 0 is the base
+                self.ratings.append(parsed.rows, batch_id + 1)
+            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+                self.table.compact(batch.sparkSession)
         finally:
             last.unpersist()
-            if extra_outputs:
-                lines.unpersist()
+            lines.unpersist()
 
     def start(
         self,
@@ -153,9 +152,10 @@ class RealtimeRecommender:
         max_files_per_trigger: int | None = None,
     ):
         lines = read_line_stream(spark, source, source_format, max_files_per_trigger, source_options)
-        return (
+        self.query = (
             lines.writeStream.foreachBatch(self.process_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "2 seconds"}))
             .start()
         )
+        return self.query

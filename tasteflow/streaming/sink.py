@@ -1,155 +1,57 @@
-"""Replace-by-key table on plain Parquet (no merge-capable table format needed).
+"""Keyed table on plain Parquet: append per batch, newest wins on read, compaction.
 
-Rows are spread over ``n_buckets`` hash buckets (a partition column).  An
-upsert reads only the buckets its keys fall into (a static partition filter
-built from at most ``n_buckets`` ids), keeps the newest row per key (by
-``order_cols``) among old and new rows, and rewrites just those buckets
-with dynamic partition overwrite.  Untouched buckets are never
-read or written, so a micro-batch costs O(touched buckets), not O(table).
+An upsert writes one folder, named after its batch: a micro-batch costs what it
+holds, not what the table holds, and a replay overwrites its own folder.  A
+reader keeps the newest row per key (by ``order_cols``), so neither replays nor
+arrival order change the result.  Spark's own commit makes a folder visible
+whole or not at all; nothing is ever swapped or repaired.
 
-"Newest wins" makes an upsert idempotent and order-independent: replaying
-a micro-batch after a failure, or receiving batches out of order, leaves
-the same table.  Tasks that die mid-write are retried against the old
-files, which stay in place until the job commits.
-
-Driver crashes: swapping bucket directories at commit is not atomic across
-buckets.  So the merged content of the touched buckets is first written,
-complete and committed, to a fresh folder beside the table (``<path>_pending``),
-and only then swapped in.  If the driver dies during the swap, the next
-upsert (or :meth:`KeyedTable.recover`) re-applies every committed pending
-copy before anything else; re-applying is idempotent because a copy holds
-the whole content of its buckets.
+``compact`` folds everything into the first folder of a new generation and then
+records the generation.  Readers use the newest recorded one, so a compaction
+that dies half-way is never read.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteflow.operators.topk import top_k_per_key
-from tasteflow.sources.tables import touched_buckets
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    return bool(fs.exists(hpath))
-
-
-def children(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Sub-folders of ``path``: (committed, i.e. with a ``_SUCCESS`` marker; not committed), sorted by name."""
-    fs, hpath = _fs(spark, path)
-    if not fs.exists(hpath):
-        return [], []
-    done, partial = [], []
-    for status in fs.listStatus(hpath):
-        child = status.getPath()
-        if status.isDirectory():
-            (done if fs.exists(child.suffix("/_SUCCESS")) else partial).append(child.toString())
-    return sorted(done), sorted(partial)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs(spark, path)
-    fs.delete(hpath, True)
+from tasteflow.operators.topk import newest_per_key
 
-
-def newest_in_batch(rows: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest ``order_cols`` (a top-1 window, limited before its shuffle)."""
-    return top_k_per_key(rows, key, [F.desc(c) for c in order_cols], 1, rank_col="_rn").drop("_rn")
+FOLDED = -1  # the batch number of a generation's folded rows
 
 
 class KeyedTable:
-    def __init__(
-        self,
-        path: str,
-        key: str = "uid",
-        order_cols: Sequence[str] = ("event_time", "event_mid", "event_score"),
-        n_buckets: int = 64,
-    ):
-        self.path = path
+    def __init__(self, path: str, key: str = "uid",
+                 order_cols: Sequence[str] = ("event_time", "event_mid", "event_score")):
+        self.path = path.rstrip("/")
         self.key = key
         self.order_cols = list(order_cols)
-        self.n_buckets = int(n_buckets)
 
-    def bucket_of(self, col: str) -> F.Column:
-        return F.pmod(F.xxhash64(F.col(col)), F.lit(self.n_buckets)).cast("int")
+    def generation(self, spark: SparkSession) -> int:
+        """The newest recorded generation (a table of one row per compaction)."""
+        try:
+            return spark.read.schema("generation int").parquet(f"{self.path}_generations").agg(F.max("generation")).first()[0] or 0
+        except AnalysisException:  # never compacted
+            return 0
 
-    def _merge(self, old: DataFrame, new: DataFrame) -> DataFrame:
-        """Full outer join on the key: take the new row unless the old one is strictly newer."""
-        o, n = old.alias("o"), new.alias("n")
-        joined = o.join(n, F.col(f"o.{self.key}") == F.col(f"n.{self.key}"), "full_outer")
-        old_order = F.struct(*[F.col(f"o.{c}") for c in self.order_cols])
-        new_order = F.struct(*[F.col(f"n.{c}") for c in self.order_cols])
-        take_new = F.col(f"o.{self.key}").isNull() | (F.col(f"n.{self.key}").isNotNull() & (new_order >= old_order))
-        return joined.select(*[F.when(take_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in new.columns])
+    def _folder(self, generation: int) -> str:
+        return f"{self.path}/generation={generation}"
 
-    def exists(self, spark: SparkSession) -> bool:
-        return path_exists(spark, self.path)
+    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+        """Add the rows of a batch; per key the row with the greatest ``order_cols`` is read back."""
+        rows.write.mode("overwrite").parquet(f"{self._folder(self.generation(rows.sparkSession))}/batch={int(batch_id)}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("bucket")
-
-    @property
-    def pending_root(self) -> str:
-        return self.path.rstrip("/") + "_pending"
-
-    def recover(self, spark: SparkSession) -> int:
-        """Re-apply committed pending copies left by a crashed upsert, oldest first; returns how many.
-
-        Copies without a commit marker come from a write that died before the
-        table was touched: they are simply removed.  Assumes one writer per
-        table (one streaming query), as a checkpointed query guarantees.
-        """
-        done, partial = children(spark, self.pending_root)
-        for copy in partial:
-            delete_path(spark, copy)
-        for copy in done:
-            self._write(spark.read.parquet(copy))
-            delete_path(spark, copy)
-        return len(done)
-
-    def upsert(self, rows: DataFrame, unique_keys: bool = False) -> None:
-        """Merge ``rows`` into the table; per key the row with the greater ``order_cols`` stays.
-
-        ``unique_keys=True`` skips the in-batch de-duplication when the
-        caller already produces one row per key.
-        """
-        spark = rows.sparkSession
-        self.recover(spark)
-        new = rows if unique_keys else newest_in_batch(rows, self.key, self.order_cols)
-        new = new.withColumn("bucket", self.bucket_of(self.key)).persist()
-        try:
-            if self.exists(spark):
-                # static partition filter: only the touched buckets are read and rewritten
-                ids = touched_buckets(new, "bucket", self.n_buckets)
-                old = spark.read.parquet(self.path).where(F.col("bucket").isin(ids))
-                merged = self._merge(old.select(*new.columns), new)
-            else:
-                merged = new
-            # complete content of the touched buckets, committed before the table is touched
-            # names sort in creation order
-            pending = f"{self.pending_root}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-            merged.write.mode("overwrite").parquet(pending)
-            self._write(spark.read.parquet(pending))
-            delete_path(spark, pending)
-        finally:
-            new.unpersist()
-
-    def _write(self, merged: DataFrame) -> None:
-        (
-            merged.repartition("bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(self.path)
-        )
+        rows = spark.read.parquet(self._folder(self.generation(spark))).drop("batch")
+        return newest_per_key(rows, self.key, self.order_cols)
+
+    def compact(self, spark: SparkSession) -> int:
+        """Fold all batches into a new generation; returns it.  Call between batches: one writer per table."""
+        new = self.generation(spark) + 1
+        self.read(spark).write.mode("overwrite").parquet(f"{self._folder(new)}/batch={FOLDED}")
+        spark.range(1).select(F.lit(new).alias("generation")).write.mode("append").parquet(f"{self.path}_generations")
+        return new

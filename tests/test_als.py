@@ -61,3 +61,19 @@ def test_same_seed_same_split_and_factors(spark):
     f1 = {r.id: r.features for r in als.item_factors(als.fit_als(ratings, rank=2, max_iter=2, seed=3)).collect()}
     f2 = {r.id: r.features for r in als.item_factors(als.fit_als(ratings, rank=2, max_iter=2, seed=3)).collect()}
     assert f1 == f2
+
+
+def test_cores_and_layout_do_not_change_the_model(spark):
+    """The block count and the split follow from parameters and values, not from partitions."""
+    ratings = low_rank_ratings(spark, n_users=30, n_items=20)
+    lists = []
+    for parts in (1, 7):
+        model = als.fit_als(ratings.repartition(parts), rank=3, max_iter=3, seed=4)
+        assert model.userFactors.count() == 30
+        top = als.user_top_k(model, ratings.select("mid").distinct(), k=5)
+        lists.append(sorted((r.uid, r["rank"], r.mid) for r in top.collect()))
+    assert lists[0] == lists[1]
+    a, _ = als.holdout_split(ratings.repartition(3), seed=5)
+    b, _ = als.holdout_split(ratings.repartition(11), seed=5)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert 0.6 < a.count() / ratings.count() < 0.95

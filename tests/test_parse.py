@@ -113,3 +113,11 @@ def test_loader_one_pass_with_quarantine(spark, tmp_dir):
     ]
     index = store.read(spark, loader.INDEX_TABLE).collect()
     assert [(r.mid, r.tags) for r in index] == [(13, "documentary")]
+
+
+def test_a_line_end_is_not_part_of_a_number(spark):
+    from tasteflow.functions.text import strict_int, strict_long
+
+    df = spark.createDataFrame([("4",), ("4\n",), ("4\r",), ("\n4",), ("-7",)], "v string")
+    assert [tuple(r) for r in df.select(strict_int("v"), strict_long("v")).collect()] == [
+        (4, 4), (None, None), (None, None), (None, None), (-7, -7)]

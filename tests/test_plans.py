@@ -25,15 +25,16 @@ def test_statistics_job_writes_four_tables(spark, tmp_dir):
     assert store.read(spark, statistics.AVERAGE).count() == ratings.select("mid").distinct().count()
 
 
-def test_sql_statistics_equal_dataframe_statistics(spark):
+def test_statistics_are_views_for_sql(spark):
     ratings = adapters.ratings_view(spark, SF)
-    statistics.register_views(ratings)
-    sql = statistics.sql_statistics(spark)
+    statistics.register_views(ratings, adapters.movies_view(spark, SF))
     from tasteflow.operators import stats
 
-    assert sorted(map(tuple, sql[statistics.RATE_MORE_RECENTLY].collect())) == sorted(
-        map(tuple, stats.monthly_counts(ratings).collect())
+    got = spark.sql(f"SELECT * FROM {statistics.RATE_MORE_RECENTLY} WHERE rating_count > 1")
+    assert sorted(map(tuple, got.collect())) == sorted(
+        map(tuple, stats.monthly_counts(ratings).where("rating_count > 1").collect())
     )
+    assert spark.sql(f"SELECT name FROM movies JOIN {statistics.AVERAGE} USING (mid)").count() > 0
 
 
 def test_offline_job_lists(spark, tmp_dir):
@@ -44,7 +45,7 @@ def test_offline_job_lists(spark, tmp_dir):
     assert users and all(1 <= len(r.recs) <= 10 for r in users)
     pairs = store.read(spark, offline.MOVIE_SIMILARITY)
     lists = store.read(spark, offline.MOVIE_RECS, MOVIE_RECS).collect()
-    assert sum(len(r.recs) for r in lists) == pairs.count()
+    assert sum(len(r.recs) for r in lists) == sum(min(n, offline.MOVIE_K) for _, n in pairs.groupBy("mid").count().collect())
     assert all(a.score >= b.score for r in lists for a, b in zip(r.recs, r.recs[1:]))
     as_map = offline.similarity_lists_as_map(store.read(spark, offline.MOVIE_RECS, MOVIE_RECS)).first()
     assert len(as_map.sims) > 0
@@ -55,3 +56,32 @@ def test_tuning_job_best_row(spark):
     grid, best = offline.run_tuning(ratings, ranks=(2, 4), reg_params=(0.1,), max_iter=2, seed=3)
     rows = grid.collect()
     assert len(rows) == 2 and best.first().rmse == min(r.rmse for r in rows)
+
+
+def test_the_index_holds_one_document_per_id(spark, tmp_dir):
+    from tasteflow.plans import loader
+    from tasteflow.schemas import MOVIE_FIELDS
+
+    row = dict.fromkeys(MOVIE_FIELDS, "x")
+    movies = spark.createDataFrame([{**row, "mid": 1, "name": "a"}, {**row, "mid": 1, "name": "b"}, {**row, "mid": 2}],
+                                   "mid int, " + ", ".join(f"{f} string" for f in MOVIE_FIELDS if f != "mid"))
+    tags = spark.createDataFrame([(1, 1, "t", 0), (1, 1, "s", 0), (2, 1, "t", 0)], "uid int, mid int, tag string, timestamp long")
+    store = TableStore(root=os.path.join(tmp_dir, "index"))
+    loader.write_movie_index(movies, tags, store)
+    got = sorted((r.mid, r.name, r.tags) for r in store.read(spark, loader.INDEX_TABLE).collect())
+    assert got == [(1, "b", "s|t"), (2, "x", None)]
+
+
+def test_strict_loading_fails_on_a_bad_line(spark, tmp_dir):
+    import pytest
+
+    from tasteflow.plans import loader
+    from tasteflow.sources.text import parse_ratings
+
+    lines = spark.createDataFrame([("1,2,3.0,4",), ("1,x,3.0,4",)], "value string")
+    store = TableStore(root=os.path.join(tmp_dir, "strict"))
+    columns = ["uid", "mid", "score", "timestamp"]
+    with pytest.raises(Exception, match="bad_mid"):
+        loader.write_parsed(parse_ratings(lines), store, "rating", columns, strict=True)
+    loader.write_parsed(parse_ratings(lines.limit(1)), store, "rating", columns, strict=True)
+    assert loader.read_rejects(spark, store, ["rating"]).count() == 0

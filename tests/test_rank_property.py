@@ -66,3 +66,21 @@ def test_rank_within_key_matches_window(spark, rows, partitions):
     want_df = df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     want = sorted(((r.k, r.v, r.rank) for r in want_df.collect()), key=key)
     assert got == want
+
+
+def test_ranks_do_not_need_a_reused_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from tasteflow.operators.topk import rank_within_key
+
+    df = spark.range(20000).select((F.col("id") % 5).alias("key"), F.xxhash64("id").alias("v"))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = rank_within_key(df, "key", [F.desc("v")], partitions=8)
+        ranks = {(r.key, r.v): r["rank"] for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+    for key in range(5):
+        values = sorted((v for k, v in ranks if k == key), reverse=True)
+        assert [ranks[key, v] for v in values] == list(range(1, len(values) + 1))

@@ -1,6 +1,6 @@
 """Shared folder, scratch folders and partition sizing."""
 
-from tasteflow.session import checkpointed, default_partitions, scratch_dir, shared_dir
+from tasteflow.session import checkpointed, scratch_dir, shared_dir
 
 
 def test_shared_dir_reads_the_session_setting(spark):
@@ -15,15 +15,23 @@ def test_scratch_dirs_are_never_reused(spark):
     assert a != b and a.startswith(shared_dir(spark))
 
 
-def test_default_partitions_bounded_by_cores(spark):
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "1000")
-        assert default_partitions(spark) == 2 * spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.shuffle.partitions", "3")
-        assert default_partitions(spark) == 3
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    import pytest
+
+    from tasteflow import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+        def getCheckpointDir(self):  # noqa: E301
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    cluster = type("S", (), {"sparkContext": Context(), "conf": Conf()})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(cluster)
 
 
 def test_checkpointed_cuts_lineage(spark):

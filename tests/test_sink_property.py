@@ -15,11 +15,13 @@ event = st.tuples(st.integers(0, 6), st.integers(0, 4), st.integers(0, 3), st.sa
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.lists(event, min_size=1, max_size=6), min_size=1, max_size=3))
 def test_upsert_sequence_matches_newest_wins_model(spark, batches):
-    table = KeyedTable(os.path.join(tempfile.mkdtemp(prefix="tasteflow-sink-"), "t"), n_buckets=3)
+    table = KeyedTable(os.path.join(tempfile.mkdtemp(prefix="tasteflow-sink-"), "t"))
     model = {}
-    for rows in batches:
+    for number, rows in enumerate(batches):
         data = [(u, [(m, s)], t, m, s) for u, t, m, s in rows]
-        table.upsert(spark.createDataFrame(data, SCHEMA))
+        table.upsert(spark.createDataFrame(data, SCHEMA), number)
+        if number == 1:
+            table.compact(spark)
         for u, t, m, s in rows:
             if u not in model or (t, m, s) >= model[u]:
                 model[u] = (t, m, s)

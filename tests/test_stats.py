@@ -89,3 +89,17 @@ def test_rank_within_key_matches_window_on_skewed_keys(spark):
     got = rows(rank_within_key(df, "k", order, partitions=9), "k", "v", "rank")
     want = rows(df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order))), "k", "v", "rank")
     assert got == want
+
+
+def test_genre_tokens_keep_inner_empty_fields(spark):
+    df = spark.createDataFrame([(1, "Drama||War"), (2, "|a||"), (3, ""), (4, "||"), (5, None), (6, "b")], "mid int, genres string")
+    got = {}
+    for r in stats.genre_tokens(df).collect():
+        got.setdefault(r.mid, []).append(r.genre)
+    assert got == {1: ["Drama", "", "War"], 2: ["", "a"], 3: [""], 6: ["b"]}
+
+
+def test_nan_averages_rank_last(spark):
+    movies = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x")], "mid int, genres string")
+    averages = spark.createDataFrame([(1, float("nan")), (2, 3.0), (3, 4.0)], "mid int, avg_score double")
+    assert [r.mid for r in stats.genre_top_k(movies, averages, ["x"], k=3).orderBy("rank").collect()] == [3, 2, 1]

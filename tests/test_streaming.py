@@ -36,13 +36,42 @@ def table_rows(spark, table):
 
 
 def test_keyed_upsert_newest_wins_and_is_idempotent(spark, tmp_dir):
-    t = KeyedTable(os.path.join(tmp_dir, "recs"), n_buckets=4)
-    t.upsert(batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0), (2, [(6, 1.0)], 10, 6, 4.0), (3, [], 10, 7, 4.0)]))
-    t.upsert(batch(spark, [(1, [(8, 2.0)], 20, 8, 4.0), (2, [(9, 1.0)], 5, 9, 4.0)]))  # uid 2 event is older
+    t = KeyedTable(os.path.join(tmp_dir, "recs"))
+    t.upsert(batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0), (2, [(6, 1.0)], 10, 6, 4.0), (3, [], 10, 7, 4.0)]), 0)
+    second = [(1, [(8, 2.0)], 20, 8, 4.0), (2, [(9, 1.0)], 5, 9, 4.0)]  # uid 2 event is older
+    t.upsert(batch(spark, second), 1)
     want = [(1, [8], 20), (2, [6], 10), (3, [], 10)]
     assert table_rows(spark, t) == want
-    t.upsert(batch(spark, [(1, [(8, 2.0)], 20, 8, 4.0), (2, [(9, 1.0)], 5, 9, 4.0)]))  # replay
+    t.upsert(batch(spark, second), 1)  # replay
     assert table_rows(spark, t) == want
+    assert t.compact(spark) == 1
+    assert table_rows(spark, t) == want
+    t.upsert(batch(spark, second), 1)  # a replay after the compaction
+    t.upsert(batch(spark, [(3, [(4, 1.0)], 30, 4, 4.0)]), 2)
+    assert table_rows(spark, KeyedTable(t.path)) == [want[0], want[1], (3, [4], 30)]
+
+
+def test_an_unrecorded_compaction_is_not_read(spark, tmp_dir):
+    t = KeyedTable(os.path.join(tmp_dir, "recs"))
+    t.upsert(batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0), (2, [], 10, 6, 4.0)]), 0)
+    # a compaction that died before it was recorded left a part of its rows
+    batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0)]).write.parquet(f"{t.path}/generation=1/batch=-1")
+    assert [r[0] for r in table_rows(spark, t)] == [1, 2]
+    assert t.compact(spark) == 1
+    assert [r[0] for r in table_rows(spark, t)] == [1, 2]
+
+
+def folder_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_an_upsert_writes_its_batch_not_the_table(spark, tmp_dir):
+    t = KeyedTable(os.path.join(tmp_dir, "recs"))
+    t.upsert(batch(spark, [(u, [(5, float(u))] * 10, 10, 5, 4.0) for u in range(20000)]).coalesce(1), 0)
+    before = folder_bytes(t.path)
+    t.upsert(batch(spark, [(7, [(9, 2.0)], 20, 9, 4.0)]), 1)
+    assert folder_bytes(t.path) - before < before / 20
+    assert dict((r[0], r[1]) for r in table_rows(spark, t))[7] == [9]
 
 
 def test_stream_result_equals_batch(spark):
@@ -55,45 +84,83 @@ def test_stream_result_equals_batch(spark):
     assert sorted(tuple(r) for r in stream.select(*key).collect()) == sorted(tuple(r) for r in batch_df.select(*key).collect())
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "recs")
-    t = KeyedTable(path, n_buckets=4)
-    t.upsert(batch(spark, [(u, [(5, 1.0)], 10, 5, 4.0) for u in range(40)]))
+SIMS = "mid int, sim_mid int, score double"
+RATINGS = "uid int, mid int, score double, timestamp long"
+
+
+def stored(spark, tmp_dir, data, buckets=4):
+    from tasteflow.sources.tables import HashedTable
 
-    def files():
-        out = {}
-        for d in sorted(os.listdir(path)):
-            if d.startswith("bucket="):
-                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
-        return out
+    return HashedTable.create(spark.createDataFrame(data, RATINGS), os.path.join(tmp_dir, "ratings"), "uid", buckets)
 
-    before = files()
-    assert len(before) == 4
-    t.upsert(batch(spark, [(7, [(9, 2.0)], 20, 9, 4.0)]))
-    after = files()
-    changed = [b for b in before if before[b] != after[b]]
-    assert len(changed) == 1
-    assert table_rows(spark, t)[7] == (7, [9], 20) and len(table_rows(spark, t)) == 40
 
+def lists(spark, job):
+    return {r.uid: [x.mid for x in r.recs] for r in job.table.read(spark).collect()}
 
-def test_recommender_appends_incoming_ratings_once_per_batch(spark, tmp_dir):
+
+def test_ratings_are_live_between_batches(spark, tmp_dir):
+    from tasteflow.streaming.recommender import RealtimeRecommender
+
+    sims = spark.createDataFrame([(100, 200, 0.9), (100, 201, 0.8), (200, 10, 0.8), (201, 10, 0.7)], SIMS)
+    ratings = stored(spark, tmp_dir, [(1, 10, 4.0, 1)])
+    job = RealtimeRecommender(sims, ratings, KeyedTable(os.path.join(tmp_dir, "recs")))
+    try:
+        job.process_batch(spark.createDataFrame([("1|100|5.0|9",)], "value string"), 0)
+        assert lists(spark, job) == {1: [200, 201]}
+        ratings.append(spark.createDataFrame([(1, 200, 2.0, 10)], RATINGS), 1)  # another writer stores a rating
+        job.process_batch(spark.createDataFrame([("1|100|5.0|11",)], "value string"), 1)
+        assert lists(spark, job) == {1: [201]}
+    finally:
+        job.close()
+
+
+def test_incoming_ratings_are_stored_once_per_batch(spark, tmp_dir):
     from tasteflow.streaming.recommender import RealtimeRecommender
 
-    sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], "mid int, sim_mid int, score double")
-    ratings = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp long")
-    log = os.path.join(tmp_dir, "incoming")
-    bad = os.path.join(tmp_dir, "bad")
-    job = RealtimeRecommender(sims, ratings, KeyedTable(os.path.join(tmp_dir, "recs"), n_buckets=2),
-                              min_sim=0.6, snapshot=False, append_ratings_to=log, rejects_to=bad)
+    sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS)
+    ratings, bad = stored(spark, tmp_dir, [(1, 10, 4.0, 1)]), os.path.join(tmp_dir, "bad")
+    job = RealtimeRecommender(sims, ratings, KeyedTable(os.path.join(tmp_dir, "recs")), store_ratings=True, rejects_to=bad)
     batch_df = spark.createDataFrame([("1|100|5.0|9",), ("1|100|oops|9",)], "value string")
     job.process_batch(batch_df, 0)
     job.process_batch(batch_df, 0)  # replay of the same batch id
-    assert [tuple(r) for r in spark.read.parquet(log).select("uid", "mid", "score", "timestamp").collect()] == [(1, 100, 5.0, 9)]
-    recs = {r.uid: [(x.mid, round(x.score, 6)) for x in r.recs] for r in job.table.read(spark).collect()}
-    assert recs == {1: [(200, round(0.8 * 4.0, 6))]}
+    job.close()
+    assert sorted(tuple(r) for r in ratings.read(spark).collect()) == [(1, 10, 4.0, 1), (1, 100, 5.0, 9)]
     assert [(r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [("1|100|oops|9", "bad_score")]
 
 
+def test_closing_leaves_no_table_behind(spark, tmp_dir):
+    from tasteflow.streaming.recommender import RealtimeRecommender
+
+    before = {t.name for t in spark.catalog.listTables()}
+    ratings = stored(spark, tmp_dir, [(1, 10, 4.0, 1)])
+    job = RealtimeRecommender(spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS), ratings,
+                              KeyedTable(os.path.join(tmp_dir, "recs")), compact_every=1)
+    job.refresh(spark.createDataFrame([(100, 300, 0.9), (300, 10, 0.7)], SIMS))
+    job.process_batch(spark.createDataFrame([("1|100|5.0|9",)], "value string"), 0)
+    assert lists(spark, job) == {1: [300]}
+    job.close()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_default_trigger_runs_until_stopped(spark, tmp_dir):
+    import time
+
+    from tasteflow.plans.streaming_job import start_recommender
+
+    events = os.path.join(tmp_dir, "events")
+    spark.createDataFrame([("1|100|5.0|9",)], "value string").write.text(events)
+    ratings = stored(spark, tmp_dir, [(1, 10, 4.0, 1)])
+    query, job = start_recommender(spark, events, spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS), ratings,
+                                   os.path.join(tmp_dir, "recs"), os.path.join(tmp_dir, "ck"))
+    for _ in range(120):
+        if query.lastProgress and query.lastProgress["numInputRows"]:
+            break
+        time.sleep(0.5)
+    assert query.isActive
+    job.close()
+    assert not query.isActive and lists(spark, job) == {1: [200]}
+
+
 def test_event_parser_stream_with_rejects(spark, tmp_dir):
     from tasteflow.streaming.logs import start_event_parser
 
@@ -107,22 +174,6 @@ def test_event_parser_stream_with_rejects(spark, tmp_dir):
     assert [(r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [("1|x|3.5|4", "bad_mid")]
 
 
-def test_refresh_snapshots_picks_up_rewritten_similarity(spark, tmp_dir):
-    from tasteflow.streaming.recommender import RealtimeRecommender
-
-    sim_path = os.path.join(tmp_dir, "sims")
-    schema = "mid int, sim_mid int, score double"
-    spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], schema).write.parquet(sim_path)
-    ratings = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp long")
-    job = RealtimeRecommender(spark.read.parquet(sim_path), ratings, KeyedTable(os.path.join(tmp_dir, "recs"), n_buckets=2),
-                              min_sim=0.6, snapshot_buckets=2)
-    spark.createDataFrame([(100, 300, 0.9), (300, 10, 0.7)], schema).write.mode("overwrite").parquet(sim_path)
-    job.refresh_snapshots(similarity=spark.read.parquet(sim_path))
-    job.process_batch(spark.createDataFrame([("1|100|5.0|9",)], "value string"), 0)
-    recs = {r.uid: [x.mid for x in r.recs] for r in job.table.read(spark).collect()}
-    assert recs == {1: [300]}
-
-
 def test_list_string_forms(spark):
     from tasteflow.functions.lists import format_recs
 
@@ -145,13 +196,13 @@ def test_streaming_job_wiring(spark, tmp_dir):
 
     events = os.path.join(tmp_dir, "events")
     spark.createDataFrame([("1|100|5.0|9",)], "value string").write.text(events)
-    sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], "mid int, sim_mid int, score double")
-    ratings = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp long")
+    sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS)
     table = os.path.join(tmp_dir, "recs")
-    q, job = start_recommender(spark, events, sims, ratings, table, os.path.join(tmp_dir, "ck2"),
-                               n_buckets=2, min_sim=0.6, trigger={"availableNow": True})
+    q, job = start_recommender(spark, events, sims, stored(spark, tmp_dir, [(1, 10, 4.0, 1)]), table,
+                               os.path.join(tmp_dir, "ck2"), min_sim=0.6, trigger={"availableNow": True})
     q.awaitTermination()
-    assert {r.uid: [x.mid for x in r.recs] for r in job.table.read(spark).collect()} == {1: [200]}
+    assert lists(spark, job) == {1: [200]}
+    job.close()
 
 
 def test_stream_result_independent_of_arrival_order(spark, tmp_dir):
@@ -171,33 +222,17 @@ def test_stream_result_independent_of_arrival_order(spark, tmp_dir):
     lines.where(lines.event_time > cut).select("value").coalesce(1).write.text(src)
     time.sleep(1.1)  # the file source orders files by modification time
     lines.where(lines.event_time <= cut).select("value").coalesce(1).write.mode("append").text(src)
-    table = KeyedTable(os.path.join(tmp_dir, "recs"), n_buckets=4)
-    job = RealtimeRecommender(sims, ratings, table, min_sim=registry.PAIR_THRESHOLD, snapshot_buckets=4)
+    from tasteflow.sources.tables import HashedTable
+
+    table = KeyedTable(os.path.join(tmp_dir, "recs"))
+    by_user = HashedTable.create(ratings, os.path.join(tmp_dir, "ratings"), "uid", 4)
+    job = RealtimeRecommender(sims, by_user, table, min_sim=registry.PAIR_THRESHOLD)
     q = job.start(spark, src, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}, max_files_per_trigger=1)
     q.awaitTermination()
     assert q.lastProgress is not None
+    job.close()
     key = ["uid", "rank", "mid", "score"]
     got = lists_to_ranked(table.read(spark), "uid").select(*key)
     want = registry.realtime_lists(spark, sf).select(*key)
     r = lambda df: sorted((a, b, c, round(d, 6)) for a, b, c, d in df.collect())
     assert r(got) == r(want)
-
-
-def test_sink_recovers_from_a_crash_during_the_bucket_swap(spark, tmp_dir):
-    import shutil
-
-    path = os.path.join(tmp_dir, "recs")
-    t = KeyedTable(path, n_buckets=4)
-    t.upsert(batch(spark, [(u, [(5, 1.0)], 10, 5, 4.0) for u in range(40)]))
-    assert not os.listdir(t.pending_root)  # pending copies are removed after the swap
-    # simulate a crash: the merged copy of one bucket was committed, then its bucket folder was deleted
-    lost = sorted(d for d in os.listdir(path) if d.startswith("bucket="))[0]
-    copy = os.path.join(t.pending_root, "crashed")
-    spark.read.parquet(path).where(f"bucket = {lost.split('=')[1]}").write.parquet(copy)
-    shutil.rmtree(os.path.join(path, lost))
-    assert len(table_rows(spark, t)) < 40
-    os.makedirs(os.path.join(t.pending_root, "died-before-commit"))  # an uncommitted leftover
-    t.upsert(batch(spark, [(7, [(9, 2.0)], 20, 9, 4.0)]))  # recovers first, then merges
-    rows_now = table_rows(spark, t)
-    assert len(rows_now) == 40 and rows_now[7] == (7, [9], 20)
-    assert not os.listdir(t.pending_root)
