@@ -87,13 +87,13 @@ SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y%m') AS year_month, mi
 FROM ratings GROUP BY 1, 2 ORDER BY 1 DESC, 3 DESC, 2"""
 
 SQL["distinct_genres"] = with_views(MOVIES) + """
-SELECT DISTINCT unnest(string_split(regexp_replace(genres, '\|+$', ''), '|')) AS genre FROM movies"""
+SELECT DISTINCT unnest(string_split(regexp_replace(genres, '[|]+$', ''), '|')) AS genre FROM movies"""
 
 SQL["sparse_genres"] = with_views(MOVIES) + """
 SELECT genre, count(*) AS n FROM (
   SELECT unnest(string_split(regexp_replace(
     concat(CASE WHEN mid % 5 = 0 THEN '|' ELSE '' END, replace(genres, '|red|', '||'),
-           CASE WHEN mid % 3 = 0 THEN '||' ELSE '' END), '\|+$', ''), '|')) AS genre FROM movies)
+           CASE WHEN mid % 3 = 0 THEN '||' ELSE '' END), '[|]+$', ''), '|')) AS genre FROM movies)
 GROUP BY genre"""
 
 SQL["distinct_users"] = with_views(RATINGS) + """

@@ -77,7 +77,7 @@ def run(sf_dir: str, keys: list[str] | None = None) -> dict:
     import __spark_entry__ as entry
     from tasteflow.session import build_session
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
     con = duck_connect(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     out = {}
