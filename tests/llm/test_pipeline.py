@@ -1,0 +1,80 @@
+"""The corpus pipeline against plain versions of its stages, each on its own input; registration of the queries."""
+
+import re
+import zlib
+
+import numpy as np
+
+import corpus_pipeline
+from tasteflow.llm import queries, quality_rules
+from tasteflow.llm.common import table, written
+from test_joins_and_models import brute_components, brute_cut
+from test_rules_and_rows import brute_hits, expected_repeats
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_clean(text):
+    """(kept, cleaned text) by the quality rules, line by line."""
+    rules = quality_rules.Rules()
+    split = lambda t: re.findall("[^\x20\x09-\x0d]+", t)
+    lost, lines = 0, []
+    for line in text.split("\n"):
+        n = len(split(line))
+        symbols, bars, shouts = (sum(line.count(c) for c in cs) for cs in ("#*$%&|<>", "|", "!"))
+        bad = n > 0 and (symbols * 100 > n * rules.line_symbols_pct or (bars and bars * 100 >= n * rules.line_bars_pct)
+                         or (shouts >= 2 and shouts * 100 >= n * rules.line_shouts_pct)
+                         or (n <= rules.phrase_max_words and any(p in line.lower() for p in quality_rules.PHRASES)))
+        lost += n if bad else 0
+        if not bad:
+            lines.append(line)
+    words = split(text)
+    kept = (len(words) >= rules.min_words and expected_repeats(words) * 100 <= len(words) * rules.max_repeat_pct
+            and lost * 100 <= len(words) * rules.max_lost_pct)
+    return kept, "\n".join(lines)
+
+
+def test_each_stage_equals_a_plain_version(spark):
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality_rules", "jaccard_join", "suffix_dedup", "decontamination", "packing"]
+    raw = table(spark, SF, "documents")
+    outs, docs = [], raw
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), name)
+        outs.append(docs)
+    assert all(o.columns == raw.columns for o in outs[:4])
+    rows = lambda df: {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+    given, cleaned, unique, cut, left = rows(raw), *map(rows, outs[:4])
+
+    assert cleaned == {i: plain_clean(t)[1] for i, t in given.items() if plain_clean(t)[0]}
+    components = {i: c for i, _, c in brute_components(sorted(cleaned.items()))}
+    assert set(unique) == set(components.values())
+    spans = {e[0]: e for e in brute_cut(sorted(unique.items()), 50)}
+    assert set(cut) == {i for i, e in spans.items() if not e[2] or e[2] < e[1]}
+    assert all(len(unique[i].encode()) - len(cut[i].encode()) - spans[i][2] in range(0, 4 * spans[i][3] + 1) for i in cut)
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    assert set(left) == {i for i, t in cut.items() if not brute_hits(t, items, 10)[1]}
+
+    reference = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    pieces = {}
+    for p in outs[4].collect():
+        pieces.setdefault(p.doc_id, []).append(p)
+    assert set(pieces) == set(left)
+    for i, t in left.items():
+        ids, at = [*reference.encode(t, add_special_tokens=False).ids, 1], 0
+        for p in sorted(pieces[i], key=lambda p: p.start):
+            assert p.start == at and p.ids_crc32 == zlib.crc32(np.array(ids[at:at + p.length], "<u4").tobytes())
+            at += p.length
+        assert at == len(ids)
+
+
+def test_every_operator_is_registered(spark):
+    import __spark_entry__ as entry
+
+    names = list(entry.queries())
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert set(queries.QUERIES) <= set(names)
