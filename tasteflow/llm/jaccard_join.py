@@ -10,9 +10,10 @@ every link lies inside at least one group.  Sizes are cut into bands so that
 both sides use the same number of buckets.  (Empty contents are left out while
 a set has so few of them that agreeing buckets remain.)
 
-Contraction.  In every group each class is compared to the group's first one;
-the links found join classes into components.  Pairs inside one component need
-no further look, which keeps thousands of near copies from becoming all pairs.
+Contraction.  In every group each class is compared to a leader, and the links
+found join classes into components.  Pairs inside one component need no further
+look, which keeps thousands of near copies from becoming all pairs.  A few
+rounds with other leaders join what the first leader was too far from.
 
 Matrix.  What remains are groups with several components.  For each group and
 component the matrix holds the union of the tokens of its classes, as hashed bits, and
@@ -20,8 +21,8 @@ their size range.  The bits of a class that the union lacks bound its overlap
 with every member; only components that pass the bound are opened, and their
 members are compared one by one: first by sizes and bits, then by whole sets.
 
-Scale: texts are read once for the groups and once for the sets that
-have candidates.  Group leaders and unions are pre-aggregated; members meet
+Scale: texts are read once for the groups and once more to keep those of classes
+that share a group.  Group leaders and unions are pre-aggregated; members meet
 them in joins that split hot keys.  Sets are compared in a task that holds one
 leader and streams its members.  Nothing goes through the driver but counts.
 
@@ -186,16 +187,20 @@ def _plausible(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, names: DataFrame, id_col: str, text_col: str, k: int,
-            pct: int) -> DataFrame:
-    """The pairs whose whole sets link.  ``names``: (id, text_hash, node) of one document of each class."""
+def _candidate_texts(docs: DataFrame, names: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, text) of one document of each given class.  ``names``: (id, text_hash, node) of that document."""
+    texts, wanted = _texts(docs, id_col, text_col), names.join(nodes, "node", "left_semi").select("id", "text_hash", "node")
+    return texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["text_hash"] == wanted["text_hash"])
+                      ).select("node", "text")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, k: int, pct: int) -> DataFrame:
+    """The pairs whose whole sets link."""
     pairs = written(pairs, "pairs")
     # b goes to a's group; a itself comes first in it
     wanted = pairs.unionByName(pairs.select("a", F.col("a").alias("b"))).distinct().groupBy("b").agg(
         F.collect_list("a").alias("to")).withColumnRenamed("b", "node")
-    texts, wanted = _texts(docs, id_col, text_col), names.join(wanted, "node").select("id", "text_hash", "node", "to")
-    chosen = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["text_hash"] == wanted["text_hash"])
-                        ).select("node", "to", "text")
+    chosen = texts.join(wanted, "node").select("node", "to", "text")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -245,8 +250,12 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, pct: int = 90) -> DataFrame:
-    """(id, text_hash, n, node, component): every document's set size, class and component (its smallest id)."""
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, pct: int = 90,
+            rounds: int = 3) -> DataFrame:
+    """(id, text_hash, n, node, component): every document's set size, class and component (its smallest id).
+
+    ``rounds`` of contraction come before the matrix; they change the work, not the result.
+    """
     rows = written(_signatures(docs, id_col, text_col, k, pct), "signatures")
     by_node = rows.where("n > 0").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"),
@@ -254,19 +263,33 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     names = written(by_node.select("node", "first.id", "first.text_hash", "d0", "d1"), "classes")
     if names.where("d0 <> d1").limit(1).count():
         raise ValueError("two sets share a 64-bit node")
-    sets = rows.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"])
+    sets = written(rows.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"]), "sets")
 
     index = rows.select("node", F.explode("keys").alias("key"))
-    heads = index.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
-    members = written(index.join(heads.select("key", "head"), "key").distinct(), "members")
-
-    stars = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = _linked(_plausible(stars, sets, pct), docs, names, id_col, text_col, k, pct)
-    roots = written(components(links), "roots")
-
-    placed = _rooted(members.select("key", "node"), roots)
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_ = written(placed.join(open_keys.select("key"), "key", "left_semi").join(sets, "node"), "open")
+    shared = index.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    members = written(index.join(shared.select("key"), "key", "left_semi").distinct(), "members")
+    texts = written(_candidate_texts(docs, names, members.select("node").distinct(), id_col, text_col), "texts")
+
+    open_, roots = members.withColumn("root", F.col("node")), None
+    for turn in range(rounds):
+        first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("head")
+        stars = open_.join(open_.groupBy("key").agg(first), "key").where("root <> head.root").select(
+            F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
+        links = _linked(_plausible(stars, sets, pct), texts, k, pct)
+        if roots is not None and links.isEmpty():
+            break
+        edges = links if roots is None else links.unionByName(
+            roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = written(components(edges), "roots")
+        placed = _rooted(members.select("key", "node"), roots)
+        several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        open_ = written(placed.join(several.select("key"), "key", "left_semi"), "open")
+
+    # groups with the very same classes repeat each other's pairs: one of them is enough
+    alike = open_.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                     F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    open_ = open_.join(alike.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+    open_ = written(open_.join(sets, "node"), "open")
     width = BITS // 64
     matrix = open_.groupBy("key", "root").agg(
         F.array(*[F.bit_or(F.col("bits")[i]) for i in range(width)]).alias("union"),
@@ -279,7 +302,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         & (overlap * (100 + pct) >= (F.col("q_n") + F.col("least")) * pct)).select("key", "root", "q")
     rest = opened.join(open_.select("key", "root", "node"), ["key", "root"]).select(
         F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct()
-    more = _linked(_plausible(rest, sets, pct), docs, names, id_col, text_col, k, pct)
+    more = _linked(_plausible(rest, sets, pct), texts, k, pct)
     joined = written(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)),
                      "roots")
 
