@@ -8,7 +8,8 @@ two linked sets of such sizes can differ in.  Linked sets therefore agree on the
 whole content of some bucket, and a group is the classes that agree on one:
 every link lies inside at least one group.  Sizes are cut into bands so that
 both sides use the same number of buckets.  (Empty contents are left out while
-a set has so few of them that agreeing buckets remain.)
+a set has so few of them that agreeing buckets remain.)  With ``exact`` off,
+large sets get only as many buckets as make a lost link practically impossible.
 
 Contraction.  In every group each class is compared to a leader, and the links
 found join classes into components.  Pairs inside one component need no further
@@ -35,7 +36,9 @@ bits and a collision between nodes raises an error.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +51,7 @@ from tasteflow.llm.graph import components
 
 BITS = 1024     # hashed token bits of a set or a union
 SPREAD = 140    # percent: sizes within one band differ by this factor at most (more for low thresholds)
-SPARE = 2       # buckets beyond those that linked sets can differ in
+SURE = 20       # expected agreeing buckets of linked sets that differ the most, where ``exact`` is off
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -94,30 +97,47 @@ def difference(total: int, pct: int) -> int:
     return total * (100 - pct) // (100 + pct)
 
 
-def bands(n: int, pct: int) -> list[tuple[int, int]]:
-    """(band, buckets) under which a set of n tokens is grouped; no band where linked sets are equal sets.
+@lru_cache(maxsize=None)
+def scheme(band: int, pct: int, exact: bool) -> tuple[int, int, int, int]:
+    """(edge, top, buckets, spare) of a band: its smallest own size, its largest size, and how sets are bucketed.
 
-    Band b holds sizes from its edge up to the next edge; sets that a member can
-    link with beyond the next edge are grouped under b as well.
+    A band holds sizes from its edge up to the next edge; sets beyond the next
+    edge that can link with a member are grouped under it as well, up to ``top``.
+    ``buckets`` is 0 where linked sets are equal sets.
     """
-    spread = max(SPREAD, 10_000 // pct + 1)
-    edge, b = 1, 0
-    while edge * spread // 100 + 1 <= n:
-        edge, b = edge * spread // 100 + 1, b + 1
-    out = []
+    spread, edge = max(SPREAD, 10_000 // pct + 1), 1
+    for _ in range(band):
+        edge = edge * spread // 100 + 1
     top = (edge * spread // 100) * 100 // pct
-    if difference(2 * top, pct):
-        out.append((b, difference(2 * top, pct) + 1 + SPARE))
-    below = (edge - 1) * 100 // pct
-    if b and n * pct <= (edge - 1) * 100 and difference(2 * below, pct):
-        out.append((b - 1, difference(2 * below, pct) + 1 + SPARE))
-    return out
-
-
-def group_keys(tokens: np.ndarray, pct: int) -> np.ndarray:
+    most = difference(2 * top, pct)
+    if not most:
+        return edge, top, 0, 0
+    empty = (most + 1) * math.exp(-edge / (most + 1))  # buckets that the smallest sets leave empty
+    spare = max(2, math.ceil(empty + 4 * math.sqrt(empty)))
+    buckets = most + 1 + spare
+    if not exact:
+        likely = 1
+        while likely < buckets and likely * math.exp(-most / likely) < SURE:
+            likely += 1
+        if likely < buckets:
+            return edge, top, likely, likely
+    return edge, top, buckets, spare
+
+
+def bands(n: int, pct: int, exact: bool = True) -> list[int]:
+    """The bands under which a set of n tokens is grouped."""
+    band = 0
+    while scheme(band + 1, pct, exact)[0] <= n:
+        band += 1
+    below = [band - 1] if band and n <= scheme(band - 1, pct, exact)[1] else []
+    return [b for b in [band, *below] if scheme(b, pct, exact)[2]]
+
+
+def group_keys(tokens: np.ndarray, pct: int, exact: bool = True) -> np.ndarray:
     """64-bit keys of the groups of a set: one per bucket content."""
     keys = []
-    for band, buckets in bands(len(tokens), pct):
+    for band in bands(len(tokens), pct, exact):
+        _, _, buckets, spare = scheme(band, pct, exact)
         spread = _mix(tokens + np.uint64(band + 1))
         bucket = (spread >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -125,7 +145,7 @@ def group_keys(tokens: np.ndarray, pct: int) -> np.ndarray:
         first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
         content = np.add.reduceat(_mix(spread)[order], first)
         used = sorted_[first]
-        if buckets - len(used) > SPARE:
+        if buckets - len(used) > spare:
             empty = np.setdiff1d(np.arange(buckets, dtype=np.uint64), used)
             used, content = np.r_[used, empty], np.r_[content, np.zeros(len(empty), dtype=np.uint64)]
         keys.append(_mix(content ^ _mix(used + np.uint64(band << 32))))
@@ -144,7 +164,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        blob(text_col).alias("text"))
 
 
-def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int) -> DataFrame:
+def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int, exact: bool) -> DataFrame:
     """(id, text_hash, n, node, digest, keys, bits) per document; a task gives the keys of equal sets once."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +177,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int) -
                 n.append(len(tokens))
                 digests.append(digest)
                 node.append(int.from_bytes(digest[:8], "little", signed=True))
-                keys.append(group_keys(tokens, pct).view(np.int64) if new else None)
+                keys.append(group_keys(tokens, pct, exact).view(np.int64) if new else None)
                 bits.append(token_bits(tokens) if new else None)
                 seen.add(digest)
             yield pa.RecordBatch.from_arrays(
@@ -250,13 +270,16 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, pct: int = 90,
-            rounds: int = 3) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, pct: int = 80,
+            exact: bool = True, rounds: int = 3) -> DataFrame:
     """(id, text_hash, n, node, component): every document's set size, class and component (its smallest id).
 
+    ``k`` words make a shingle; sets link when 100 |a and b| >= pct |a or b|.
+    ``exact`` off takes fewer buckets for large sets: a link is then missed with a
+    probability below 1e-8, by the hash's luck.
     ``rounds`` of contraction come before the matrix; they change the work, not the result.
     """
-    rows = written(_signatures(docs, id_col, text_col, k, pct), "signatures")
+    rows = written(_signatures(docs, id_col, text_col, k, pct, exact), "signatures")
     by_node = rows.where("n > 0").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"),
         F.min("digest").alias("d0"), F.max("digest").alias("d1"))
@@ -271,7 +294,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     texts = written(_candidate_texts(docs, names, members.select("node").distinct(), id_col, text_col), "texts")
 
     open_, roots = members.withColumn("root", F.col("node")), None
-    for turn in range(rounds):
+    for turn in range(max(1, rounds)):
         first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("head")
         stars = open_.join(open_.groupBy("key").agg(first), "key").where("root <> head.root").select(
             F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()

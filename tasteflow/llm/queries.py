@@ -52,7 +52,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.report(table(spark, sf_dir, "documents"))
+    return jaccard_join.report(table(spark, sf_dir, "documents"), k=3, pct=90)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,8 +96,8 @@ def word_set(t, k=3):
     return frozenset(zip(*(words[i:] for i in range(k)))) if len(words) >= k else frozenset([tuple(words)] if words else [])
 
 
-def brute_components(rows, pct=90):
-    sets = [word_set(t) for _, t in rows]
+def brute_components(rows, pct=90, k=3):
+    sets = [word_set(t, k) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -126,8 +126,8 @@ def edited(rnd, words, edits):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("pct", [90, 80])
-def test_components_match_brute_force(spark, pct):
+@pytest.mark.parametrize("pct, k, exact", [(90, 3, True), (80, 5, False), (55, 2, True)])
+def test_components_match_brute_force(spark, pct, k, exact):
     rnd = random.Random(pct)
     vocab = [f"v{i}" for i in range(400)]
     shared = [rnd.choice(vocab) for _ in range(55)]
@@ -135,26 +135,32 @@ def test_components_match_brute_force(spark, pct):
     for n in (1, 2, 3, 4, 8, 9, 10, 11, 12, 15, 20, 40, 80, 200, 500):
         base = [rnd.choice(vocab) for _ in range(n)]
         for copy in range(12):
-            rows.append(edited(rnd, base, rnd.randrange(0, max(1, n // 25) + 2) if copy else 0))
+            rows.append(edited(rnd, base, rnd.randrange(0, max(1, n // 20) + 2) if copy else 0))
     rows += [" ".join(shared + [rnd.choice(vocab) for _ in range(rnd.randrange(12))]) for _ in range(40)]
     rows += [None, "", " \n", rows[3].upper(), rows[40], rows[41]]
     ids = list(range(len(rows)))
     rnd.shuffle(ids)
     rows = list(zip(ids, rows)) + [(ids[7], rows[7]), (None, rows[9]), (None, "only here at all")]
-    got = jaccard_join.report(spark.createDataFrame(rows, DOCS).repartition(3), pct=pct)
-    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_components(rows, pct)
+    got = jaccard_join.report(spark.createDataFrame(rows, DOCS).repartition(3), k=k, pct=pct, exact=exact)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_components(rows, pct, k)
 
 
-def test_every_link_shares_a_group():
+@pytest.mark.parametrize("pct, exact", [(90, True), (80, True), (80, False)])
+def test_every_link_shares_a_group(pct, exact):
+    """Pairs at the very limit, of all sizes."""
     rnd = np.random.RandomState(0)
-    for _ in range(400):
-        n = int(rnd.randint(1, 400))
+    for _ in range(600):
+        n = int(rnd.choice([rnd.randint(1, 30), rnd.randint(30, 400), rnd.randint(400, 5000)]))
         a = np.unique(rnd.randint(0, 2 ** 62, size=n).astype(np.uint64))
-        keep = rnd.randint(0, max(1, len(a) // 12) + 1)
-        b = np.unique(np.r_[a[keep:], rnd.randint(0, 2 ** 62, size=rnd.randint(0, 4)).astype(np.uint64)])
+        n = len(a)
+        drop = rnd.randint(0, n - -(-n * pct // 100) + 1)
+        room = n - drop  # tokens in common; b may add as many as the limit allows
+        new = rnd.randint(0, 2 ** 62, size=max(0, room * 100 // pct - n)).astype(np.uint64)
+        b = np.unique(np.r_[a[drop:], new])
         both = len(np.intersect1d(a, b))
-        if len(a) and len(b) and both * 100 >= 90 * (len(a) + len(b) - both) and not np.array_equal(a, b):
-            assert len(np.intersect1d(jaccard_join.group_keys(a, 90), jaccard_join.group_keys(b, 90)))
+        assert both * 100 >= pct * (len(a) + len(b) - both)
+        if not np.array_equal(a, b):
+            assert len(np.intersect1d(jaccard_join.group_keys(a, pct, exact), jaccard_join.group_keys(b, pct, exact)))
 
 
 def test_deduplicate_keeps_one_of_each(spark):

@@ -50,7 +50,7 @@ def test_each_stage_equals_a_plain_version(spark):
     given, cleaned, unique, cut, left = rows(raw), *map(rows, outs[:4])
 
     assert cleaned == {i: plain_clean(t)[1] for i, t in given.items() if plain_clean(t)[0]}
-    components = {i: c for i, _, c in brute_components(sorted(cleaned.items()))}
+    components = {i: c for i, _, c in brute_components(sorted(cleaned.items()), 80, 5)}
     assert set(unique) == set(components.values())
     spans = {e[0]: e for e in brute_cut(sorted(unique.items()), 50)}
     assert set(cut) == {i for i, e in spans.items() if not e[2] or e[2] < e[1]}
