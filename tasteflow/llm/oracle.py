@@ -86,9 +86,9 @@ WITH RECURSIVE d AS (
 sh AS (SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS s
        FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
 size AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
-both AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r),
-links AS (SELECT a, b FROM both JOIN size x ON x.r = a JOIN size y ON y.r = b
-          WHERE 100 * both.n >= 90 * (x.n + y.n - both.n)),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r),
+links AS (SELECT a, b FROM shared JOIN size x ON x.r = a JOIN size y ON y.r = b
+          WHERE 100 * shared.n >= 90 * (x.n + y.n - shared.n)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(r, o) AS (SELECT r, r FROM d UNION SELECT reach.r, edges.b FROM reach JOIN edges ON edges.a = reach.o)
 SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, coalesce(min(other.doc_id), d.doc_id) AS component_id
