@@ -41,59 +41,34 @@ class ByteBpe:
     """Byte-level BPE ids of whole texts, from a public rank file.
 
     The splitting pattern never joins a space between two non-spaces with what
-    stands before it, so text is cut at those spaces and each chunk's ids are
-    looked up or computed once (a bounded memory of chunks).
+    stands before it, so a very long text is encoded in segments cut there.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, memory: int = 200_000) -> None:
+    def __init__(self, ranks_path: str, pattern: str, segment: int = 1 << 20) -> None:
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.memory, self.chunks = memory, _Chunks(self)
-
-    def raw(self, text: str) -> bytes:
-        """Ids of a text as little-endian 32-bit numbers."""
-        return np.asarray(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
+        self.segment = segment
 
     def ids(self, text: str) -> np.ndarray:
-        parts = text.split(" ")
-        if len(self.chunks) > self.memory:
-            self.chunks.clear()
-        if len(parts) < 2:
-            return np.frombuffer(self.raw(text), "<u4")
-        known = self.chunks.__getitem__
-        out, head = [], parts[0]
-        plain = all(parts) and not any(map(_edged, parts))
-        if plain:
-            return np.frombuffer(b"".join([self.raw(head), *map(known, parts[1:])]), "<u4")
-        for before, part in zip(parts, parts[1:]):
-            if before and part and not before[-1].isspace() and not part[0].isspace():
-                out.append(head)
-                head = " " + part
-            else:
-                head += " " + part
-        out.append(head)
-        return np.frombuffer(b"".join([self.raw(x) for x in out]), "<u4")
-
-
-def _edged(part: str) -> bool:
-    return part[0].isspace() or part[-1].isspace()
-
-
-class _Chunks(dict):
-    """Ids of ' ' + chunk by chunk, computed on first use."""
-
-    def __init__(self, bpe: ByteBpe) -> None:
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.bpe.raw(" " + part)
-        if len(part) < 64:
-            self[part] = ids
-        return ids
+        parts, at = [], 0
+        while at < len(text):
+            end = self._cut(text, at + self.segment)
+            parts.append(self.encoding.encode_to_numpy(text[at:end], disallowed_special=()))
+            at = end
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
+
+    @staticmethod
+    def _cut(text: str, least: int) -> int:
+        """The first place from ``least`` on where a single space stands between non-spaces, else the end."""
+        at = text.find(" ", least)
+        while 0 < at < len(text) - 1:
+            if not text[at - 1].isspace() and not text[at + 1].isspace():
+                return at
+            at = text.find(" ", at + 1)
+        return len(text)
 
 
 def crc(ids: np.ndarray) -> int:

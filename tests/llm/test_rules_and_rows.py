@@ -143,7 +143,7 @@ TRICKY = ["", None, "one", " lead", "trail ", "two  spaces", "tab\there", "a\n b
 
 def test_ids_equal_the_tokenizer(tokens):
     public, reference = tokens
-    bpe = packing.ByteBpe(public.path("byte_bpe_50k.tiktoken"), public.PATTERN, memory=3)
+    bpe = packing.ByteBpe(public.path("byte_bpe_50k.tiktoken"), public.PATTERN, segment=3)
     for t in TRICKY + [" ".join(TRICKY[2:])]:
         assert [*bpe.ids(t or ""), 1] == reference(t)
 
