@@ -298,33 +298,24 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         home = np.repeat(_home(owner[first], place[first], buckets), n)
         keep = np.repeat(several, n) & np.r_[True, (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])]
         code, owner, home = code[keep], owner[keep], home[keep]
-        short = (code >> np.uint64(32)).astype(np.uint32) ^ code.astype(np.uint32)
-        out = [(b, _pack(owner[i], short[i], home[i])) for b, i in
+        out = [(b, _pack(owner[i], code[i], home[i])) for b, i in
                _split(np.arange(len(code)), _doc_bucket(owner, buckets))]
         return pa.Table.from_batches([_batch("bucket int, packed binary", *(zip(*out) if out else ((), ())))])
 
     def segments(key, left: pa.Table, right: pa.Table) -> pa.Table:
         copies = _Copies(right)
-        owner, short, home = _unpack([p for p in right["packed"].to_pylist() if p is not None], "<i8", "<u4", "<i4")
-        by = np.lexsort((short, owner))
-        owner, short, home = owner[by], short[by], home[by]
-        known = np.unique(owner)
+        homes = _Homes(*_unpack([p for p in right["packed"].to_pylist() if p is not None], "<i8", "<u8", "<i4"))
         out: list[tuple] = []
-        rank = np.searchsorted(known, owner).astype(np.uint64) << np.uint64(32) | short
         ids = left["ord"].to_pylist()
         column = left["text"]
-        chosen = [i for i, o in enumerate(ids) if _has(known, o) and not copies.hold(o, column[i])]
+        chosen = [i for i, o in enumerate(ids) if _has(homes.known, o) and not copies.hold(o, column[i])]
         for at in _groups(chosen, [column[i].as_buffer().size for i in chosen]):
             texts = [column[i].as_py() for i in at]
             runs = Runs(texts, length)
             who = np.array([ids[i] for i in at], dtype=np.int64)
             marks = [_mark(t) for t in texts]
-            mine = (np.searchsorted(known, who).astype(np.uint64) << np.uint64(32))[runs.text] | (
-                (runs.code >> np.uint64(32)).astype(np.uint32) ^ runs.code.astype(np.uint32))
-            spot = np.minimum(np.searchsorted(rank, mine), len(rank) - 1)
-            hit = rank[spot] == mine
-            place = np.where(hit, home[spot], -1)
-            new = np.r_[True, (place[1:] != place[:-1]) | (runs.text[1:] != runs.text[:-1])] if len(place) else hit
+            place = homes.find(who, runs)
+            new = np.r_[True, (place[1:] != place[:-1]) | (runs.text[1:] != runs.text[:-1])] if len(place) else place > 0
             first = np.flatnonzero(new)
             last = np.r_[first[1:], len(place)] - 1
             for f, e in zip(first[place[first] >= 0], last[place[first] >= 0]):
@@ -374,6 +365,28 @@ def _mark(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) >> 1
 
 
+class _Homes:
+    """Homes of a bucket's surviving anchors, looked up by owner and whole code."""
+
+    def __init__(self, owner: np.ndarray, code: np.ndarray, home: np.ndarray) -> None:
+        self.known, self.codes = np.unique(owner), np.unique(code)
+        rank = self._rank(owner, code)
+        by = np.argsort(rank)
+        self.rank, self.home = rank[by], home[by]
+
+    def _rank(self, owner: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return (np.searchsorted(self.known, owner) << 32) | np.searchsorted(self.codes, code)
+
+    def find(self, ids: np.ndarray, runs: Runs) -> np.ndarray:
+        """The home of each run; -1 where its anchor did not survive.  ``ids`` (of the texts) are known."""
+        if not len(self.rank):
+            return np.full(len(runs.code), -1, dtype=np.int32)
+        mine = self._rank(ids[runs.text], runs.code)
+        spot = np.minimum(np.searchsorted(self.rank, mine), len(self.rank) - 1)
+        alive = self.codes[np.minimum(mine & 0xFFFFFFFF, len(self.codes) - 1)] == runs.code
+        return np.where((self.rank[spot] == mine) & alive, self.home[spot], -1)
+
+
 class _Copies:
     """The rows of a bucket that copy a text of a smaller id."""
 

@@ -77,6 +77,23 @@ def test_blocks_do_not_show(monkeypatch, spark):
     assert rnd
 
 
+def test_anchors_of_equal_folded_code_keep_their_homes(spark):
+    drawn = np.random.default_rng(5).integers(97, 123, (200_000, 50), dtype=np.uint8)
+    passages = [r.tobytes() for r in drawn]
+    code = suffix_dedup.Runs(passages, 50).code
+    fold = (code >> np.uint64(32)).astype(np.uint32) ^ code.astype(np.uint32)
+    by = np.argsort(fold, kind="stable")
+    pairs = [(passages[i].decode(), passages[j].decode()) for i, j in zip(by, by[1:])
+             if fold[i] == fold[j] and code[i] != code[j]]
+    assert pairs
+    homes = suffix_dedup._home(np.arange(40, dtype=np.int64), np.zeros(40, np.uint32), 40)
+    one, other = 0, int(np.flatnonzero(homes != homes[0])[0])
+    texts = {one: pairs[0][0], other: pairs[0][1], 39: pairs[0][0] + " - " + pairs[0][1]}
+    rows = [(i, texts.get(i, "".join(p.decode() for p in passages[4 * i:4 * i + 4]).upper())) for i in range(40)]
+    out = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket_rows=1)
+    assert {r.id: r.n_removed for r in out.where("n_removed > 0").selectExpr("row.doc_id id", "n_removed").collect()} == {39: 100}
+
+
 def test_clean_keeps_columns_and_valid_text(spark):
     shared = "é" * 30
     df = spark.createDataFrame(
