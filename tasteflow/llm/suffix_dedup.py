@@ -19,11 +19,12 @@ strings have equal anchors, so only strings whose anchors meet can match.
 4. The removed spans go back to the documents, are merged and cut out.
 
 Whole copies of a text are found by digest first and cost one row each.
+Anchors that a sample finds in very many documents skip steps 1 to 3: their
+runs and windows are compared by joins on 128-bit digests, which AQE splits.
 
 Scale: the text is shuffled once (both uses share the exchange), anchors as eight
 bytes each in blocks.  Bucket numbers follow the row count; a bucket holds a
-few megabytes.  Copies are dropped within each task before the shuffle; a
-passage in very many documents costs its bucket one short segment each.
+few megabytes.  Copies are dropped within each task before the shuffle.
 
 Defined results: null texts are empty; texts shorter than ``length`` never
 change; documents of equal id never remove each other's bytes; a null id counts
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasteflow.llm.common import blob, calls
+from tasteflow.llm.common import blob, calls, written
 
 GRAM = 20
 BLOCK = 1 << 16         # window starts handled at once
@@ -50,6 +51,9 @@ POSITION = (1 << 17) - 1
 PLACE_BITS = 12         # anchors within 4096 bytes of their home share it
 FLUSH = 1 << 20         # anchors gathered before they are sent
 SEGMENT = "home int, ord bigint, mark bigint, start bigint, segment binary"
+HOT = 1 << 16           # hot codes at most
+UNIT = "digest binary, ord bigint, mark bigint, start bigint, segment binary"
+WINDOW = "digest binary, ord bigint, mark bigint, start bigint"
 SPAN = "ord bigint, mark bigint, start bigint, end bigint"
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -242,6 +246,78 @@ def _splitters(texts: DataFrame, rows: int, buckets: int, length: int, sample: i
     return codes_[np.linspace(0, len(codes_), buckets + 1)[1:-1].astype(int)]
 
 
+def _hot(texts: DataFrame, rows: int, buckets: int, bucket_rows: int, length: int) -> np.ndarray:
+    """Sorted codes that a sample finds in very many documents (balance only: either way of comparing is exact)."""
+    if buckets == 1:
+        return np.zeros(0, np.uint64)
+    share = min(1.0, max(2000, rows // 100_000) / rows)
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in calls(batches, "text"):
+            runs = Runs(batch.column(0).to_pylist(), length)
+            by = np.lexsort((runs.text, runs.code))
+            code, text = runs.code[by], runs.text[by]
+            new = np.r_[True, (code[1:] != code[:-1]) | (text[1:] != text[:-1])] if len(by) else by > 0
+            yield _batch("code bigint", code[new].view(np.int64))
+
+    found = (texts.select("text").sample(share, seed=11).mapInArrow(codes, "code bigint").groupBy("code").count()
+             .where(F.col("count") >= max(8, int(bucket_rows / 4 * share))).orderBy(F.desc("count"), "code").limit(HOT))
+    return np.sort(np.array([r.code for r in found.collect()], dtype=np.int64).view(np.uint64))
+
+
+def _within(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """Which values the sorted array holds."""
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
+def _hot_spans(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
+    """Removed spans of windows with a hot anchor, by joins on digests, so no code or passage is one group.
+
+    Neighbouring hot runs are cut into units where their codes say so.  A unit equal to one of a smaller document goes
+    whole; of each different unit the smallest holder's windows are compared one by one.
+    """
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in calls(batches, "text"):
+            ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            runs = Runs(rows, length)
+            at = np.flatnonzero(_within(runs.code, hot))
+            if not len(at):
+                continue
+            chain = np.r_[True, (np.diff(at) > 1) | (np.diff(runs.text[at]) > 0)]
+            ends = np.r_[chain[1:], True]
+            cut = chain | ends | np.r_[False, chain[:-1] | (runs.code[at][:-1] % np.uint64(4) == 0)]
+            first = np.flatnonzero(cut)
+            last = np.r_[first[1:], len(at)] - 1
+            out, marks = [], {}
+            for f, e in zip(at[first], at[last]):
+                t = int(runs.text[f])
+                a, b = int(runs.first[f] - runs.begin[t]), int(runs.last[e] - runs.begin[t]) + length
+                if t not in marks:
+                    marks[t] = _mark(rows[t])
+                unit = rows[t][a:b]
+                out.append((xxhash.xxh3_128_digest(unit), ids[t], marks[t], a, unit))
+            yield _batch(UNIT, *zip(*out))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in calls(batches, "segment", 1 << 18):
+            out = [(xxhash.xxh3_128_digest(unit[k:k + length]), o, mark, a + k)
+                   for o, mark, a, unit in zip(*(batch[c].to_pylist() for c in ("ord", "mark", "start", "segment")))
+                   for k in range(len(unit) - length + 1)]
+            yield _batch(WINDOW, *zip(*out))
+
+    def with_least(df: DataFrame) -> DataFrame:
+        return df.join(df.groupBy("digest").agg(F.min("ord").alias("least")), "digest")
+
+    judged = with_least(written(texts.mapInArrow(units, UNIT), "suffix-units"))
+    single = with_least(written(judged.where("ord = least").select("ord", "mark", "start", "segment")
+                                .mapInArrow(windows, WINDOW), "suffix-windows"))
+    whole = judged.where("ord > least").select("ord", "mark", "start", (F.col("start") + F.octet_length("segment")).alias("end"))
+    return whole.unionByName(single.where("ord > least").select("ord", "mark", "start", (F.col("start") + length).alias("end")))
+
+
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
             bucket_rows: int = 2048, carried: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """Per row: ``row`` (id and carried columns), ``n_bytes``, ``n_removed``, ``n_spans`` and ``rest``, the bytes left.
@@ -254,6 +330,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     order = _order(docs[id_col], docs[text_col])
     texts = docs.select(order.alias("ord"), blob(text_col).alias("text"))
     splitters = _splitters(texts, total, buckets, length)
+    hot = _hot(texts, total, buckets, bucket_rows, length)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
@@ -279,13 +356,14 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
             if not len(runs.code):
                 continue
             place = ((runs.anchor - runs.begin[runs.text]) >> PLACE_BITS).astype(np.uint32)
-            held.append((runs.code, np.array(ids, dtype=np.int64)[runs.text], place))
-            n += len(place)
+            cold = ~_within(runs.code, hot)
+            held.append((runs.code[cold], np.array(ids, dtype=np.int64)[runs.text][cold], place[cold]))
+            n += int(cold.sum())
             if n >= FLUSH:
                 yield send()
                 held.clear()
                 n = 0
-        if held:
+        if n:
             yield send()
 
     def meet(table: pa.Table) -> pa.Table:
@@ -344,6 +422,8 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     found = met.unionByName(copies, allowMissingColumns=True)
     sent = rows.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(segments, SEGMENT)
     spans = sent.groupBy("home").applyInArrow(compare, SPAN)
+    if len(hot):
+        spans = spans.unionByName(_hot_spans(texts, hot, length))
     verdicts = spans.select("*", doc_bucket.alias("bucket")).unionByName(copies, allowMissingColumns=True)
     rest = "string" if as_text else "binary"
     shape = rows.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("rest", rest)

@@ -94,6 +94,30 @@ def test_anchors_of_equal_folded_code_keep_their_homes(spark):
     assert {r.id: r.n_removed for r in out.where("n_removed > 0").selectExpr("row.doc_id id", "n_removed").collect()} == {39: 100}
 
 
+def test_a_passage_of_many_documents_is_no_group(monkeypatch, spark):
+    spans, unpack = suffix_dedup.repeated_spans, suffix_dedup._unpack
+
+    def few_segments(ids, texts, length):
+        assert len(texts) <= 60
+        return spans(ids, texts, length)
+
+    def few_owners(blobs, *types):
+        out = unpack(blobs, *types)
+        assert types[-1] != "<u4" or np.unique(out[0], return_counts=True)[1].max(initial=0) <= 60
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "repeated_spans", few_segments)
+    monkeypatch.setattr(suffix_dedup, "_unpack", few_owners)
+    rnd = random.Random(6)
+    draw = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    footer, few = draw(300), draw(120)
+    rows = [(i, draw(80) + (few if i % 100 == 7 else "") + draw(20) + (footer if i % 3 else "") + draw(i % 2 * 30))
+            for i in range(600)]
+    out = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket_rows=20).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("rest", 256))
+    assert sorted([tuple(r) for r in out.collect()], key=str) == brute_cut(rows, 50)
+
+
 def test_clean_keeps_columns_and_valid_text(spark):
     shared = "é" * 30
     df = spark.createDataFrame(
