@@ -1,12 +1,13 @@
 """The corpus pipeline against plain versions of its stages, each on its own input; registration of the queries."""
 
+import inspect
 import re
 import zlib
 
 import numpy as np
 
 import corpus_pipeline
-from tasteflow.llm import queries, quality_rules
+from tasteflow.llm import jaccard_join, queries, quality_rules
 from tasteflow.llm.common import table, written
 from test_joins_and_models import brute_components, brute_cut
 from test_rules_and_rows import brute_hits, expected_repeats
@@ -72,6 +73,18 @@ def test_each_stage_equals_a_plain_version(spark):
         assert at == len(ids)
 
 
+def test_jaccard_stage_takes_the_exact_groups(monkeypatch):
+    schemes, signature = [], inspect.signature(jaccard_join.classes)
+    monkeypatch.setattr(jaccard_join, "deduplicate", lambda *a, **k: schemes.append(signature.bind(*a, **k)))
+    corpus_pipeline.jaccard_stage(None, None, SF)
+    given = schemes[0]
+    given.apply_defaults()
+    pct, exact = given.arguments["pct"], given.arguments["exact"]
+    for band in range(30):
+        _, top, buckets, _ = jaccard_join.scheme(band, pct, exact)
+        assert not buckets or buckets > jaccard_join.difference(2 * top, pct)
+
+
 def test_every_operator_is_registered(spark):
     import __spark_entry__ as entry
 
