@@ -6,14 +6,14 @@ times, so suffixes are thinned by content first: of each ``length``-byte
 string, the ``GRAM``-byte gram with the smallest hash is its anchor.  Equal
 strings have equal anchors, so only strings whose anchors meet can match.
 
-1. Anchor suffixes are range-partitioned by their leading token (the gram's
-   64-bit code), with splitters from a bounded sample of documents.  Each range
-   is sorted; codes found in two or more documents survive and get a home: the
+1. Anchors are range-partitioned by the gram's 64-bit hash code (not in suffix
+   order), with splitters from a bounded sample of documents.  Equal codes fall
+   into one range, so ranges are not compared.  Each is sorted; codes found in two or more documents survive and get a home: the
    smallest such document and the anchor's place in it.
 2. Back at the documents, runs of surviving anchors with one home become
    segments of text, each sent to its home's bucket.
-3. A bucket sorts the runs' strings by multikey quicksort (eight bytes per
-   character).  A run equal to one of a smaller document is removed whole.
+3. A bucket sorts the runs' strings most significant first, by lexsort rounds of
+   eight bytes.  A run equal to one of a smaller document is removed whole.
    Where a gram has several different runs, all their ``length``-byte
    suffixes are sorted the same way and equal neighbours compared.
 4. The removed spans go back to the documents, are merged and cut out.
@@ -116,7 +116,7 @@ class Runs:
 
 
 def equal_strings(data: np.ndarray, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Group numbers of equal strings (of equal initial group and size), by multikey quicksort.
+    """Group numbers of equal strings (of equal initial group and size), by lexsort rounds, most significant first.
 
     A character is eight bytes.  Strings still tied after one character are sorted by the
     next; strings without a tie are done.
