@@ -143,3 +143,64 @@ upto AS (SELECT conv_id, k, string_agg(x, '') OVER (PARTITION BY conv_id ORDER B
 whole AS (SELECT txt, n, min(conv_id) AS conv_id, count(*) AS n_logged FROM upto WHERE k = n GROUP BY txt, n)
 SELECT conv_id, n AS n_turns, n_logged, txt AS rendered FROM whole
 WHERE NOT EXISTS (SELECT 1 FROM upto u WHERE u.k < u.n AND u.k = whole.n AND u.txt = whole.txt)"""
+
+_CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda a, k:
+             CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS b)))"""
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op11_spelling_variants"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, {_LOWER.format('run')} AS run, count(*) AS c
+         FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+         WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (SELECT run, c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+            regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'), lambda x: ('0x' || x)::BIGINT)),
+            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h FROM runs, crc_table),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                    ELSE run END AS w, c FROM coded),
+words AS (SELECT w, sum(c)::BIGINT AS n FROM cut WHERE length(w) >= 7 GROUP BY w HAVING sum(c) >= 2),
+holes AS (SELECT w, n, i, substr(w, 1, i - 1) AS x, substr(w, i + 1) AS y
+          FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT w, n, x || y AS s FROM holes),
+near AS (SELECT a.w, b.w AS o, b.n AS o_n FROM holes a JOIN holes b USING (i, x, y) WHERE a.w <> b.w
+         UNION ALL SELECT s.w, t.w, t.n FROM shorter s JOIN words t ON t.w = s.s
+         UNION ALL SELECT t.w, s.w, s.n FROM shorter s JOIN words t ON t.w = s.s),
+placed AS (SELECT w, o, o_n, row_number() OVER (PARTITION BY w ORDER BY o_n DESC, o) AS k,
+                  count(*) OVER (PARTITION BY w) AS n_near FROM near),
+f AS (SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN o_n >= 10 * n THEN o END AS form,
+             CASE WHEN o_n >= 10 * n THEN o_n END AS form_n
+      FROM words LEFT JOIN (SELECT * FROM placed WHERE k = 1) USING (w)),
+chain AS (SELECT w, form AS top FROM f WHERE form IS NOT NULL
+          UNION ALL SELECT chain.w, f.form FROM chain JOIN f ON f.w = chain.top WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.w, top FROM chain JOIN f ON f.w = top WHERE f.form IS NULL)
+SELECT f.w AS word, form, coalesce(top, f.w) AS root, n, n_near, form_n FROM f LEFT JOIN ends ON ends.w = f.w"""
+
+SQL["op13_collocations"] = rf"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+size AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
+f1 AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(ws) AS x FROM p) GROUP BY ALL),
+f2 AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, count(*) AS f
+       FROM (SELECT lang, ws, unnest(range(1, len(ws))) AS i FROM p) GROUP BY ALL),
+f3 AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z, count(*) AS f
+       FROM (SELECT lang, ws, unnest(range(1, len(ws) - 1)) AS i FROM p) GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.x || ' ' || c.y AS phrase, 1 AS k, c.f AS a, u.f AS l, v.f AS r
+  FROM f2 c JOIN f1 u ON u.lang = c.lang AND u.x = c.x JOIN f1 v ON v.lang = c.lang AND v.x = c.y
+  WHERE c.f >= 10 AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = c.lang AND 100 * t.f >= 50 * c.f
+                                  AND ((t.x = c.x AND t.y = c.y) OR (t.y = c.x AND t.z = c.y)))
+  UNION ALL
+  SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, 1, c.f, u.f, v.f
+  FROM f3 c JOIN f1 u ON u.lang = c.lang AND u.x = c.x JOIN f2 v ON v.lang = c.lang AND v.x = c.y AND v.y = c.z
+  UNION ALL
+  SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, 2, c.f, u.f, v.f
+  FROM f3 c JOIN f2 u ON u.lang = c.lang AND u.x = c.x AND u.y = c.y JOIN f1 v ON v.lang = c.lang AND v.x = c.z),
+valued AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN size USING (lang) WHERE rank <= 2000"""

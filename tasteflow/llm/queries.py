@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from tasteflow.llm import (
     chat,
+    collocations,
     decontaminate,
     jaccard_join,
+    language_id,
     packing,
     quality_model,
     quality_rules,
     sharding,
+    spelling_variants,
     suffix_dedup,
     token_counts,
     url_filter,
@@ -77,6 +80,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"), slip=31)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_quality_rules, op3_decontaminate, op4_url_filter, op5_token_counts, op6_jaccard_join,
-    op7_sharding, op8_packing, op9_chat_format, op10_quality_classifier)}
+    op7_sharding, op8_packing, op9_chat_format, op10_quality_classifier, op11_spelling_variants, op12_language_id,
+    op13_collocations)}
