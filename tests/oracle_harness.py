@@ -38,7 +38,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return repr(round(v, 6))
+        return str(int(v)) if v.is_integer() else repr(round(v, 6))  # a nullable integer column is read as floats
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
