@@ -1,6 +1,6 @@
 """Runnable jobs: ``python -m tasteflow.jobs <job> ...`` or ``spark-submit -m``-style with the zipped package.
 
-    load        three text inputs -> movie, rating, tag tables, the movie index and the by-user rating table
+    load        three text inputs -> movie, rating, tag tables and the movie index
     statistics  rating counts, monthly counts, averages, top movies per genre
     offline     ALS model -> user lists, item similarity, item lists
     tune        grid search over rank x regularisation; writes the grid and its best row
@@ -22,9 +22,8 @@ from pyspark.sql import SparkSession
 from tasteflow.plans import loader, offline, statistics, streaming_job
 from tasteflow.schemas import MOVIE, RATING, SIMILARITY
 from tasteflow.session import build_session, ship_package
-from tasteflow.sources.tables import HashedTable, TableStore
+from tasteflow.sources.tables import TableStore
 
-RATINGS_BY_USER = "ratings_by_user"
 GRID_TABLE, BEST_TABLE = "als_grid", "als_best"
 
 
@@ -39,8 +38,7 @@ def _loaded(spark: SparkSession, args: argparse.Namespace):
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = loader.load_text_inputs(spark, args.movies, args.ratings, args.tags, _store(args), strict=args.strict)
-    HashedTable.create(tables.ratings, f"{args.root.rstrip('/')}/{RATINGS_BY_USER}", "uid", args.user_buckets)
+    loader.load_text_inputs(spark, args.movies, args.ratings, args.tags, _store(args), strict=args.strict)
 
 
 def statistics_job(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -70,11 +68,12 @@ def forward(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def recommend(spark: SparkSession, args: argparse.Namespace) -> None:
-    similarity = _store(args).read(spark, offline.MOVIE_SIMILARITY, SIMILARITY)
-    ratings = HashedTable(spark, f"{args.root.rstrip('/')}/{RATINGS_BY_USER}")
+    store, ratings, _ = _loaded(spark, args)
+    similarity = store.read(spark, offline.MOVIE_SIMILARITY, SIMILARITY)
     query, job = streaming_job.start_recommender(
         spark, args.source, similarity, ratings, args.sink, args.checkpoint, trigger=_trigger(args),
-        min_sim=args.min_sim, job_options={"store_ratings": args.store_ratings, "compact_every": args.compact_every})
+        min_sim=args.min_sim, ratings_source=args.ratings_source,
+        job_options={"store_ratings": args.store_ratings, "metrics_to": args.metrics})
     try:
         query.awaitTermination()
     finally:
@@ -100,7 +99,6 @@ def parser() -> argparse.ArgumentParser:
     for name in ("movies", "ratings", "tags"):
         job.add_argument(f"--{name}", required=True, help="text input")
     job.add_argument("--strict", action="store_true", help="fail on the first bad line")
-    job.add_argument("--user-buckets", type=int, default=64)
 
     job = add("statistics", statistics_job)
     job.add_argument("--genres", nargs="+")
@@ -129,7 +127,8 @@ def parser() -> argparse.ArgumentParser:
         if name == "recommend":
             job.add_argument("--min-sim", type=float, default=streaming_job.MIN_SIM)
             job.add_argument("--store-ratings", action="store_true")
-            job.add_argument("--compact-every", type=int)
+            job.add_argument("--ratings-source", help="folder where ratings that others store arrive, as lines")
+            job.add_argument("--metrics", help="folder for the durations of the batches")
     return top
 
 

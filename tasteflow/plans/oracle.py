@@ -249,6 +249,16 @@ SQL["loaded_ratings"] = SQL["ratings_parsed"]
 SQL["rating_counts_sql"] = SQL["rating_counts"]
 SQL["monthly_counts_sql"] = SQL["monthly_counts"]
 
+SQL["month_view_sql"] = with_views(RATINGS) + """
+SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y%m') AS year_month, mid, count(mid) AS rating_count,
+       round(avg(score), 6) AS avg_score
+FROM ratings GROUP BY 1, 2"""
+
+SQL["month_function_sql"] = with_views(RATINGS) + """
+SELECT strftime(make_timestamp(a * 1000000), '%Y%m') AS first_month, strftime(make_timestamp(b * 1000000), '%Y%m') AS last_month,
+       count(*) AS n_users
+FROM (SELECT uid, min("timestamp") AS a, max("timestamp") AS b FROM ratings GROUP BY uid) GROUP BY 1, 2"""
+
 SQL["genre_top10_token"] = SQL["genre_top10"].replace(
     "JOIN genre_list g ON contains(lower(m.genres), lower(g.genre))",
     "JOIN genre_list g ON list_contains(string_split(lower(m.genres), '|'), lower(g.genre))",

@@ -17,11 +17,11 @@ from tasteflow.plans import loader, offline, statistics
 from tasteflow.schemas import GENRE_RECS, USER_RECS
 from tasteflow.session import checkpointed, scratch_dir
 from tasteflow.sources import adapters, compose
-from tasteflow.sources.tables import HashedTable, TableStore
+from tasteflow.sources.tables import TableStore
 from tasteflow.sources.text import parse_movies, parse_ratings, parse_tags, read_lines
 from tasteflow.streaming.logs import start_event_parser, start_log_forwarder
 from tasteflow.streaming.recommender import RealtimeRecommender
-from tasteflow.streaming.sink import KeyedTable
+from tasteflow.streaming.sink import newest_lists
 
 # Genre words of the test catalogue (mixed case; 'old' is also inside 'cold').
 TEST_GENRES = ["old", "small", "red", "PROMO", "widget", "Ring", "economy"]
@@ -318,30 +318,27 @@ def rating_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select("uid", "mid", "score", "timestamp")
 
 
-def _run_realtime_stream(spark: SparkSession, sf_dir: str) -> KeyedTable:
+def _run_realtime_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings, sims = _realtime_inputs(spark, sf_dir)
     source = _land_lines(spark, compose.rating_event_lines(ratings), "rating-events")
-    table = KeyedTable(scratch_dir(spark, "stream-recs"), key="uid")
-    stored = HashedTable.create(ratings, scratch_dir(spark, "ratings-by-user"), "uid", buckets=64)
-    job = RealtimeRecommender(sims, stored, table, min_sim=PAIR_THRESHOLD)
+    table = scratch_dir(spark, "stream-recs")
+    job = RealtimeRecommender(sims, ratings, table, min_sim=PAIR_THRESHOLD)
     try:
         job.start(spark, source, scratch_dir(spark, "stream-recs-ckpt"), trigger={"availableNow": True},
                   max_files_per_trigger=2).awaitTermination()
     finally:
         job.close()
-    return table
+    return newest_lists(spark, table)
 
 
 def realtime_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rating events streamed through the real-time job; the upserted table, flattened."""
-    table = _run_realtime_stream(spark, sf_dir)
-    return lists_to_ranked(table.read(spark), "uid").select("uid", "rank", "mid", r6("score"))
+    """Rating events streamed through the real-time job; the newest lists, flattened."""
+    return lists_to_ranked(_run_realtime_stream(spark, sf_dir), "uid").select("uid", "rank", "mid", r6("score"))
 
 
 def stream_list_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The upserted lists in their string form ``mid:score|...`` (empty list -> '')."""
-    table = _run_realtime_stream(spark, sf_dir)
-    lists = table.read(spark)
+    """The newest lists in their string form ``mid:score|...`` (empty list -> '')."""
+    lists = _run_realtime_stream(spark, sf_dir)
     rounded = F.transform("recs", lambda x: F.struct(x["mid"].alias("mid"), F.round(x["score"], DIGITS).alias("score")))
     return lists.select("uid", format_recs(rounded, decimals=DIGITS).alias("recs"))
 
@@ -393,6 +390,22 @@ def monthly_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql_statistic(spark, sf_dir, statistics.RATE_MORE_RECENTLY)
 
 
+def month_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month view queried in SQL: ratings and their mean per month and movie."""
+    statistics.register_views(adapters.ratings_view(spark, sf_dir))
+    return spark.sql(f"""SELECT yearMonth AS year_month, mid, count(mid) AS rating_count, round(avg(score), {DIGITS}) AS avg_score
+        FROM {statistics.MONTH_VIEW} GROUP BY yearMonth, mid""")
+
+
+def month_function_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month function in a SQL text of its own: users by the months of their first and last rating."""
+    statistics.register_views(adapters.ratings_view(spark, sf_dir))
+    month = statistics.MONTH_FUNCTION
+    return spark.sql(f"""SELECT first_month, last_month, count(*) AS n_users FROM (
+        SELECT uid, {month}(min(timestamp)) AS first_month, {month}(max(timestamp)) AS last_month FROM ratings GROUP BY uid)
+        GROUP BY first_month, last_month""")
+
+
 QUERIES = {
     "average_scores": average_scores,
     "genre_top10": genre_top10,
@@ -436,4 +449,6 @@ QUERIES = {
     "movie_index_roundtrip": movie_index_roundtrip,
     "rating_counts_sql": rating_counts_sql,
     "monthly_counts_sql": monthly_counts_sql,
+    "month_view_sql": month_view_sql,
+    "month_function_sql": month_function_sql,
 }

@@ -1,7 +1,7 @@
 """Statistics job: rating counts, monthly counts, averages, top-k per genre.
 
-Two surfaces over the same operators: DataFrames (``run_statistics``) and temp
-views that users query with SQL (``register_views``).
+Two surfaces over the same operators: DataFrames (``run_statistics``) and, for
+users of SQL, temp views and a SQL function (``register_views``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,14 @@ RATE_MORE, RATE_MORE_RECENTLY, AVERAGE, GENRES_TOP = (
     "rate_more_movies", "rate_more_recently_movies", "average_movies", "genres_top_movies",
 )
 
+# Names of the SQL function and of the view that uses it.
+MONTH_FUNCTION, MONTH_VIEW = "changeDate", "ratingofYearMonth"
+
+# The body is one expression, which the optimizer inlines: no UDF runs.  UTC, as functions/time.py.
+_MONTH_SQL = f"""CREATE OR REPLACE TEMPORARY FUNCTION {MONTH_FUNCTION}(seconds BIGINT)
+RETURNS STRING COMMENT 'yyyyMM of epoch seconds, in UTC'
+RETURN date_format(date_from_unix_date(CAST(floor(seconds / 86400) AS INT)), 'yyyyMM')"""
+
 
 def run_statistics(
     movies: DataFrame,
@@ -54,10 +62,17 @@ def run_statistics(
 
 
 def register_views(ratings: DataFrame, movies: DataFrame | None = None) -> None:
-    """Temp views for SQL users: the inputs, and each plain statistic under its table name."""
+    """What SQL users query: the inputs, each plain statistic under its table name, the month function and its view.
+
+    ``changeDate(seconds)`` gives ``yyyyMM``; ``ratingofYearMonth`` holds (mid, score, yearMonth) of every rating.
+    """
     views = {"ratings": ratings, RATE_MORE: stats.rating_counts(ratings), AVERAGE: stats.average_scores(ratings),
              RATE_MORE_RECENTLY: stats.monthly_counts(ratings)}
     if movies is not None:
         views["movies"] = movies
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+    spark = ratings.sparkSession
+    spark.sql(_MONTH_SQL)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {MONTH_VIEW} AS "
+              f"SELECT mid, score, {MONTH_FUNCTION}(timestamp) AS yearMonth FROM ratings")

@@ -12,10 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tasteflow.session import shared_dir
-from tasteflow.sources.tables import HashedTable
 from tasteflow.streaming.logs import start_log_forwarder
 from tasteflow.streaming.recommender import BOOST_ABOVE, CANDIDATE_K, MIN_SIM, RECENT_K, RealtimeRecommender
-from tasteflow.streaming.sink import KeyedTable
 
 
 def start_forwarder(spark: SparkSession, source: str, sink: str, checkpoint: str | None = None, **kw):
@@ -26,7 +24,7 @@ def start_recommender(
     spark: SparkSession,
     source: str,
     similarity: DataFrame,
-    ratings: HashedTable,
+    ratings: DataFrame | None,
     table_path: str,
     checkpoint: str | None = None,
     recent_k: int = RECENT_K,
@@ -39,9 +37,8 @@ def start_recommender(
     """Start the real-time job; returns ``(query, job)``; ``job.close()`` stops it and drops its snapshot.
 
     The default checkpoint location is stable, so a restarted job resumes
-    where it stopped; replayed micro-batches are idempotent in the sink.
+    where it stopped, with the users' histories; replayed micro-batches are idempotent in the sink.
     """
-    table = KeyedTable(table_path, key="uid")
-    job = RealtimeRecommender(similarity, ratings, table, recent_k, candidate_k, min_sim, boost_above, **(job_options or {}))
+    job = RealtimeRecommender(similarity, ratings, table_path, recent_k, candidate_k, min_sim, boost_above, **(job_options or {}))
     query = job.start(spark, source, checkpoint or shared_dir(spark, "streams", "recommender"), **kw)
     return query, job

@@ -2,9 +2,9 @@
 
 from tasteflow.streaming.logs import filter_rating_logs, rating_events_from_logs, start_event_parser, start_log_forwarder
 from tasteflow.streaming.recommender import RealtimeRecommender
-from tasteflow.streaming.sink import KeyedTable
+from tasteflow.streaming.sink import append_lists, newest_lists
 
 __all__ = [
-    "KeyedTable", "RealtimeRecommender", "filter_rating_logs", "rating_events_from_logs",
+    "RealtimeRecommender", "append_lists", "filter_rating_logs", "newest_lists", "rating_events_from_logs",
     "start_event_parser", "start_log_forwarder",
 ]

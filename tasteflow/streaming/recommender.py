@@ -1,19 +1,15 @@
 """Real-time suggestions from a stream of rating events.
 
-Per micro-batch (``foreachBatch``), all as joins on the whole batch:
-
-parse ``uid|mid|score|timestamp`` -> newest event per user -> unseen
-similar candidates -> score against the user's recent ratings -> one
-list per user of the batch (empty when nothing scored) -> keyed upsert
-into the suggestions table.
-
-Ratings are live: each batch looks up its users' newest ratings and rated
-items in the stored rating table, reading only their buckets, so a rating
-stored between two batches counts in the second.  The similarity table is a
-snapshot taken at start, as in the original job: a managed table in the
-warehouse, hashed by item, of which a batch reads the buckets of its items.
-``refresh`` takes a new snapshot, ``close`` drops it.  Nothing but bucket
-numbers is collected to the driver.
+Lines ``uid|mid|score|timestamp`` -> the users' histories in Spark's state
+store (:mod:`tasteflow.streaming.history`) -> per micro-batch, as joins on the
+whole batch: unseen similar candidates, scored against the user's newest
+ratings, one list per asking user (empty when nothing scored) -> append.
+
+Ratings are live.  The stored ratings are the initial state; ``ratings_source``
+streams in ratings that others store meanwhile, and ``store_ratings`` adds
+the events themselves.  The similarity table is a snapshot taken at start, as in
+the original job: an ordinary partitioned table, joined by item.  ``refresh``
+takes a new one, ``close`` drops it.  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -24,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators import realtime
-from tasteflow.sources.tables import HashedTable
 from tasteflow.sources.text import parse_rating_events
+from tasteflow.streaming import history, sink
 from tasteflow.streaming.logs import read_line_stream
-from tasteflow.streaming.sink import KeyedTable
+from tasteflow.streaming.metrics import BatchTimes
 
 # List sizes and thresholds of the real-time job.
 RECENT_K, CANDIDATE_K = 10, 10
@@ -35,23 +31,15 @@ MIN_SIM, BOOST_ABOVE = 0.6, 3.0
 
 
 class SimilaritySnapshot:
-    """The similarity table with each partner's place, partitioned by a hash of the item."""
+    """The similarity table with each partner's place, stored as a bucketed table."""
 
     def __init__(self, similarity: DataFrame, buckets: int):
-        self.spark, self.buckets = similarity.sparkSession, int(buckets)
-        self.name = f"similarity_{uuid.uuid4().hex[:12]}"
-        ranked = realtime.ranked_partners(similarity).withColumn("bucket", self._bucket("mid"))
-        ranked.hint("rebalance", "bucket").write.partitionBy("bucket").saveAsTable(self.name)
-
-    def _bucket(self, column: str):
-        return F.pmod(F.xxhash64(F.col(column).cast("bigint")), F.lit(self.buckets)).cast("int")
+        self.spark, self.name = similarity.sparkSession, f"similarity_{uuid.uuid4().hex[:12]}"
+        realtime.ranked_partners(similarity).write.bucketBy(buckets, "mid").sortBy("mid").saveAsTable(self.name)
 
     def of(self, items: DataFrame) -> DataFrame:
         """The rows of the given items (``mid``)."""
-        wanted = items.select("mid").distinct()
-        ids = sorted(r[0] for r in wanted.select(self._bucket("mid").alias("b")).distinct().collect())
-        rows = items.sparkSession.table(self.name).where(F.col("bucket").isin(ids)).drop("bucket")
-        return rows.join(wanted, "mid", "left_semi")
+        return items.sparkSession.table(self.name).join(items.select("mid").distinct(), "mid", "left_semi")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -61,8 +49,8 @@ class RealtimeRecommender:
     def __init__(
         self,
         similarity: DataFrame,
-        ratings: HashedTable,
-        table: KeyedTable,
+        ratings: DataFrame | None,
+        table: str,
         recent_k: int = RECENT_K,
         candidate_k: int = CANDIDATE_K,
         min_sim: float = MIN_SIM,
@@ -70,76 +58,59 @@ class RealtimeRecommender:
         similarity_buckets: int = 64,
         store_ratings: bool = False,
         rejects_to: str | None = None,
-        compact_every: int | None = None,
+        metrics_to: str | None = None,
     ):
-        """``ratings`` is hashed by ``uid``.  ``store_ratings`` appends each batch's events to it."""
+        """``ratings``: stored ones, the initial state of a new checkpoint.  ``table``: folder of the suggestion table.
+
+        ``store_ratings``: each batch's events count as ratings from the next batch on.  ``rejects_to``: folder for
+        malformed lines, written by a query of its own.  ``metrics_to``: folder for the durations of the batches.
+        """
+        self.spark, self.buckets = similarity.sparkSession, similarity_buckets
         self.similarity = SimilaritySnapshot(similarity, similarity_buckets)
-        self.similarity_buckets = similarity_buckets
-        self.ratings = ratings
-        self.table = table
+        self.ratings, self.table = ratings, table
         self.recent_k, self.candidate_k = recent_k, candidate_k
         self.min_sim, self.boost_above = min_sim, boost_above
-        self.store_ratings, self.rejects_to = store_ratings, rejects_to
-        self.compact_every = compact_every
-        self.query = None
+        self.store_ratings, self.rejects_to, self.metrics_to = store_ratings, rejects_to, metrics_to
+        self.query = self.rejects = self.times = None
 
     def refresh(self, similarity: DataFrame) -> None:
         """Take a new similarity snapshot; call between micro-batches."""
-        old, self.similarity = self.similarity, SimilaritySnapshot(similarity, self.similarity_buckets)
+        old, self.similarity = self.similarity, SimilaritySnapshot(similarity, self.buckets)
         old.drop()
 
     def close(self) -> None:
-        """Stop the query, if any, and drop the snapshot."""
-        if self.query is not None and self.query.isActive:
-            self.query.stop()
+        """Stop the queries, write the batch times, drop the snapshot."""
+        for query in (self.query, self.rejects):
+            if query is not None and query.isActive:
+                query.stop()
+        if self.times is not None:
+            self.spark.streams.removeListener(self.times)
+            self.times.write(self.spark, self.metrics_to)
+            self.times = None
         self.similarity.drop()
 
-    def lists_for(self, events: DataFrame) -> DataFrame:
-        """(uid, recs, event_time, event_mid, event_score) for the newest event of each user."""
-        return self.lists_from_last(realtime.last_event_per_user(events))
-
-    def lists_from_last(self, last: DataFrame) -> DataFrame:
-        """As :meth:`lists_for`, from events already reduced to one per user."""
-        return self._lists(last, *self._candidates(last))
-
-    def _candidates(self, last: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The batch's candidates, and its users' newest ratings."""
-        mine = self.ratings.lookup(last)
-        cand = realtime.unseen_candidates(last, self.similarity.of(last), mine, k=self.candidate_k)
-        return cand, realtime.recent_ratings(mine, k=self.recent_k)
-
-    def _lists(self, last: DataFrame, cand: DataFrame, recent: DataFrame) -> DataFrame:
-        scores = realtime.realtime_scores(cand, recent, self.similarity.of(cand), self.min_sim, self.boost_above)
-        users = last.select(
-            "uid",
-            F.col("timestamp").alias("event_time"),
-            F.col("mid").alias("event_mid"),
-            F.col("score").alias("event_score"),
-        )
+    def candidates(self, asked: DataFrame) -> DataFrame:
+        """(uid, rank, mid, sim) for each row of :func:`history.asked`."""
+        return realtime.unseen_by_words(asked, self.similarity.of(asked), history.words_of(asked), self.candidate_k)
+
+    def lists(self, asked: DataFrame, candidates: DataFrame) -> DataFrame:
+        """(uid, recs, event_time, event_mid, event_score): the scored candidates of each asking user."""
+        scores = realtime.realtime_scores(candidates, history.recent_of(asked), self.similarity.of(candidates), self.min_sim,
+                                          self.boost_above)
+        users = asked.select("uid", F.col("timestamp").alias("event_time"), F.col("mid").alias("event_mid"),
+                             F.col("score").alias("event_score"))
         return realtime.user_lists(users, scores, distinct_users=False)
 
-    def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        lines = batch.select("value").persist()
-        parsed = parse_rating_events(lines)
-        # the newest event per user feeds several branches: compute it once
-        last = realtime.last_event_per_user(parsed.rows).persist()
+    def process_batch(self, asked: DataFrame, batch_id: int) -> None:
+        asked = asked.persist()  # the stateful operator runs once; several joins read its rows
+        candidates = self.candidates(asked).persist()
         try:
-            if self.rejects_to:
-                # malformed events are kept per batch id (a replay overwrites the same folder)
-                parsed.rejects.write.mode("overwrite").parquet(f"{self.rejects_to.rstrip('/')}/batch_id={batch_id}")
-            cand, recent = self._candidates(last)
-            cand = cand.persist()  # read for its buckets, then for its scores
-            try:
-                self.table.upsert(self._lists(last, cand, recent), batch_id)
-            finally:
-                cand.unpersist()
-            if self.store_ratings:  # after the lists: an event does not see itself; batch 0 is the base
-                self.ratings.append(parsed.rows, batch_id + 1)
-            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-                self.table.compact(batch.sparkSession)
+            sink.append_lists(self.lists(asked, candidates), self.table, batch_id)
         finally:
-            last.unpersist()
-            lines.unpersist()
+            candidates.unpersist()
+            asked.unpersist()
+        if self.times is not None and len(self.times.rows) >= 50:
+            self.times.write(asked.sparkSession, self.metrics_to)
 
     def start(
         self,
@@ -150,12 +121,21 @@ class RealtimeRecommender:
         source_options: dict[str, str] | None = None,
         trigger: dict | None = None,
         max_files_per_trigger: int | None = None,
+        ratings_source: str | None = None,
     ):
-        lines = read_line_stream(spark, source, source_format, max_files_per_trigger, source_options)
-        self.query = (
-            lines.writeStream.foreachBatch(self.process_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "2 seconds"}))
-            .start()
-        )
+        trigger = trigger or {"processingTime": "2 seconds"}
+        parsed = parse_rating_events(read_line_stream(spark, source, source_format, max_files_per_trigger, source_options))
+        events = parsed.rows.withColumn("asks", F.lit(True))
+        if ratings_source:
+            told = parse_rating_events(read_line_stream(spark, ratings_source)).rows
+            events = events.unionByName(told.withColumn("asks", F.lit(False)))
+        asked = history.asked(events, self.ratings, self.recent_k, self.store_ratings)
+        self.query = asked.writeStream.foreachBatch(self.process_batch).outputMode("update").option(
+            "checkpointLocation", checkpoint).trigger(**trigger).start()
+        if self.metrics_to:
+            self.times = BatchTimes(str(self.query.id))
+            spark.streams.addListener(self.times)
+        if self.rejects_to:
+            self.rejects = parsed.rejects.writeStream.format("parquet").option("path", self.rejects_to).option(
+                "checkpointLocation", checkpoint.rstrip("/") + "-rejects").trigger(**trigger).start()
         return self.query

@@ -1,57 +1,32 @@
-"""Keyed table on plain Parquet: append per batch, newest wins on read, compaction.
+"""The suggestion table: each micro-batch is appended, the newest list per user is read.
 
-An upsert writes one folder, named after its batch: a micro-batch costs what it
-holds, not what the table holds, and a replay overwrites its own folder.  A
-reader keeps the newest row per key (by ``order_cols``), so neither replays nor
-arrival order change the result.  Spark's own commit makes a folder visible
-whole or not at all; nothing is ever swapped or repaired.
-
-``compact`` folds everything into the first folder of a new generation and then
-records the generation.  Readers use the newest recorded one, so a compaction
-that dies half-way is never read.
+A batch is one partition of an ordinary partitioned table, so a replay
+overwrites its own rows.  Which list is newest is decided before, by the state
+of :mod:`tasteflow.streaming.history`: an event older than the user's newest one
+gives no list.  The reader still compares, so arrival order never matters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators.topk import newest_per_key
 
-FOLDED = -1  # the batch number of a generation's folded rows
-
+ORDER = ("event_time", "event_mid", "event_score")
 
-class KeyedTable:
-    def __init__(self, path: str, key: str = "uid",
-                 order_cols: Sequence[str] = ("event_time", "event_mid", "event_score")):
-        self.path = path.rstrip("/")
-        self.key = key
-        self.order_cols = list(order_cols)
 
-    def generation(self, spark: SparkSession) -> int:
-        """The newest recorded generation (a table of one row per compaction)."""
-        try:
-            return spark.read.schema("generation int").parquet(f"{self.path}_generations").agg(F.max("generation")).first()[0] or 0
-        except AnalysisException:  # never compacted
-            return 0
+def append_lists(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Add the lists of a batch; the same batch id again replaces them."""
+    rows.withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
-    def _folder(self, generation: int) -> str:
-        return f"{self.path}/generation={generation}"
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
-        """Add the rows of a batch; per key the row with the greatest ``order_cols`` is read back."""
-        rows.write.mode("overwrite").parquet(f"{self._folder(self.generation(rows.sparkSession))}/batch={int(batch_id)}")
+def newest_lists(spark: SparkSession, path: str) -> DataFrame:
+    """(uid, recs, event_time, event_mid, event_score): the list of each user's newest event."""
+    return newest_per_key(spark.read.parquet(path).drop("batch"), "uid", ORDER)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        rows = spark.read.parquet(self._folder(self.generation(spark))).drop("batch")
-        return newest_per_key(rows, self.key, self.order_cols)
 
-    def compact(self, spark: SparkSession) -> int:
-        """Fold all batches into a new generation; returns it.  Call between batches: one writer per table."""
-        new = self.generation(spark) + 1
-        self.read(spark).write.mode("overwrite").parquet(f"{self._folder(new)}/batch={FOLDED}")
-        spark.range(1).select(F.lit(new).alias("generation")).write.mode("append").parquet(f"{self.path}_generations")
-        return new
+def compact(spark: SparkSession, path: str, to: str) -> None:
+    """The newest lists as a table of their own, in one batch; an ordinary job, for a new ``to``."""
+    append_lists(newest_lists(spark, path), to, 0)

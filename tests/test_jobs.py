@@ -18,7 +18,7 @@ def run(folder, *args):
 
 def test_every_job_runs_on_its_own(spark, tmp_dir):
     from tasteflow.sources import adapters, compose
-    from tasteflow.streaming.sink import KeyedTable
+    from tasteflow.streaming.sink import newest_lists
 
     ratings = adapters.ratings_view(spark, SF)
     inputs = {"movies": compose.movie_lines(adapters.movies_view(spark, SF)), "ratings": compose.rating_lines(ratings),
@@ -41,5 +41,6 @@ def test_every_job_runs_on_its_own(spark, tmp_dir):
     assert forwarded.count() == 50
     compose.write_lines(forwarded, f"{tmp_dir}/events")
     run(tmp_dir, "recommend", "--root", root, "--source", f"{tmp_dir}/events", "--sink", f"{tmp_dir}/recs",
-        "--checkpoint", f"{tmp_dir}/ck2", "--once", "--store-ratings")
-    assert KeyedTable(f"{tmp_dir}/recs").read(spark).count() > 0
+        "--checkpoint", f"{tmp_dir}/ck2", "--once", "--store-ratings", "--metrics", f"{tmp_dir}/times")
+    assert newest_lists(spark, f"{tmp_dir}/recs").count() > 0
+    assert spark.read.parquet(f"{tmp_dir}/times").where("rows > 0 and batch_ms > 0").count() > 0

@@ -1,10 +1,15 @@
 """Log filter rules, keyed upsert semantics, and stream == batch."""
 
 import os
+import random
+import time
 
+import pytest
 
+from tasteflow.operators import realtime
+from tasteflow.streaming import history, sink
 from tasteflow.streaming.logs import filter_rating_logs, rating_events_from_logs
-from tasteflow.streaming.sink import KeyedTable
+from tasteflow.streaming.recommender import RealtimeRecommender
 
 M = "MOVIE_RATING_PREFIX:"
 
@@ -31,47 +36,91 @@ def batch(spark, data):
     return spark.createDataFrame(data, "uid int, recs array<struct<mid:int,score:double>>, event_time long, event_mid int, event_score double")
 
 
-def table_rows(spark, table):
-    return sorted((r.uid, [x.mid for x in r.recs], r.event_time) for r in table.read(spark).collect())
+def table_rows(spark, path):
+    return sorted((r.uid, [x.mid for x in r.recs], r.event_time) for r in sink.newest_lists(spark, path).collect())
 
 
-def test_keyed_upsert_newest_wins_and_is_idempotent(spark, tmp_dir):
-    t = KeyedTable(os.path.join(tmp_dir, "recs"))
-    t.upsert(batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0), (2, [(6, 1.0)], 10, 6, 4.0), (3, [], 10, 7, 4.0)]), 0)
+def test_newest_list_wins_and_a_replay_changes_nothing(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "recs")
+    sink.append_lists(batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0), (2, [(6, 1.0)], 10, 6, 4.0), (3, [], 10, 7, 4.0)]), t, 0)
     second = [(1, [(8, 2.0)], 20, 8, 4.0), (2, [(9, 1.0)], 5, 9, 4.0)]  # uid 2 event is older
-    t.upsert(batch(spark, second), 1)
+    sink.append_lists(batch(spark, second), t, 1)
     want = [(1, [8], 20), (2, [6], 10), (3, [], 10)]
     assert table_rows(spark, t) == want
-    t.upsert(batch(spark, second), 1)  # replay
-    assert table_rows(spark, t) == want
-    assert t.compact(spark) == 1
-    assert table_rows(spark, t) == want
-    t.upsert(batch(spark, second), 1)  # a replay after the compaction
-    t.upsert(batch(spark, [(3, [(4, 1.0)], 30, 4, 4.0)]), 2)
-    assert table_rows(spark, KeyedTable(t.path)) == [want[0], want[1], (3, [4], 30)]
-
-
-def test_an_unrecorded_compaction_is_not_read(spark, tmp_dir):
-    t = KeyedTable(os.path.join(tmp_dir, "recs"))
-    t.upsert(batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0), (2, [], 10, 6, 4.0)]), 0)
-    # a compaction that died before it was recorded left a part of its rows
-    batch(spark, [(1, [(5, 1.0)], 10, 5, 4.0)]).write.parquet(f"{t.path}/generation=1/batch=-1")
-    assert [r[0] for r in table_rows(spark, t)] == [1, 2]
-    assert t.compact(spark) == 1
-    assert [r[0] for r in table_rows(spark, t)] == [1, 2]
-
-
-def folder_bytes(path):
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
-
-
-def test_an_upsert_writes_its_batch_not_the_table(spark, tmp_dir):
-    t = KeyedTable(os.path.join(tmp_dir, "recs"))
-    t.upsert(batch(spark, [(u, [(5, float(u))] * 10, 10, 5, 4.0) for u in range(20000)]).coalesce(1), 0)
-    before = folder_bytes(t.path)
-    t.upsert(batch(spark, [(7, [(9, 2.0)], 20, 9, 4.0)]), 1)
-    assert folder_bytes(t.path) - before < before / 20
-    assert dict((r[0], r[1]) for r in table_rows(spark, t))[7] == [9]
+    sink.append_lists(batch(spark, second), t, 1)  # replay
+    assert table_rows(spark, t) == want and spark.read.parquet(t).count() == 5
+    sink.compact(spark, t, t + "-compact")
+    assert table_rows(spark, t + "-compact") == want and spark.read.parquet(t + "-compact").count() == 3
+
+
+EVENTS = "uid int, mid int, score double, timestamp long, asks boolean"
+
+
+def run_history(spark, source, checkpoint, stored, keep, seen, recent_k=3):
+    """One run over what is there: the asked rows as {uid: (event, recents, rated items)}; ``seen`` gets the row counts."""
+    out = {}
+
+    def take(df, batch_id):
+        rows = df.collect()
+        seen.append(len(rows))
+        for r in rows:
+            rated = {w["word"] * 64 + i for w in r.rated for i in range(64) if w["bits"] >> i & 1}
+            out[r.uid] = ((r.timestamp, r.mid, r.score), [tuple(x) for x in r.recent], rated)
+
+    events = spark.readStream.schema(EVENTS).parquet(source)
+    query = history.asked(events, stored, recent_k, keep).writeStream.foreachBatch(take).outputMode("update").option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return out, query
+
+
+def test_histories_equal_the_batch_operators_after_every_batch_and_restart(spark, tmp_dir):
+    """Late and repeated events, ratings told by others, restarts from the checkpoint, against all rows so far."""
+    rnd = random.Random(4)
+    row = lambda: (rnd.randint(1, 6), rnd.choice([0, 5, 63, 64, 200, 10**6]), rnd.choice([1.0, 3.0, 5.0]), rnd.randint(1, 40))
+    stored = [row() for _ in range(40)]
+    known, newest, source, ck = list(stored), {}, os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "ck")
+    seen = []
+    for turn in range(3):
+        events = [(*row(), rnd.random() < 0.6) for _ in range(12)]
+        events += events[:2]  # repeated
+        spark.createDataFrame(events, EVENTS).coalesce(1).write.mode("append").parquet(source)
+        got, _ = run_history(spark, source, ck, spark.createDataFrame(stored, RATINGS), True, seen)
+        known += [e[:4] for e in events if not e[4]]
+        want = {}
+        for u in {e[0] for e in events if e[4]}:
+            last = max((e[3], e[1], e[2]) for e in events if e[0] == u and e[4])
+            if u in newest and newest[u] > last:
+                continue  # older than what the user has
+            newest[u] = last
+            mine = sorted(((t, m, s) for v, m, s, t in known if v == u), reverse=True)
+            want[u] = (last, mine[:3], {m for _, m, _ in mine})
+        assert got == want
+        known += [e[:4] for e in events if e[4]]
+    recents = realtime.recent_ratings(spark.createDataFrame(known, RATINGS), k=3).collect()
+    assert {(r.uid, r.mid) for r in recents} == {(u, m) for u in {k[0] for k in known} for _, m, _ in sorted(
+        ((t, m, s) for v, m, s, t in known if v == u), reverse=True)[:3]}
+
+
+def test_a_batch_writes_its_own_users_state(spark, tmp_dir):
+    """Stored ratings of many users enter once; the next batch touches one user."""
+    source, ck = os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "ck")
+    stored = spark.range(3000).selectExpr("CAST(id % 1000 AS INT) uid", "CAST(id AS INT) mid", "4.0D score", "id AS timestamp")
+    done = []
+    for m in (1, 2):
+        spark.createDataFrame([(7, m, 5.0, 10**6 + m, True)], EVENTS).write.mode("append").parquet(source)
+        _, query = run_history(spark, source, ck, stored, True, done)
+        progress = [p for p in query.recentProgress if p["numInputRows"]][-1]
+        state = progress["stateOperators"][0]
+        # two list entries and one value are written for the one user, not the 1,000 users' state
+        assert m == 1 or state["numRowsUpdated"] <= 20, state
+    assert done == [1, 1]
+
+
+def test_order_of_events_is_sparks(spark):
+    data = [(None, 1, 1.0), (1, None, 1.0), (1, 1, None), (1, 1, float("nan")), (1, 1, 2.0), (2, 0, 0.0)]
+    df = spark.createDataFrame(data, "t long, m int, s double").orderBy("t", "m", "s")
+    assert [repr(tuple(r)) for r in df.collect()] == [repr(x) for x in sorted(data, key=history._order)]
 
 
 def test_stream_result_equals_batch(spark):
@@ -88,68 +137,77 @@ SIMS = "mid int, sim_mid int, score double"
 RATINGS = "uid int, mid int, score double, timestamp long"
 
 
-def stored(spark, tmp_dir, data, buckets=4):
-    from tasteflow.sources.tables import HashedTable
-
-    return HashedTable.create(spark.createDataFrame(data, RATINGS), os.path.join(tmp_dir, "ratings"), "uid", buckets)
+def stored(spark, data):
+    return spark.createDataFrame(data, RATINGS)
 
 
 def lists(spark, job):
-    return {r.uid: [x.mid for x in r.recs] for r in job.table.read(spark).collect()}
+    return {r.uid: [x.mid for x in r.recs] for r in sink.newest_lists(spark, job.table).collect()}
 
 
-def test_ratings_are_live_between_batches(spark, tmp_dir):
-    from tasteflow.streaming.recommender import RealtimeRecommender
-
-    sims = spark.createDataFrame([(100, 200, 0.9), (100, 201, 0.8), (200, 10, 0.8), (201, 10, 0.7)], SIMS)
-    ratings = stored(spark, tmp_dir, [(1, 10, 4.0, 1)])
-    job = RealtimeRecommender(sims, ratings, KeyedTable(os.path.join(tmp_dir, "recs")))
-    try:
-        job.process_batch(spark.createDataFrame([("1|100|5.0|9",)], "value string"), 0)
-        assert lists(spark, job) == {1: [200, 201]}
-        ratings.append(spark.createDataFrame([(1, 200, 2.0, 10)], RATINGS), 1)  # another writer stores a rating
-        job.process_batch(spark.createDataFrame([("1|100|5.0|11",)], "value string"), 1)
-        assert lists(spark, job) == {1: [201]}
-    finally:
-        job.close()
+def say(spark, folder, *lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(folder)
 
 
-def test_incoming_ratings_are_stored_once_per_batch(spark, tmp_dir):
-    from tasteflow.streaming.recommender import RealtimeRecommender
-
-    sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS)
-    ratings, bad = stored(spark, tmp_dir, [(1, 10, 4.0, 1)]), os.path.join(tmp_dir, "bad")
-    job = RealtimeRecommender(sims, ratings, KeyedTable(os.path.join(tmp_dir, "recs")), store_ratings=True, rejects_to=bad)
-    batch_df = spark.createDataFrame([("1|100|5.0|9",), ("1|100|oops|9",)], "value string")
-    job.process_batch(batch_df, 0)
-    job.process_batch(batch_df, 0)  # replay of the same batch id
-    job.close()
-    assert sorted(tuple(r) for r in ratings.read(spark).collect()) == [(1, 10, 4.0, 1), (1, 100, 5.0, 9)]
+def test_ratings_are_live_between_batches_and_restarts(spark, tmp_dir):
+    sims = spark.createDataFrame([(100, 200, 0.9), (100, 201, 0.8), (200, 10, 0.8), (201, 10, 0.7)], SIMS)
+    events, told, ck = (os.path.join(tmp_dir, x) for x in ("events", "told", "ck"))
+    os.makedirs(told)
+
+    def run():
+        job = RealtimeRecommender(sims, stored(spark, [(1, 10, 4.0, 1)]), os.path.join(tmp_dir, "recs"))
+        try:
+            job.start(spark, events, ck, trigger={"availableNow": True}, ratings_source=told).awaitTermination()
+            return lists(spark, job)
+        finally:
+            job.close()
+
+    say(spark, events, "1|100|5.0|9")
+    assert run() == {1: [200, 201]}
+    say(spark, told, "1|200|2.0|10")  # another writer stores a rating
+    say(spark, events, "1|100|5.0|11")
+    assert run() == {1: [201]}
+    say(spark, events, "1|100|5.0|8")  # late: older than the newest list
+    assert run() == {1: [201]}
+
+
+@pytest.mark.parametrize("keep,want", [(False, [200, 300]), (True, [300])])
+def test_events_count_as_ratings_if_asked(spark, tmp_dir, keep, want):
+    sims = spark.createDataFrame([(100, 200, 0.9), (100, 300, 0.8), (200, 10, 0.8), (300, 10, 0.7)], SIMS)
+    events, bad, times = (os.path.join(tmp_dir, x) for x in ("events", "bad", "times"))
+    say(spark, events, "1|200|5.0|9", "1|100|oops|9")
+    job = RealtimeRecommender(sims, stored(spark, [(1, 10, 4.0, 1)]), os.path.join(tmp_dir, "recs"), store_ratings=keep,
+                              rejects_to=bad, metrics_to=times)
+    job.start(spark, events, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}).awaitTermination()
+    job.rejects.awaitTermination()
+    say(spark, events, "1|100|5.0|10")
+    job.start(spark, events, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}).awaitTermination()
+    job.rejects.awaitTermination()
+    assert lists(spark, job) == {1: want}
     assert [(r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [("1|100|oops|9", "bad_score")]
+    time.sleep(1)
+    job.close()
+    assert spark.read.parquet(times).where("rows > 0 and batch_ms >= add_ms").count() > 0
 
 
 def test_closing_leaves_no_table_behind(spark, tmp_dir):
-    from tasteflow.streaming.recommender import RealtimeRecommender
-
     before = {t.name for t in spark.catalog.listTables()}
-    ratings = stored(spark, tmp_dir, [(1, 10, 4.0, 1)])
-    job = RealtimeRecommender(spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS), ratings,
-                              KeyedTable(os.path.join(tmp_dir, "recs")), compact_every=1)
+    job = RealtimeRecommender(spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS), stored(spark, [(1, 10, 4.0, 1)]),
+                              os.path.join(tmp_dir, "recs"))
     job.refresh(spark.createDataFrame([(100, 300, 0.9), (300, 10, 0.7)], SIMS))
-    job.process_batch(spark.createDataFrame([("1|100|5.0|9",)], "value string"), 0)
+    say(spark, os.path.join(tmp_dir, "events"), "1|100|5.0|9")
+    job.start(spark, os.path.join(tmp_dir, "events"), os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}).awaitTermination()
     assert lists(spark, job) == {1: [300]}
     job.close()
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_default_trigger_runs_until_stopped(spark, tmp_dir):
-    import time
-
     from tasteflow.plans.streaming_job import start_recommender
 
     events = os.path.join(tmp_dir, "events")
     spark.createDataFrame([("1|100|5.0|9",)], "value string").write.text(events)
-    ratings = stored(spark, tmp_dir, [(1, 10, 4.0, 1)])
+    ratings = stored(spark, [(1, 10, 4.0, 1)])
     query, job = start_recommender(spark, events, spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS), ratings,
                                    os.path.join(tmp_dir, "recs"), os.path.join(tmp_dir, "ck"))
     for _ in range(120):
@@ -198,7 +256,7 @@ def test_streaming_job_wiring(spark, tmp_dir):
     spark.createDataFrame([("1|100|5.0|9",)], "value string").write.text(events)
     sims = spark.createDataFrame([(100, 200, 0.9), (200, 10, 0.8)], SIMS)
     table = os.path.join(tmp_dir, "recs")
-    q, job = start_recommender(spark, events, sims, stored(spark, tmp_dir, [(1, 10, 4.0, 1)]), table,
+    q, job = start_recommender(spark, events, sims, stored(spark, [(1, 10, 4.0, 1)]), table,
                                os.path.join(tmp_dir, "ck2"), min_sim=0.6, trigger={"availableNow": True})
     q.awaitTermination()
     assert lists(spark, job) == {1: [200]}
@@ -207,12 +265,9 @@ def test_streaming_job_wiring(spark, tmp_dir):
 
 def test_stream_result_independent_of_arrival_order(spark, tmp_dir):
     """Later events land (and are processed) first; newest-wins still gives the batch result."""
-    import time
-
     from tasteflow.functions.lists import lists_to_ranked
     from tasteflow.plans import registry
     from tasteflow.sources import compose
-    from tasteflow.streaming.recommender import RealtimeRecommender
 
     sf = "/root/testdata/sf0.001"
     ratings, sims = registry._realtime_inputs(spark, sf)
@@ -222,17 +277,14 @@ def test_stream_result_independent_of_arrival_order(spark, tmp_dir):
     lines.where(lines.event_time > cut).select("value").coalesce(1).write.text(src)
     time.sleep(1.1)  # the file source orders files by modification time
     lines.where(lines.event_time <= cut).select("value").coalesce(1).write.mode("append").text(src)
-    from tasteflow.sources.tables import HashedTable
-
-    table = KeyedTable(os.path.join(tmp_dir, "recs"))
-    by_user = HashedTable.create(ratings, os.path.join(tmp_dir, "ratings"), "uid", 4)
-    job = RealtimeRecommender(sims, by_user, table, min_sim=registry.PAIR_THRESHOLD)
+    table = os.path.join(tmp_dir, "recs")
+    job = RealtimeRecommender(sims, ratings, table, min_sim=registry.PAIR_THRESHOLD)
     q = job.start(spark, src, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}, max_files_per_trigger=1)
     q.awaitTermination()
     assert q.lastProgress is not None
     job.close()
     key = ["uid", "rank", "mid", "score"]
-    got = lists_to_ranked(table.read(spark), "uid").select(*key)
+    got = lists_to_ranked(sink.newest_lists(spark, table), "uid").select(*key)
     want = registry.realtime_lists(spark, sf).select(*key)
     r = lambda df: sorted((a, b, c, round(d, 6)) for a, b, c, d in df.collect())
     assert r(got) == r(want)
