@@ -6,10 +6,11 @@ not the stored ratings.  Spark checkpoints the state with the stream's offsets:
 a restarted query goes on where it stopped, a replayed batch starts from the
 state before it.
 
-State per user: the ``recent_k`` newest ratings (a bounded list), the rated
-items as 64-bit words (appended per batch, merged when read) and the newest
-event that asked for a list.  Stored ratings enter once, as the initial state,
-one row per user.
+State per user, in two variables, as every access is a call to the store: the
+``recent_k`` newest ratings with the newest event that asked for a list (one
+bounded value), and the rated items as 64-bit words (a list, appended per
+batch, merged when read).  Stored ratings enter once, as the initial state, one
+row per user.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tasteflow.operators import realtime
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-EVENT = "timestamp bigint, mid int, score double"
+EVENT = "struct<timestamp:bigint,mid:int,score:double>"
+KNOWN = f"recent array<{EVENT}>, newest {EVENT}"
 WORD = "word bigint, bits bigint"
-ASKED = (f"uid int, mid int, score double, timestamp bigint, recent array<struct<{EVENT.replace(' ', ':').replace(',:', ',')}>>, "
-         "rated array<struct<word:bigint,bits:bigint>>")
+ASKED = (f"uid int, mid int, score double, timestamp bigint, recent array<{EVENT}>, rated array<struct<word:bigint,bits:bigint>>")
 
 
 def initial_history(ratings: DataFrame, recent_k: int) -> DataFrame:
@@ -40,6 +41,11 @@ def initial_history(ratings: DataFrame, recent_k: int) -> DataFrame:
     return recent.join(words, "uid", "left").select("uid", "recent", F.coalesce("rated", empty).alias("rated"))
 
 
+def _event(r) -> tuple:
+    """A nested row, which reaches Python as a row, a tuple or a dictionary."""
+    return (r["timestamp"], r["mid"], r["score"]) if isinstance(r, (dict, Row)) else tuple(r)
+
+
 def _order(event: tuple) -> tuple:
     """Newest first means greatest: by time, item, score; nulls are smallest, NaN greatest, as in Spark."""
     return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in event)
@@ -60,13 +66,11 @@ class UserHistory(StatefulProcessor):
         self.recent_k, self.keep = recent_k, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", EVENT)
+        self.known = handle.getValueState("known", KNOWN)
         self.rated = handle.getListState("rated", WORD)
-        self.newest = handle.getValueState("newest", EVENT)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
-        if initialState["recent"]:
-            self.recent.put([(r["timestamp"], r["mid"], r["score"]) for r in initialState["recent"]])
+        self.known.update(([_event(r) for r in initialState["recent"]], None))
         if initialState["rated"]:
             self.rated.put([(r["word"], r["bits"]) for r in initialState["rated"]])
 
@@ -74,22 +78,23 @@ class UserHistory(StatefulProcessor):
         asking, told = [], []
         for r in rows:
             (asking if r["asks"] else told).append((r["timestamp"], r["mid"], r["score"]))
-        self._add(told)
-        last = max(asking, key=_order, default=None)
-        if last is not None:
-            known = self.newest.get() if self.newest.exists() else None
-            if known is None or _order(tuple(known)) <= _order(last):
-                self.newest.update(last)
-                yield Row(uid=key[0], mid=last[1], score=last[2], timestamp=last[0], recent=self._recent(), rated=self._words())
+        known = self.known.get()
+        recent = [_event(r) for r in known[0]] if known else []
+        newest = _event(known[1]) if known and known[1] else None
+        self._rate(told)
+        recent, last = self._newest(recent + told), max(asking, key=_order, default=None)
+        if last is not None and (newest is None or _order(newest) <= _order(last)):
+            newest = last
+            yield Row(uid=key[0], mid=last[1], score=last[2], timestamp=last[0], recent=recent, rated=self._words())
         if self.keep:
-            self._add(asking)
+            self._rate(asking)
+            recent = self._newest(recent + asking)
+        self.known.update((recent, newest))
 
-    def _recent(self) -> list[tuple]:
-        return [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+    def _newest(self, events: list[tuple]) -> list[tuple]:
+        return sorted(events, key=_order, reverse=True)[:self.recent_k]
 
     def _words(self) -> list[tuple[int, int]]:
-        if not self.rated.exists():
-            return []
         rows, words = 0, {}
         for word, bits in self.rated.get():
             rows += 1
@@ -99,10 +104,7 @@ class UserHistory(StatefulProcessor):
             self.rated.put(merged)
         return merged
 
-    def _add(self, events: list[tuple]) -> None:
-        if not events:
-            return
-        self.recent.put(sorted(self._recent() + events, key=_order, reverse=True)[:self.recent_k])
+    def _rate(self, events: list[tuple]) -> None:
         words: dict[int, int] = {}
         for _, mid, _ in events:
             if mid is not None:

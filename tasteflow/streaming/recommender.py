@@ -83,11 +83,14 @@ class RealtimeRecommender:
         for query in (self.query, self.rejects):
             if query is not None and query.isActive:
                 query.stop()
+        self._end_times()
+        self.similarity.drop()
+
+    def _end_times(self) -> None:
         if self.times is not None:
             self.spark.streams.removeListener(self.times)
             self.times.write(self.spark, self.metrics_to)
             self.times = None
-        self.similarity.drop()
 
     def candidates(self, asked: DataFrame) -> DataFrame:
         """(uid, rank, mid, sim) for each row of :func:`history.asked`."""
@@ -132,6 +135,7 @@ class RealtimeRecommender:
         asked = history.asked(events, self.ratings, self.recent_k, self.store_ratings)
         self.query = asked.writeStream.foreachBatch(self.process_batch).outputMode("update").option(
             "checkpointLocation", checkpoint).trigger(**trigger).start()
+        self._end_times()  # of a query started before
         if self.metrics_to:
             self.times = BatchTimes(str(self.query.id))
             spark.streams.addListener(self.times)

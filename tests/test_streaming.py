@@ -112,7 +112,7 @@ def test_a_batch_writes_its_own_users_state(spark, tmp_dir):
         _, query = run_history(spark, source, ck, stored, True, done)
         progress = [p for p in query.recentProgress if p["numInputRows"]][-1]
         state = progress["stateOperators"][0]
-        # two list entries and one value are written for the one user, not the 1,000 users' state
+        # the one user's value and words are written, not the 1,000 users' state
         assert m == 1 or state["numRowsUpdated"] <= 20, state
     assert done == [1, 1]
 
