@@ -60,10 +60,10 @@ _FOUND = "n int, w1 bigint, w2 bigint, w3 bigint, a bigint"
 class Sizes:
     """What a task holds at once; results do not depend on it."""
 
-    chunk_tokens: int = 1 << 20
+    chunk_tokens: int = 1 << 19
     chunk_words: int = 1 << 17
     shard_tokens: int = 1 << 20
-    flush: int = 1 << 21  # n-grams of one length that a task gathers into a filter
+    flush: int = 1 << 20  # n-grams of one length that a task gathers into a filter
     step: int = 10        # bits by which one pass cuts filters into shards
     slice: int = 1 << 20  # bytes of one text
 

@@ -23,11 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and read back: cuts the lineage, survives lost executors."""
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: cuts the lineage, survives lost executors.
+
+    ``batch_rows``: rows of an Arrow batch while it is written, for kernels whose rows are large.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, "tasteflow-llm", f"{label}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    usual = spark.conf.get(BATCH_ROWS)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH_ROWS, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        if batch_rows:
+            spark.conf.set(BATCH_ROWS, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,8 +1,10 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 The test items' normalised words are cut into windows; every distinct word gets
-a letter, so a window is a string of at most ``window`` letters and a document
-becomes one letter per word (a filler for words that no item has).  The
+a few letters, the digits of its number, so a window is a short string and a
+document becomes one (with a filler for words that no item has).  Each digit
+place has letters of its own, so a window matches at whole words only, and a node
+of the automaton has at most ``BASE`` children, however many words there are.  The
 automaton scans that string once; hits are word positions, which map back to
 byte offsets of the original text.
 
@@ -38,6 +40,7 @@ _WORD_BYTES = [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]
 NORMAL = bytes(b if b in set(_WORD_BYTES) else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 FIRST_LETTER = 0x1000  # letters are code points from here on; the filler is below
 FILLER = "\x01"
+BASE = 512              # letters of a digit place
 
 
 def normal_words(text: bytes) -> list[bytes]:
@@ -52,32 +55,38 @@ def word_offsets(text: bytes) -> list[tuple[int, int]]:
 class Windows:
     """The automaton over one block of items: (item id, text bytes) pairs."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int) -> None:
-        self.letters: dict[bytes, str] = {}
+    def __init__(self, items: list[tuple[str, bytes]], window: int, base: int = BASE) -> None:
+        split = [(item, normal_words(text)) for item, text in items]
+        words = sorted({w for _, ws in split for w in ws})
+        self.places = 1
+        while base ** self.places < len(words):
+            self.places += 1
+        self.letters = {w: "".join(chr(FIRST_LETTER + p * base + i // base ** p % base) for p in range(self.places))
+                        for i, w in enumerate(words)}
         owners: dict[str, set[str]] = {}
-        for item, text in items:
-            words = normal_words(text)
-            coded = "".join([self._letter(w) for w in words])
-            for i in range(max(len(words) - window + 1, 1) if words else 0):
-                owners.setdefault(coded[i:i + window], set()).add(item)
+        for item, ws in split:
+            coded = self._coded(ws)
+            for i in range(max(len(ws) - window + 1, 1) if ws else 0):
+                owners.setdefault(coded[i * self.places:(i + window) * self.places], set()).add(item)
         self.automaton = ahocorasick.Automaton()
         for pattern, ids in owners.items():
-            self.automaton.add_word(pattern, (len(pattern), tuple(sorted(ids))))
+            self.automaton.add_word(pattern, (len(pattern) // self.places, tuple(sorted(ids))))
         self.empty = not owners
         if not self.empty:
             self.automaton.make_automaton()
 
-    def _letter(self, word: bytes) -> str:
-        code = FIRST_LETTER + len(self.letters)
-        return self.letters.setdefault(word, chr(code if code < 0xD800 else code + 0x800))
+    def _coded(self, words: list[bytes]) -> str:
+        """The letters of each word, the filler for one that no item has."""
+        get = self.letters.get
+        other = FILLER * self.places
+        return "".join([get(w, other) for w in words])
 
     def hits(self, words: list[bytes]) -> list[tuple[int, int, tuple[str, ...]]]:
         """(first word, word after the last, item ids) of each occurrence."""
         if self.empty:
             return []
-        get = self.letters.get
-        coded = "".join([get(w, FILLER) for w in words])
-        return [(end + 1 - n, end + 1, ids) for end, (n, ids) in self.automaton.iter(coded)]
+        found = (((end + 1) // self.places, n, ids) for end, (n, ids) in self.automaton.iter(self._coded(words)))
+        return [(end - n, end, ids) for end, n, ids in found]
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:

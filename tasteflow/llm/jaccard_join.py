@@ -8,8 +8,7 @@ two linked sets of such sizes can differ in.  Linked sets therefore agree on the
 whole content of some bucket, and a group is the classes that agree on one:
 every link lies inside at least one group.  Sizes are cut into bands so that
 both sides use the same number of buckets.  (Empty contents are left out while
-a set has so few of them that agreeing buckets remain.)  With ``exact`` off,
-large sets get only as many buckets as make a lost link practically impossible.
+a set has so few of them that agreeing buckets remain.)
 
 Contraction.  In every group each class is compared to a leader, and the links
 found join classes into components.  Pairs inside one component need no further
@@ -17,10 +16,12 @@ look, which keeps thousands of near copies from becoming all pairs.  A few
 rounds with other leaders join what the first leader was too far from.
 
 Matrix.  What remains are groups with several components.  For each group and
-component the matrix holds the union of the tokens of its classes, as hashed bits, and
-their size range.  The bits of a class that the union lacks bound its overlap
-with every member; only components that pass the bound are opened, and their
-members are compared one by one: first by sizes and bits, then by whole sets.
+component the matrix holds the union of the tokens of its classes and what they
+all have, as hashed bits, and their size range.  Components that meet in a group and
+may link by these make a pair, once however many groups they share.  For each
+class of the first one, the bits that the second one's union lacks bound its
+overlap with every member; only components that pass the bound are opened, and
+their members are compared one by one: first by sizes and bits, then by whole sets.
 
 Scale: texts are read once for the groups and once more to keep those of classes
 that share a group.  Group leaders and unions are pre-aggregated; members meet
@@ -49,9 +50,10 @@ from pyspark.sql import functions as F
 from tasteflow.llm.common import blob, calls, written
 from tasteflow.llm.graph import components
 
+CALL = 1 << 20  # bytes of text, or of sets, handled at once
+ROWS = 256      # rows of an Arrow batch that hold whole texts or sets
 BITS = 1024     # hashed token bits of a set or a union
 SPREAD = 140    # percent: sizes within one band differ by this factor at most (more for low thresholds)
-SURE = 20       # expected agreeing buckets of linked sets that differ the most, where ``exact`` is off
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -98,7 +100,7 @@ def difference(total: int, pct: int) -> int:
 
 
 @lru_cache(maxsize=None)
-def scheme(band: int, pct: int, exact: bool) -> tuple[int, int, int, int]:
+def scheme(band: int, pct: int) -> tuple[int, int, int, int]:
     """(edge, top, buckets, spare) of a band: its smallest own size, its largest size, and how sets are bucketed.
 
     A band holds sizes from its edge up to the next edge; sets beyond the next
@@ -114,30 +116,23 @@ def scheme(band: int, pct: int, exact: bool) -> tuple[int, int, int, int]:
         return edge, top, 0, 0
     empty = (most + 1) * math.exp(-edge / (most + 1))  # buckets that the smallest sets leave empty
     spare = max(2, math.ceil(empty + 4 * math.sqrt(empty)))
-    buckets = most + 1 + spare
-    if not exact:
-        likely = 1
-        while likely < buckets and likely * math.exp(-most / likely) < SURE:
-            likely += 1
-        if likely < buckets:
-            return edge, top, likely, likely
-    return edge, top, buckets, spare
+    return edge, top, most + 1 + spare, spare
 
 
-def bands(n: int, pct: int, exact: bool = True) -> list[int]:
+def bands(n: int, pct: int) -> list[int]:
     """The bands under which a set of n tokens is grouped."""
     band = 0
-    while scheme(band + 1, pct, exact)[0] <= n:
+    while scheme(band + 1, pct)[0] <= n:
         band += 1
-    below = [band - 1] if band and n <= scheme(band - 1, pct, exact)[1] else []
-    return [b for b in [band, *below] if scheme(b, pct, exact)[2]]
+    below = [band - 1] if band and n <= scheme(band - 1, pct)[1] else []
+    return [b for b in [band, *below] if scheme(b, pct)[2]]
 
 
-def group_keys(tokens: np.ndarray, pct: int, exact: bool = True) -> np.ndarray:
+def group_keys(tokens: np.ndarray, pct: int) -> np.ndarray:
     """64-bit keys of the groups of a set: one per bucket content."""
     keys = []
-    for band in bands(len(tokens), pct, exact):
-        _, _, buckets, spare = scheme(band, pct, exact)
+    for band in bands(len(tokens), pct):
+        _, _, buckets, spare = scheme(band, pct)
         spread = _mix(tokens + np.uint64(band + 1))
         bucket = (spread >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -164,12 +159,12 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        blob(text_col).alias("text"))
 
 
-def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int, exact: bool) -> DataFrame:
+def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int) -> DataFrame:
     """(id, text_hash, n, node, digest, keys, bits) per document; a task gives the keys of equal sets once."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _WordHashes(), set()
-        for batch in calls(batches, "text"):
+        for batch in calls(batches, "text", CALL):
             n, node, digests, keys, bits = [], [], [], [], []
             for tokens in shingle_sets(batch.column(2).to_pylist(), k, hashes):
                 digest = xxhash.xxh3_128_digest(tokens.tobytes())
@@ -177,7 +172,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int, e
                 n.append(len(tokens))
                 digests.append(digest)
                 node.append(int.from_bytes(digest[:8], "little", signed=True))
-                keys.append(group_keys(tokens, pct, exact).view(np.int64) if new else None)
+                keys.append(group_keys(tokens, pct).view(np.int64) if new else None)
                 bits.append(token_bits(tokens) if new else None)
                 seen.add(digest)
             yield pa.RecordBatch.from_arrays(
@@ -224,8 +219,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, pct: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in calls(batches, "text", 1 << 20):
-            a, b, tokens = [], [], []
+        for batch in calls(batches, "text", CALL):
+            a, b, tokens, held = [], [], [], 0
             sets = shingle_sets(batch.column(2).to_pylist(), k, hashes)
             for node, to, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sets):
                 raw = found.tobytes()
@@ -235,18 +230,19 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, pct: int) -> DataFrame:
                     a.append(leader)
                     b.append(node)
                     tokens.append(raw)
-                    if len(a) * len(raw) > 16 << 20:
+                    held += len(raw)
+                    if held > 4 * CALL:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(tokens, pa.binary())],
                             names=["a", "b", "tokens"])
-                        a, b, tokens = [], [], []
+                        a, b, tokens, held = [], [], [], 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(tokens, pa.binary())],
                 names=["a", "b", "tokens"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, head = None, np.zeros(0, dtype=np.uint64)
-        for batch in batches:
+        for batch in calls(batches, "tokens", 4 * CALL):
             pa_, pb = [], []
             for a, b, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 tokens = np.frombuffer(raw, np.uint64)
@@ -262,7 +258,42 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, pct: int) -> DataFrame:
 
     dealt = chosen.mapInArrow(deal, "a bigint, b bigint, tokens binary").repartition("a").sortWithinPartitions(
         "a", (F.col("a") != F.col("b")), "b")
-    return written(dealt.mapInArrow(compare, "a bigint, b bigint"), "verified")
+    return written(dealt.mapInArrow(compare, "a bigint, b bigint"), "verified", ROWS)
+
+
+def _bits(combine) -> Column:
+    """The ``bits`` of a group's rows, word by word."""
+    return F.array(*[combine(F.col("bits")[i]) for i in range(BITS // 64)])
+
+
+def _component_pairs(open_: DataFrame, pct: int) -> DataFrame:
+    """(a, b), a < b: components with classes in one group that sizes and bits do not rule out, each pair once.
+
+    A group holds, per component, the union of its classes' bits and what they all have: a bit that all classes
+    of one have and the other's union lacks is a token in which every pair of their classes differs.
+    """
+    matrix = written(open_.groupBy("key", "root").agg(
+        _bits(F.bit_or).alias("union"), _bits(F.bit_and).alias("core"), F.min("n").alias("least"), F.max("n").alias("most")),
+        "matrix")
+    side = lambda c: matrix.select("key", *[F.col(x).alias(f"{c}_{x}") for x in ("root", "union", "core", "least", "most")])
+    differ = _missing(F.col("a_core"), F.col("b_union")) + _missing(F.col("b_core"), F.col("a_union"))
+    return written(side("a").join(side("b"), "key").where(
+        (F.col("a_root") < F.col("b_root"))
+        & (F.col("a_most") * 100 >= F.col("b_least") * pct) & (F.col("b_most") * 100 >= F.col("a_least") * pct)
+        & (differ <= F.floor((F.col("a_most") + F.col("b_most")) * (100 - pct) / (100 + pct)))
+    ).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "component-pairs")
+
+
+def _candidates(pairs: DataFrame, members: DataFrame, pct: int) -> DataFrame:
+    """(a, b): classes of component pairs; the second component is opened for the classes whose overlap with its union may do."""
+    union = members.groupBy("root").agg(_bits(F.bit_or).alias("union"), F.min("n").alias("least"), F.max("n").alias("most"))
+    query = members.select(F.col("root").alias("a"), F.col("node").alias("q"), F.col("n").alias("q_n"), "bits")
+    overlap = F.col("q_n") - _missing(F.col("bits"), F.col("union"))
+    opened = pairs.join(query, "a").join(union.withColumnRenamed("root", "b"), "b").where(
+        (F.col("most") * 100 >= F.col("q_n") * pct) & (F.col("q_n") * 100 >= F.col("least") * pct)
+        & (overlap * (100 + pct) >= (F.col("q_n") + F.col("least")) * pct)).select("b", "q")
+    return opened.join(members.select(F.col("root").alias("b"), "node"), "b").select(
+        F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct()
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -271,15 +302,14 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, pct: int = 80,
-            exact: bool = True, rounds: int = 3) -> DataFrame:
+            rounds: int = 3) -> DataFrame:
     """(id, text_hash, n, node, component): every document's set size, class and component (its smallest id).
 
     ``k`` words make a shingle; sets link when 100 |a and b| >= pct |a or b|.
-    ``exact`` off takes fewer buckets for large sets: a link is then missed with a
-    probability below 1e-8, by the hash's luck.
-    ``rounds`` of contraction come before the matrix; they change the work, not the result.
+    ``rounds`` of contraction come before the matrix; they change the work, not the result: with none, every link
+    comes through the matrix.
     """
-    rows = written(_signatures(docs, id_col, text_col, k, pct, exact), "signatures")
+    rows = written(_signatures(docs, id_col, text_col, k, pct), "signatures", 4 * ROWS)
     by_node = rows.where("n > 0").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"),
         F.min("digest").alias("d0"), F.max("digest").alias("d1"))
@@ -294,7 +324,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     texts = written(_candidate_texts(docs, names, members.select("node").distinct(), id_col, text_col), "texts")
 
     open_, roots = members.withColumn("root", F.col("node")), None
-    for turn in range(max(1, rounds)):
+    for turn in range(rounds):
         first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("head")
         stars = open_.join(open_.groupBy("key").agg(first), "key").where("root <> head.root").select(
             F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
@@ -313,21 +343,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     open_ = open_.join(alike.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
     open_ = written(open_.join(sets, "node"), "open")
-    width = BITS // 64
-    matrix = open_.groupBy("key", "root").agg(
-        F.array(*[F.bit_or(F.col("bits")[i]) for i in range(width)]).alias("union"),
-        F.min("n").alias("least"), F.max("n").alias("most"))
-    query = open_.select("key", F.col("node").alias("q"), F.col("root").alias("q_root"), F.col("n").alias("q_n"), "bits")
-    overlap = F.col("q_n") - _missing(F.col("bits"), F.col("union"))
-    opened = query.join(matrix, "key").where(
-        (F.col("q_root") < F.col("root"))
-        & (F.col("most") * 100 >= F.col("q_n") * pct) & (F.col("q_n") * 100 >= F.col("least") * pct)
-        & (overlap * (100 + pct) >= (F.col("q_n") + F.col("least")) * pct)).select("key", "root", "q")
-    rest = opened.join(open_.select("key", "root", "node"), ["key", "root"]).select(
-        F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct()
+    rest = _candidates(_component_pairs(open_, pct), open_.select("node", "root", "n", "bits").dropDuplicates(["node"]), pct)
     more = _linked(_plausible(rest, sets, pct), texts, k, pct)
-    joined = written(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)),
-                     "roots")
+    edges = more if roots is None else more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    joined = written(components(edges), "roots")
 
     labelled = _rooted(names.select("node", "id"), joined)
     smallest = labelled.groupBy("root").agg(F.min("id").alias("component"))

@@ -35,6 +35,8 @@ from tasteflow.llm.common import blob, calls
 TAILS = ("key string, doc_id bigint, n bigint, full array<bigint>, tail binary")
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
+#: Strings that the vocabulary reads as one id wherever they stand, as its tokenizer does when loaded.
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 class ByteBpe:
@@ -44,19 +46,19 @@ class ByteBpe:
     stands before it, so a very long text is encoded in segments cut there.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, segment: int = 1 << 20) -> None:
+    def __init__(self, ranks_path: str, pattern: str, segment: int = 1 << 20, special: dict[str, int] = SPECIAL) -> None:
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         self.segment = segment
 
     def ids(self, text: str) -> np.ndarray:
         parts, at = [], 0
         while at < len(text):
             end = self._cut(text, at + self.segment)
-            parts.append(self.encoding.encode_to_numpy(text[at:end], disallowed_special=()))
+            parts.append(self.encoding.encode_to_numpy(text[at:end], allowed_special="all"))
             at = end
         return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
 

@@ -280,7 +280,7 @@ def _hot_spans(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
     """
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in calls(batches, "text"):
+        for batch in calls(batches, "text", 1 << 20):
             ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             runs = Runs(rows, length)
             at = np.flatnonzero(_within(runs.code, hot))
@@ -311,9 +311,9 @@ def _hot_spans(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
     def with_least(df: DataFrame) -> DataFrame:
         return df.join(df.groupBy("digest").agg(F.min("ord").alias("least")), "digest")
 
-    judged = with_least(written(texts.mapInArrow(units, UNIT), "suffix-units"))
+    judged = with_least(written(texts.mapInArrow(units, UNIT), "suffix-units", 1024))
     single = with_least(written(judged.where("ord = least").select("ord", "mark", "start", "segment")
-                                .mapInArrow(windows, WINDOW), "suffix-windows"))
+                                .mapInArrow(windows, WINDOW), "suffix-windows", 1024))
     whole = judged.where("ord > least").select("ord", "mark", "start", (F.col("start") + F.octet_length("segment")).alias("end"))
     return whole.unionByName(single.where("ord > least").select("ord", "mark", "start", (F.col("start") + length).alias("end")))
 

@@ -167,8 +167,9 @@ def edited(rnd, words, edits):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("pct, k, exact", [(90, 3, True), (80, 5, False), (55, 2, True)])
-def test_components_match_brute_force(spark, pct, k, exact):
+@pytest.mark.parametrize("pct, k, rounds", [(90, 3, 3), (80, 5, 3), (55, 2, 1), (90, 3, 0), (80, 5, 0)])
+def test_components_match_brute_force(spark, pct, k, rounds):
+    """With no rounds of contraction the token-group matrix is the only source of links."""
     rnd = random.Random(pct)
     vocab = [f"v{i}" for i in range(400)]
     shared = [rnd.choice(vocab) for _ in range(55)]
@@ -182,12 +183,12 @@ def test_components_match_brute_force(spark, pct, k, exact):
     ids = list(range(len(rows)))
     rnd.shuffle(ids)
     rows = list(zip(ids, rows)) + [(ids[7], rows[7]), (None, rows[9]), (None, "only here at all")]
-    got = jaccard_join.report(spark.createDataFrame(rows, DOCS).repartition(3), k=k, pct=pct, exact=exact)
+    got = jaccard_join.report(spark.createDataFrame(rows, DOCS).repartition(3), k=k, pct=pct, rounds=rounds)
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_components(rows, pct, k)
 
 
-@pytest.mark.parametrize("pct, exact", [(90, True), (80, True), (80, False)])
-def test_every_link_shares_a_group(pct, exact):
+@pytest.mark.parametrize("pct", [90, 80])
+def test_every_link_shares_a_group(pct):
     """Pairs at the very limit, of all sizes."""
     rnd = np.random.RandomState(0)
     for _ in range(600):
@@ -201,7 +202,7 @@ def test_every_link_shares_a_group(pct, exact):
         both = len(np.intersect1d(a, b))
         assert both * 100 >= pct * (len(a) + len(b) - both)
         if not np.array_equal(a, b):
-            assert len(np.intersect1d(jaccard_join.group_keys(a, pct, exact), jaccard_join.group_keys(b, pct, exact)))
+            assert len(np.intersect1d(jaccard_join.group_keys(a, pct), jaccard_join.group_keys(b, pct)))
 
 
 def test_deduplicate_keeps_one_of_each(spark):

@@ -133,12 +133,11 @@ def tokens():
     import public_tokenizers as public
 
     reference = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     return public, lambda t: [*reference.encode(t or "", add_special_tokens=False).ids, 1]
 
 
 TRICKY = ["", None, "one", " lead", "trail ", "two  spaces", "tab\there", "a\n b", "line\nline", "it's we'll  don 't",
-          "naïve çà 日本 語", "x" * 300, "<|endoftext|> in text", "\n\n \n", " " * 50 + "a", "émoji 😀 ok", "a\u00a0b c"]
+          "naïve çà 日本 語", "x" * 300, "<|endoftext|> in text", "two  <|endoftext|>\n<|endoftext|>s", "<|endoftext| >", "\n\n \n", " " * 50 + "a", "émoji 😀 ok", "a\u00a0b c"]
 
 
 def test_ids_equal_the_tokenizer(tokens):
@@ -262,3 +261,27 @@ def test_slots_are_gapless_with_repeated_and_null_rows(spark):
     assert sum(map(len, seen.values())) == len(rows)
     assert all(sorted(v) == list(range(len(v))) for v in seen.values())
     assert sharding.slots(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("base", [2, 3, decontaminate.BASE])
+def test_windows_whatever_the_alphabet(base):
+    rnd = np.random.RandomState(1)
+    text = lambda n: b" ".join(b"w%d" % i for i in rnd.randint(0, 12, size=n))
+    items = [(f"i{k}", text(n)) for k, n in enumerate([0, 1, 2, 3, 3, 5, 9])]
+    windows = decontaminate.Windows(items, 3, base)
+    for _ in range(20):
+        words = decontaminate.normal_words(text(60)) + [b"other"]
+        want = set()
+        for item, t in items:
+            ws = decontaminate.normal_words(t)
+            for i in range(max(len(ws) - 2, 1) if ws else 0):
+                win = ws[i:i + 3]
+                want |= {(at, at + len(win), item) for at in range(len(words)) if words[at:at + len(win)] == win}
+        assert {(a, b, i) for a, b, ids in windows.hits(words) for i in ids} == want
+
+
+def test_more_words_in_a_block_than_code_points():
+    text = b" ".join(b"%x" % i for i in range(0x110000 + 5))
+    windows = decontaminate.Windows([("i", text)], 2)
+    hits = windows.hits(decontaminate.normal_words(b"x " + text[:400]))
+    assert windows.places == 3 and len(hits) > 50 and hits[0][:2] == (1, 3)
