@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from tasteflow.operators import als
 from tasteflow.plans import loader, offline, statistics, streaming_job
 from tasteflow.schemas import MOVIE, RATING, SIMILARITY
 from tasteflow.session import build_session, ship_package
@@ -49,12 +50,12 @@ def statistics_job(spark: SparkSession, args: argparse.Namespace) -> None:
 def offline_job(spark: SparkSession, args: argparse.Namespace) -> None:
     store, ratings, movies = _loaded(spark, args)
     offline.run_offline(ratings, movies, store, rank=args.rank, max_iter=args.iterations, reg_param=args.reg,
-                        threshold=args.threshold, seed=args.seed)
+                        threshold=args.threshold, seed=args.seed, k=args.k, list_k=args.list_k, num_blocks=args.blocks)
 
 
 def tune(spark: SparkSession, args: argparse.Namespace) -> None:
     store, ratings, _ = _loaded(spark, args)
-    grid, best = offline.run_tuning(ratings, args.ranks, args.regs, args.iterations, seed=args.seed)
+    grid, best = offline.run_tuning(ratings, args.ranks, args.regs, args.iterations, seed=args.seed, num_blocks=args.blocks)
     store.write(grid, GRID_TABLE)
     store.write(best, BEST_TABLE)
 
@@ -109,10 +110,13 @@ def parser() -> argparse.ArgumentParser:
         job = add(name, run)
         job.add_argument("--iterations", type=int, default=5)
         job.add_argument("--seed", type=int)
+        job.add_argument("--blocks", type=int, default=als.DEFAULT_BLOCKS, help="factor blocks per side; raise with the data")
         if name == "offline":
             job.add_argument("--rank", type=int, default=50)
             job.add_argument("--reg", type=float, default=0.1)
             job.add_argument("--threshold", type=float, default=offline.SIM_THRESHOLD)
+            job.add_argument("--k", type=int, default=offline.USER_K, help="items per user list")
+            job.add_argument("--list-k", type=int, help="partners per item list (default: all)")
         else:
             job.add_argument("--ranks", type=int, nargs="+", default=[50, 60, 70, 80])
             job.add_argument("--regs", type=float, nargs="+", default=[0.1, 0.01, 1.0])

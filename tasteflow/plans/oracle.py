@@ -229,6 +229,8 @@ SELECT uid, mid FROM split WHERE NOT train AND uid IN (SELECT uid FROM split WHE
 SQL["stored_user_lists"] = with_views(RATINGS) + """
 SELECT DISTINCT uid, true AS short, true AS sorted, true AS positive, true AS in_catalogue FROM ratings"""
 
+SQL["stored_item_lists"] = SQL["item_similarity"]
+
 SQL["als_grid_facts"] = f"""
 SELECT CAST(r AS INTEGER) AS "rank", CAST(g AS DOUBLE) AS reg_param, true AS has_error, true AS best_is_least
 FROM unnest({list(GRID_RANKS)}) a(r), unnest({list(GRID_REGS)}) b(g)"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tasteflow.functions.lists import format_recs, lists_to_ranked, ranked_to_lists
 from tasteflow.operators import als, catalog, evaluation, realtime, similarity, stats
 from tasteflow.plans import loader, offline, statistics
-from tasteflow.schemas import GENRE_RECS, USER_RECS
+from tasteflow.schemas import GENRE_RECS, MOVIE_RECS, USER_RECS
 from tasteflow.session import checkpointed, scratch_dir
 from tasteflow.sources import adapters, compose
 from tasteflow.sources.tables import TableStore
@@ -264,6 +264,15 @@ def stored_user_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.bool_and(F.col("score") > 0).alias("positive"), (F.count("known") == F.count("*")).alias("in_catalogue"))
 
 
+def stored_item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The similarity table stored as item lists in chunks, every partner kept, and read back flat."""
+    pairs = checkpointed(similarity.cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD))
+    store = TableStore(root=scratch_dir(spark, "item-lists"))
+    store.write(offline.item_lists(pairs, chunk=7), offline.MOVIE_RECS)
+    back = offline.lists_to_pairs(store.read(spark, offline.MOVIE_RECS, MOVIE_RECS))
+    return back.select("mid", "sim_mid", r6("score"))
+
+
 def als_grid_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grid's parameter pairs, and whether the chosen row has the grid's smallest error."""
     train, test = als.holdout_split(adapters.ratings_view(spark, sf_dir), seed=SEED)
@@ -439,6 +448,7 @@ QUERIES = {
     "als_factor_ids": als_factor_ids,
     "als_predicted_pairs": als_predicted_pairs,
     "stored_user_lists": stored_user_lists,
+    "stored_item_lists": stored_item_lists,
     "forwarded_clock": forwarded_clock,
     "log_filter_stream": log_filter_stream,
     "rating_event_stream": rating_event_stream,

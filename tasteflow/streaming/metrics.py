@@ -3,34 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
 
 SCHEMA = "query string, batch bigint, rows bigint, batch_ms bigint, add_ms bigint, started string"
 
 
-class BatchTimes(StreamingQueryListener):
-    """Gathers the progress of one query's batches; ``write`` appends what is new to a table."""
+class BatchTimes:
+    """The progress of one query's batches; ``write`` appends the batches since the last call to a table.
 
-    def __init__(self, query_id: str) -> None:
-        self.query_id, self.rows = query_id, []
+    A query keeps its last hundred progress records; call ``write`` more often than that.
+    """
 
-    def onQueryStarted(self, event) -> None:  # noqa: N802
-        pass
-
-    def onQueryProgress(self, event) -> None:  # noqa: N802
-        p = event.progress
-        if str(p.id) == self.query_id and p.numInputRows:
-            spent = p.durationMs
-            self.rows.append((str(p.id), p.batchId, p.numInputRows, spent.get("triggerExecution"), spent.get("addBatch"),
-                              p.timestamp))
-
-    def onQueryIdle(self, event) -> None:  # noqa: N802
-        pass
-
-    def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
+    def __init__(self, query) -> None:
+        self.query, self.last = query, -1
 
     def write(self, spark: SparkSession, path: str) -> None:
-        rows, self.rows = self.rows, []
+        rows = [(str(p["id"]), p["batchId"], p["numInputRows"], p["durationMs"].get("triggerExecution"),
+                 p["durationMs"].get("addBatch"), p["timestamp"])
+                for p in self.query.recentProgress if p["batchId"] > self.last and p["numInputRows"]]
         if rows:
+            self.last = max(r[1] for r in rows)
             spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)

@@ -88,7 +88,6 @@ class RealtimeRecommender:
 
     def _end_times(self) -> None:
         if self.times is not None:
-            self.spark.streams.removeListener(self.times)
             self.times.write(self.spark, self.metrics_to)
             self.times = None
 
@@ -112,7 +111,7 @@ class RealtimeRecommender:
         finally:
             candidates.unpersist()
             asked.unpersist()
-        if self.times is not None and len(self.times.rows) >= 50:
+        if self.times is not None and batch_id % 50 == 49:
             self.times.write(asked.sparkSession, self.metrics_to)
 
     def start(
@@ -137,8 +136,7 @@ class RealtimeRecommender:
             "checkpointLocation", checkpoint).trigger(**trigger).start()
         self._end_times()  # of a query started before
         if self.metrics_to:
-            self.times = BatchTimes(str(self.query.id))
-            spark.streams.addListener(self.times)
+            self.times = BatchTimes(self.query)
         if self.rejects_to:
             self.rejects = parsed.rejects.writeStream.format("parquet").option("path", self.rejects_to).option(
                 "checkpointLocation", checkpoint.rstrip("/") + "-rejects").trigger(**trigger).start()

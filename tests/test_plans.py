@@ -45,7 +45,11 @@ def test_offline_job_lists(spark, tmp_dir):
     assert users and all(1 <= len(r.recs) <= 10 for r in users)
     pairs = store.read(spark, offline.MOVIE_SIMILARITY)
     lists = store.read(spark, offline.MOVIE_RECS, MOVIE_RECS).collect()
-    assert sum(len(r.recs) for r in lists) == sum(min(n, offline.MOVIE_K) for _, n in pairs.groupBy("mid").count().collect())
+    assert sum(len(r.recs) for r in lists) == pairs.count() and all(len(r.recs) <= offline.CHUNK for r in lists)
+    chunks = offline.item_lists(pairs, chunk=3).orderBy("mid", "chunk").collect()
+    assert all(len(r.recs) <= 3 for r in chunks) and any(r.chunk > 1 for r in chunks)
+    assert all(a.recs[-1].score >= b.recs[0].score for a, b in zip(chunks, chunks[1:]) if a.mid == b.mid)
+    assert sorted((r.mid, x.mid, x.score) for r in chunks for x in r.recs) == sorted(map(tuple, pairs.collect()))
     assert all(a.score >= b.score for r in lists for a, b in zip(r.recs, r.recs[1:]))
     as_map = offline.similarity_lists_as_map(store.read(spark, offline.MOVIE_RECS, MOVIE_RECS)).first()
     assert len(as_map.sims) > 0
