@@ -12,7 +12,9 @@ trained.  A character outside the vocabulary costs its UTF-8 bytes, one token
 each.  Equal scores: the segmentation with fewer pieces counts.
 
 One pass over the documents without a shuffle.  A task's trie is dropped when it
-passes ``max_nodes``; that bounds memory and changes no count.
+passes ``max_nodes``, and a word of over ``LONG_WORD`` characters is scored by the
+same recurrence over a window as long as the longest piece, without nodes; that
+bounds memory and changes no count.
 
 Defined results: null and empty texts have no tokens; repeated documents are
 counted independently.
@@ -21,6 +23,7 @@ counted independently.
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +35,8 @@ from tasteflow.llm.common import blob, calls
 MARK = "▁"
 BYTE_LOG_PROB = -30.0  # of one fallback byte: dearer than any piece, so used only where no piece fits
 
+LONG_WORD = 256  # characters of the longest word that the trie keeps
+
 
 def zipf_pieces(model_path: str) -> dict[str, float]:
     """Log-probability of each ordinary piece of a public vocabulary, by its rank."""
@@ -70,6 +75,19 @@ class PrefixTrie:
         self.count.append(-best[1])
         return len(self.score) - 1
 
+    def _rolled(self, word: str) -> int:
+        """Pieces of the best segmentation, from the scores of the last ``longest`` prefixes only."""
+        last = deque([(0.0, 0)], maxlen=self.longest)  # score and -count, nearest prefix first
+        for end, letter in enumerate(word, 1):
+            fallback = len(letter.encode("utf-8", "surrogatepass"))
+            best = (last[0][0] + BYTE_LOG_PROB * fallback, last[0][1] - fallback)
+            for back, (score, count) in enumerate(last, 1):
+                log_prob = self.pieces.get(word[end - back:end])
+                if log_prob is not None:
+                    best = max(best, (score + log_prob, count - 1))
+            last.appendleft(best)
+        return -last[0][1]
+
     def tokens(self, raw: bytes) -> int:
         """Pieces of the best segmentation of a word, given as UTF-8 without its marker."""
         known = self.terminal.get(raw)
@@ -78,6 +96,8 @@ class PrefixTrie:
         if len(self.score) > self.max_nodes:
             self.reset()
         word, path = MARK + raw.decode("utf-8", "replace"), [0]
+        if len(word) > LONG_WORD:
+            return self._rolled(word)
         for end in range(1, len(word) + 1):
             edge = (path[-1], word[end - 1])
             node = self.child.get(edge)

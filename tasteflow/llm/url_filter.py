@@ -7,14 +7,15 @@ tokens are split at punctuation (runs of digits count as one token ``0``), and a
 multinomial naive Bayes over these tokens judges the URLs without a rule.
 
 The unigram counts come from the pages' own visible text.  Only words that
-occur inside some host label are needed, so the label's substrings are joined
-to the counts: no dictionary is broadcast.  Everything works on distinct labels
+occur inside some host label are needed, so the label's substrings of lengths
+that counted words have are joined to the counts: no dictionary is broadcast, and
+a long label costs its length times the number of those lengths.  Everything works on distinct labels
 and distinct (host, path) pairs, so a host that holds a third of all pages costs
 one row; the verdicts are joined back to the pages.  Log-likelihoods are added
 as whole micro-nats, so sums do not depend on their order.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path,
-no rule, and the prior's verdict; without trained classes the verdict is allow;
+no rule, and the prior's verdict; unless both classes are taught the verdict is allow;
 a score of exactly zero allows; repeated rows get the same verdict; an empty
 table gives an empty result.
 """
@@ -75,18 +76,24 @@ def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
 def best_split(label: str, known: dict[str, int], total: int) -> list[str]:
     """Most probable words of a label; an unknown word of k letters has probability 10 / (total 10^k).
 
-    Equal scores: the split with fewer words, then the one whose last word is longer.
+    Log-probabilities are whole micro-nats.  Equal scores: the split with fewer words, then the
+    one whose last word is longer.  An unknown word may start anywhere: its best start is kept
+    as the search goes, and only starts within the longest known word are tried beside it.
     """
-    log_total = math.log(max(total, 1))
+    log_total, letter = round(MICRO * math.log(max(total, 1))), round(MICRO * math.log(10))
+    logs = {word: round(MICRO * math.log(n)) - log_total for word, n in known.items()}
+    longest = max(map(len, logs), default=0)
 
-    def score(word: str) -> int:
-        n = known.get(word)
-        p = math.log(n) - log_total if n else math.log(10) - log_total - len(word) * math.log(10)
-        return round(p * MICRO)
-
-    best: list[tuple[int, int, int]] = [(0, 0, 0)]  # score, -words, start of the last word
+    best: list[tuple[int, int, int]] = [(0, 0, 0)]  # score, -words, -start of the last word
+    unknown = (0, -1, 0)  # the best start of an unknown word, its letters after the start not yet paid
     for end in range(1, len(label) + 1):
-        best.append(max((best[start][0] + score(label[start:end]), best[start][1] - 1, -start) for start in range(end)))
+        options = [(unknown[0] - log_total - (end - 1) * letter, *unknown[1:])]
+        for start in range(max(0, end - longest), end):
+            log_prob = logs.get(label[start:end])
+            if log_prob is not None:
+                options.append((best[start][0] + log_prob, best[start][1] - 1, -start))
+        best.append(max(options))
+        unknown = max(unknown, (best[end][0] + end * letter, best[end][1] - 1, -end))
     out, end = [], len(label)
     while end:
         start = -best[end][2]
@@ -96,12 +103,16 @@ def best_split(label: str, known: dict[str, int], total: int) -> list[str]:
 
 
 def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
-    """(label, words): distinct host labels split by the unigram model in ``counts``."""
+    """(label, words): distinct host labels split by the unigram model in ``counts``, a stored table."""
+    labels = labels.where(F.length("label") > 0)
     total = counts.agg(F.sum("n")).first()[0] or 0
+    longest = labels.agg(F.max(F.length("label"))).first()[0] or 0
+    # at most one length per letter of the longest label
+    sizes = [r[0] for r in counts.select(F.length("word")).where(F.length("word") <= longest).distinct().collect()]
     starts = F.sequence(F.lit(1), F.length("label"))
-    pieces = labels.where(F.length("label") > 0).select("label", F.explode(starts).alias("start")).select(
-        "label", F.explode(F.transform(F.sequence(F.lit(1), F.length("label") - F.col("start") + 1),
-                                       lambda n: F.substring(F.col("label"), F.col("start"), n))).alias("word"))
+    fitting = F.filter(F.lit(sorted(sizes)).cast("array<int>"), lambda n: n <= F.length("label") - F.col("start") + 1)
+    pieces = labels.select("label", F.explode(starts).alias("start")).select(
+        "label", F.explode(F.transform(fitting, lambda n: F.substring(F.col("label"), F.col("start"), n))).alias("word"))
     known = pieces.distinct().join(counts, "word").groupBy("label").agg(
         F.collect_list("word").alias("found"), F.collect_list("n").alias("ns"))
 
@@ -110,7 +121,7 @@ def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
         return pd.Series([best_split(x, dict(zip(f, n)) if f is not None else {}, total)
                           for x, f, n in zip(label, found, ns)], dtype=object)
 
-    return labels.where(F.length("label") > 0).join(known, "label", "left").select(
+    return labels.join(known, "label", "left").select(
         "label", split("label", "found", "ns").alias("words"))
 
 
@@ -129,7 +140,7 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
 
     label = F.explode(F.split("host", "\\.")).alias("label")
     labels = urls.select(label).distinct()
-    words = segmented(labels, word_counts(pages, html_col))
+    words = segmented(labels, written(word_counts(pages, html_col), "word-counts"))
     host_words = urls.select("host").distinct().select("host", label).join(words, "label").select(
         "host", F.explode("words").alias("token"))
     tokens = written(
@@ -144,7 +155,7 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
     classes = urls.where(F.col("action").isNotNull()).agg(F.sum(blocked), F.sum(1 - blocked)).first()
     n_block, n_allow = classes[0] or 0, classes[1] or 0
     trained = bool(n_block and n_allow)
-    prior = round(MICRO * math.log(n_block / n_allow)) if trained else (-1 if not n_block else 1) * (n_block > 0)
+    prior = round(MICRO * math.log(n_block / n_allow)) if trained else 0
     total_b, total_a = (sums[0] or 0) + alpha * (sums[2] or 0), (sums[1] or 0) + alpha * (sums[2] or 0)
     weight = F.round(F.lit(float(MICRO)) * (F.ln(F.col("b") + alpha) - F.ln(F.col("a") + alpha) + F.lit(
         math.log(total_a / total_b) if trained else 0.0))).cast("bigint")

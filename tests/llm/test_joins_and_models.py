@@ -287,6 +287,47 @@ def test_segmentation_and_bayes_match_a_plain_version(spark):
         assert r.rule or r.verdict == ("block" if r.score > 0 else "allow")
 
 
+def every_split(label, counts, total):
+    """Score in micro-nats, number of words and the words of every split of a label."""
+    import math
+
+    for cuts in range(1 << max(0, len(label) - 1)):
+        parts, at = [], 0
+        for i in range(1, len(label) + 1):
+            if i == len(label) or cuts >> (i - 1) & 1:
+                parts.append(label[at:i])
+                at = i
+        micro = sum(round(1e6 * math.log(counts[w])) if w in counts else -(len(w) - 1) * round(1e6 * math.log(10))
+                    for w in parts) - len(parts) * round(1e6 * math.log(max(total, 1)))
+        yield micro, -len(parts), parts
+
+
+def test_best_split_equals_every_split_tried():
+    rnd = random.Random(5)
+    for _ in range(150):
+        counts = {"".join(rnd.choice("ab") for _ in range(rnd.randint(1, 4))): rnd.choice([1, 2, 5, 40])
+                  for _ in range(rnd.randint(0, 6))}
+        total = sum(counts.values()) + rnd.choice([0, 3, 1000])
+        label = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9)))
+        splits = list(every_split(label, counts, total))
+        got = url_filter.best_split(label, counts, total)
+        assert "".join(got) == label
+        top = max(s[:2] for s in splits)
+        assert got in [parts for *score, parts in splits if tuple(score) == top]
+
+
+def test_long_labels_and_one_taught_class(spark):
+    long = "cheappills" * 400 + "z" * 2000
+    rows = [(1, f"http://{long}.org/x", "cheap pills"), (2, "http://b.net/es/q", "cheap pills"), (3, None, None)]
+    out = {r.page_id: r for r in url_filter.judge(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string"), RULES).collect()}
+    assert out[1].host == long + ".org" and out[2].verdict == "block"
+    assert out[1].verdict == out[3].verdict == "allow"  # only blocked URLs were taught
+    words = url_filter.segmented(spark.createDataFrame([(long,)], "label string"),
+                                 spark.createDataFrame([("cheap", 9), ("pills", 9)], "word string, n bigint")).first().words
+    assert words == ["cheap", "pills"] * 400 + ["z" * 2000]
+
+
 # ---- chat -----------------------------------------------------------------
 
 def brute_chat(rows):

@@ -225,6 +225,26 @@ def test_dropping_the_trie_changes_no_count():
     assert [large.tokens(w) for w in words] == [brute_count("▁" + w.decode(), pieces) for w in words]
 
 
+def test_long_words_leave_the_trie_small():
+    pieces = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁ab": -3.5, "ba": -9.0}
+    word = "".join(np.random.RandomState(2).choice(list("abc"), size=3000))
+    trie = token_counts.PrefixTrie(pieces)
+    assert trie.tokens(word.encode()) == brute_count("▁" + word, pieces)
+    assert len(trie.score) == 1 and not trie.terminal
+    assert trie.tokens(b"a" * 1_000_000) == 1_000_001
+
+
+def test_token_counts_of_repeated_rows_clashing_columns_and_no_rows(spark):
+    import public_tokenizers as public
+
+    path = public.path("piece_bpe_32k.model")
+    df = docs(spark, ["same text", "same text"]).withColumn("n_tokens", F.lit("x")).withColumn("n_bytes", F.lit(1))
+    out = token_counts.token_counts(df.unionByName(df), path)
+    assert out.columns == ["doc_id", "n_pretokens", "n_tokens", "n_bytes"]
+    assert sorted((r.doc_id, r.n_pretokens, r.n_bytes) for r in out.collect()) == [(0, 2, 9)] * 2 + [(1, 2, 9)] * 2
+    assert token_counts.token_counts(df.limit(0), path).count() == 0
+
+
 # ---- sharding -------------------------------------------------------------
 
 def test_one_more_shard_takes_rows_only_into_itself(spark):
