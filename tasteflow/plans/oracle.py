@@ -156,6 +156,9 @@ SQL["factor_topk"] = with_views(FACTORS, MOVIES) + """
   FROM scored WHERE score > 0)
 SELECT uid, CAST(rn AS INTEGER) AS "rank", mid, round(score, 6) AS score FROM ranked WHERE rn <= 10"""
 
+SQL["item_similarity_pruned"] = SQL["item_similarity"]
+SQL["factor_topk_bounded"] = SQL["factor_topk"]
+
 RECENT = """recent AS (
   SELECT uid, CAST(rn AS INTEGER) AS rn, mid, score FROM (
     SELECT uid, mid, score,

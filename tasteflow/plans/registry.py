@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tasteflow.functions.lists import format_recs, lists_to_ranked, ranked_to_lists
-from tasteflow.operators import als, catalog, evaluation, realtime, similarity, stats
+from tasteflow.operators import als, catalog, evaluation, pruning, realtime, similarity, stats
 from tasteflow.plans import loader, offline, statistics
 from tasteflow.schemas import GENRE_RECS, MOVIE_RECS, USER_RECS
 from tasteflow.session import checkpointed, scratch_dir
@@ -153,6 +153,19 @@ def factor_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("uid", "rank", "mid", r6("score"))
 
 
+def item_similarity_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item similarity where only blocks that can hold a pair meet."""
+    pairs = pruning.pruned_cosine_pairs(adapters.factors_view(spark, sf_dir), threshold=PAIR_THRESHOLD, block=256)
+    return pairs.select("mid", "sim_mid", r6("score"))
+
+
+def factor_topk_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``factor_topk`` with items by falling norm, each user's scan ended by the bound."""
+    factors = adapters.factors_view(spark, sf_dir)
+    items = factors.join(adapters.movies_view(spark, sf_dir).select(F.col("mid").alias("id")), "id", "left_semi")
+    return pruning.bounded_top_k(factors, items, k=10, min_score=0.0, chunk=128).select("uid", "rank", "mid", r6("score"))
+
+
 # ---- step 6: real-time scoring as a batch over every user's last rating ---
 
 def _realtime_inputs(spark: SparkSession, sf_dir: str):
@@ -432,6 +445,8 @@ QUERIES = {
     "items_with_tags": items_with_tags,
     "item_similarity": item_similarity,
     "similar_items_list": similar_items_list,
+    "item_similarity_pruned": item_similarity_pruned,
+    "factor_topk_bounded": factor_topk_bounded,
     "factor_topk": factor_topk,
     "recent_ratings": recent_ratings,
     "last_events": last_events,
