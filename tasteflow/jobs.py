@@ -6,6 +6,7 @@
     tune        grid search over rank x regularisation; writes the grid and its best row
     forward     application log lines -> rating payloads (runs until stopped)
     recommend   rating events -> suggestion lists (runs until stopped)
+    count       rating events -> counts and averages kept up to date (runs until stopped)
 
 Tables are stored under ``--root`` through any Spark data source (``--format``).
 On a cluster set ``spark.checkpoint.dir`` to a shared folder; ``--ship`` sends this
@@ -22,8 +23,9 @@ from pyspark.sql import SparkSession
 from tasteflow.operators import als
 from tasteflow.plans import loader, offline, statistics, streaming_job
 from tasteflow.schemas import MOVIE, RATING, SIMILARITY
-from tasteflow.session import build_session, ship_package
+from tasteflow.session import build_session, shared_dir, ship_package
 from tasteflow.sources.tables import TableStore
+from tasteflow.streaming import statistics as streamed
 
 GRID_TABLE, BEST_TABLE = "als_grid", "als_best"
 
@@ -81,6 +83,14 @@ def recommend(spark: SparkSession, args: argparse.Namespace) -> None:
         job.close()
 
 
+def count(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.seed:
+        streamed.seed_statistics(_loaded(spark, args)[1], args.sink)
+    checkpoint = args.checkpoint or shared_dir(spark, "streams", "statistics")
+    streamed.start_statistics(spark, args.source, args.sink, checkpoint, trigger=_trigger(args),
+                              delay=args.delay).awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="python -m tasteflow.jobs", description=__doc__,
                                   formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -121,7 +131,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--ranks", type=int, nargs="+", default=[50, 60, 70, 80])
             job.add_argument("--regs", type=float, nargs="+", default=[0.1, 0.01, 1.0])
 
-    for name, run, stored in (("forward", forward, False), ("recommend", recommend, True)):
+    for name, run, stored in (("forward", forward, False), ("recommend", recommend, True), ("count", count, True)):
         job = add(name, run, stored)
         job.add_argument("--source", required=True)
         job.add_argument("--sink", required=True)
@@ -133,6 +143,9 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--store-ratings", action="store_true")
             job.add_argument("--ratings-source", help="folder where ratings that others store arrive, as lines")
             job.add_argument("--metrics", help="folder for the durations of the batches")
+        if name == "count":
+            job.add_argument("--seed", action="store_true", help="count the stored ratings first; before the first start only")
+            job.add_argument("--delay", help="how late an event may be, such as '2 days'; also drops repeats (default: all count)")
     return top
 
 

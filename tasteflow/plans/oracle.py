@@ -7,7 +7,7 @@ against the pre-registered tables.
 from __future__ import annotations
 
 from tasteflow.operators.als import GRID_RANKS, GRID_REGS
-from tasteflow.plans.registry import ALL_PAIRS_THRESHOLD, LIST_THRESHOLD, PAIR_THRESHOLD, SEED, TEST_GENRES
+from tasteflow.plans.registry import ALL_PAIRS_THRESHOLD, DELAY_DAYS, LIST_THRESHOLD, PAIR_THRESHOLD, SEED, TEST_GENRES
 
 RATINGS = """ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(l_partkey AS INTEGER) AS mid,
@@ -240,6 +240,19 @@ FROM unnest({list(GRID_RANKS)}) a(r), unnest({list(GRID_REGS)}) b(g)"""
 
 SQL["rating_event_stream"] = SQL["ratings_parsed"]
 
+SQL["on_time_event_stream"] = with_views(RATINGS, """arrivals AS (
+  SELECT *, uid % 3 AS run FROM ratings UNION ALL SELECT *, 2 FROM ratings WHERE uid % 3 = 0)""", """newest AS (
+  SELECT run, max(max("timestamp")) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM arrivals GROUP BY run)""", """firsts AS (
+  SELECT uid, mid, score, "timestamp", min(run) AS run FROM arrivals GROUP BY ALL)""") + f"""
+SELECT uid, mid, score, "timestamp" FROM firsts JOIN newest USING (run)
+WHERE before IS NULL OR "timestamp" > before - {DELAY_DAYS} * 86400"""
+
+SQL["stream_monthly_counts"] = SQL["monthly_counts"]
+
+SQL["stream_average_scores"] = with_views(RATINGS) + """
+SELECT mid, round(avg(score), 6) AS avg_score, count(score) AS rating_count FROM ratings GROUP BY mid"""
+
 SQL["realtime_stream_upsert"] = SQL["realtime_lists"]
 
 SQL["stream_list_string"] = with_views(RATINGS, FACTORS, _pairs(PAIR_THRESHOLD), LAST_EVENT, CANDIDATES, RECENT, SCORES) + """

@@ -19,6 +19,7 @@ from tasteflow.session import checkpointed, scratch_dir
 from tasteflow.sources import adapters, compose
 from tasteflow.sources.tables import TableStore
 from tasteflow.sources.text import parse_movies, parse_ratings, parse_tags, read_lines
+from tasteflow.streaming import statistics as streamed
 from tasteflow.streaming.logs import start_event_parser, start_log_forwarder
 from tasteflow.streaming.recommender import RealtimeRecommender
 from tasteflow.streaming.sink import newest_lists
@@ -28,6 +29,9 @@ TEST_GENRES = ["old", "small", "red", "PROMO", "widget", "Ring", "economy"]
 
 DIGITS = 6
 
+#: How late an event may be in the event-time query.
+DELAY_DAYS = 1000
+
 
 def r6(c: str | Column, name: str | None = None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
@@ -340,6 +344,44 @@ def rating_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select("uid", "mid", "score", "timestamp")
 
 
+def on_time_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines in three arrivals, the third with the first's again: every event on time, once.
+
+    Each arrival is a run of the query, which goes on from its checkpoint.
+    """
+    ratings = adapters.ratings_view(spark, sf_dir)
+    turn = F.col("uid") % 3
+    source, sink, ckpt = (scratch_dir(spark, label) for label in ("late-lines", "late-events", "late-ckpt"))
+    for arrival in (ratings.where(turn == 0), ratings.where(turn == 1), ratings.where(turn != 1)):
+        compose.rating_log_lines(arrival).select("value").write.mode("append").text(source)
+        query, _ = start_event_parser(spark, source, sink, ckpt, trigger={"availableNow": True}, delay=f"{DELAY_DAYS} days")
+        query.awaitTermination()
+    return spark.read.parquet(sink).select("uid", "mid", "score", "timestamp")
+
+
+def _streamed_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of even users as the seed, the others streamed in batches."""
+    ratings = adapters.ratings_view(spark, sf_dir)
+    even = F.col("uid") % 2 == 0
+    source = _land_lines(spark, compose.rating_event_lines(ratings.where(~even)), "statistics-events")
+    path = scratch_dir(spark, "statistics")
+    streamed.seed_statistics(ratings.where(even), path)
+    streamed.start_statistics(spark, source, path, scratch_dir(spark, "statistics-ckpt"), trigger={"availableNow": True},
+                              max_files_per_trigger=2).awaitTermination()
+    return streamed.maintained(spark, path)
+
+
+def stream_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed.monthly_counts(_streamed_statistics(spark, sf_dir))
+
+
+def stream_average_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages and counts per movie, kept by the stream."""
+    parts = _streamed_statistics(spark, sf_dir)
+    joined = streamed.average_scores(parts).join(streamed.rating_counts(parts), "mid")
+    return joined.select("mid", r6("avg_score"), "rating_count")
+
+
 def _run_realtime_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings, sims = _realtime_inputs(spark, sf_dir)
     source = _land_lines(spark, compose.rating_event_lines(ratings), "rating-events")
@@ -467,6 +509,9 @@ QUERIES = {
     "forwarded_clock": forwarded_clock,
     "log_filter_stream": log_filter_stream,
     "rating_event_stream": rating_event_stream,
+    "on_time_event_stream": on_time_event_stream,
+    "stream_monthly_counts": stream_monthly_counts,
+    "stream_average_scores": stream_average_scores,
     "realtime_stream_upsert": realtime_stream_upsert,
     "stream_list_string": stream_list_string,
     "genre_lists_roundtrip": genre_lists_roundtrip,

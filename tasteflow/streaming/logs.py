@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tasteflow.functions.text import jvm_trim, payload_after
 from tasteflow.sources.compose import RATING_LOG_MARKER
 from tasteflow.sources.text import Parsed, parse_rating_events
+from tasteflow.streaming.event_time import on_time_events
 
 # Fixed value: the key every forwarded record carries.
 FORWARD_KEY = "logProcessor"
@@ -110,18 +111,20 @@ def start_event_parser(
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
     rejects_sink: str | None = None,
+    delay: str | None = None,
 ):
     """Log lines -> typed rating events in a Parquet sink.
 
     Returns ``(events_query, rejects_query)``; the second is ``None`` unless
     ``rejects_sink`` is given, in which case quarantined lines stream there
-    with their own checkpoint.
+    with their own checkpoint.  With ``delay`` repeats and late events stay out, see :func:`on_time_events`.
     """
     lines = read_line_stream(spark, source, "text", max_files_per_trigger)
     parsed = rating_events_from_logs(lines, marker)
+    rows = on_time_events(parsed.rows, delay) if delay else parsed.rows
     trig = trigger or {"processingTime": "2 seconds"}
     query = (
-        parsed.rows.writeStream.format("parquet").option("path", sink)
+        rows.writeStream.format("parquet").option("path", sink)
         .option("checkpointLocation", checkpoint).trigger(**trig).start()
     )
     rejects_query = None

@@ -18,6 +18,7 @@ def run(folder, *args):
 
 def test_every_job_runs_on_its_own(spark, tmp_dir):
     from tasteflow.sources import adapters, compose
+    from tasteflow.streaming import statistics as streamed
     from tasteflow.streaming.sink import newest_lists
 
     ratings = adapters.ratings_view(spark, SF)
@@ -44,3 +45,6 @@ def test_every_job_runs_on_its_own(spark, tmp_dir):
         "--checkpoint", f"{tmp_dir}/ck2", "--once", "--store-ratings", "--metrics", f"{tmp_dir}/times")
     assert newest_lists(spark, f"{tmp_dir}/recs").count() > 0
     assert spark.read.parquet(f"{tmp_dir}/times").where("rows > 0 and batch_ms > 0").count() > 0
+    run(tmp_dir, "count", "--root", root, "--source", f"{tmp_dir}/events", "--sink", f"{tmp_dir}/kept", "--checkpoint",
+        f"{tmp_dir}/ck3", "--once", "--seed")
+    assert streamed.maintained(spark, f"{tmp_dir}/kept").agg({"n_rows": "sum"}).first()[0] == ratings.count() + 50

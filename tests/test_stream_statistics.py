@@ -1,0 +1,114 @@
+"""Event time (late and repeated events) and statistics kept by a stream, against plain versions over the same rows."""
+
+import random
+
+from tasteflow.operators import stats
+from tasteflow.plans.registry import r6
+from tasteflow.sources.text import parse_rating_events
+from tasteflow.streaming import statistics as streamed
+from tasteflow.streaming.event_time import on_time_events
+from tasteflow.streaming.logs import start_event_parser
+from tasteflow.streaming.metrics import BatchTimes
+
+DAY = 86400
+NOW = {"availableNow": True}
+AHEAD = 10**13  # past every timestamp Spark can hold
+
+
+def land(spark, rows, path, prefix=""):
+    lines = [(prefix + "|".join(str(v) for v in row),) for row in rows]
+    spark.createDataFrame(lines, "value string").write.mode("append").text(path)
+
+
+def plain_on_time(arrivals, delay):
+    """First arrivals not older than the newest time of earlier arrivals less the delay."""
+    kept, seen, newest = [], set(), None
+    for rows in arrivals:
+        for row in rows:
+            if row not in seen and (newest is None or row[3] > newest - delay):
+                kept.append(row)
+            seen.add(row)
+        newest = max([newest or 0, *[row[3] for row in rows]])
+    return sorted(kept)
+
+
+def test_late_and_repeated_events_over_restarts(spark, tmp_dir):
+    rnd = random.Random(5)
+    event = lambda: (rnd.randint(1, 4), rnd.randint(1, 3), rnd.choice([1.0, 4.5]), rnd.randint(50, 100) * DAY)
+    arrivals = [[event() for _ in range(30)] for _ in range(3)]
+    arrivals[0] += arrivals[0][:10]  # repeats within an arrival
+    arrivals[2] += arrivals[0] + arrivals[1]  # replays
+    source, sink, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "out", "ckpt"))
+    for i, rows in enumerate(arrivals):
+        land(spark, rows, source, "INFO MOVIE_RATING_PREFIX:")
+        query, _ = start_event_parser(spark, source, sink, ckpt, trigger=NOW, delay="20 days")
+        query.awaitTermination()
+        BatchTimes(query).write(spark, f"{tmp_dir}/times")
+        got = sorted((r.uid, r.mid, r.score, r.timestamp) for r in spark.read.parquet(sink).collect())
+        assert got == plain_on_time(arrivals[: i + 1], 20 * DAY)
+    late = spark.read.parquet(f"{tmp_dir}/times").agg({"late": "sum"}).first()[0]
+    assert 0 < late and len(got) < len({r for rows in arrivals for r in rows})
+
+
+def test_an_event_dated_ahead_makes_no_other_late(spark, tmp_dir):
+    source, sink, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "out", "ckpt"))
+    recent = 1_700_000_000
+    for rows in ([(1, 1, 3.0, AHEAD), (2, 1, 3.0, recent)], [(3, 1, 3.0, recent + DAY), (2, 1, 3.0, recent)]):
+        land(spark, rows, source, "MOVIE_RATING_PREFIX:")
+        start_event_parser(spark, source, sink, ckpt, trigger=NOW, delay="36500 days")[0].awaitTermination()
+    assert sorted(r.uid for r in spark.read.parquet(sink).collect()) == [1, 2, 3]
+
+
+def test_on_time_events_of_a_batch_are_its_distinct_rows(spark):
+    rows = [(1, 1, 3.0, 5), (1, 1, 3.0, 5), (None, None, None, AHEAD), (None, None, None, AHEAD), (1, 1, 3.0, -5)]
+    out = on_time_events(spark.createDataFrame(rows, "uid int, mid int, score double, timestamp long"), "1 day")
+    assert out.columns == ["uid", "mid", "score", "timestamp"] and set(map(tuple, out.collect())) == set(rows)
+    assert out.count() == 3
+
+
+def read(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_streamed_statistics_equal_the_batch_operators_after_every_batch(spark, tmp_dir):
+    rnd = random.Random(6)
+    event = lambda: (rnd.randint(1, 9), rnd.choice([1, 1, 1, 2, 3]), rnd.choice([0.5, 3.0, 5.0]), rnd.randint(0, 200) * DAY)
+    schema = "uid int, mid int, score double, timestamp long"
+    stored = [event() for _ in range(20)]
+    source, path, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "stats", "ckpt"))
+    for _ in range(2):  # again replaces the seed
+        streamed.seed_statistics(spark.createDataFrame(stored, schema), path)
+    said = list(stored)
+    for i in range(4):
+        rows = [event() for _ in range(12)]
+        said += rows
+        land(spark, rows, source)
+        streamed.start_statistics(spark, source, path, ckpt, trigger=NOW).awaitTermination()
+        if i == 2:  # the folded table takes over
+            streamed.fold(spark, path, path + "-folded")
+            path += "-folded"
+            assert spark.read.parquet(path).select("batch").distinct().count() == 2
+        parts, ratings = streamed.maintained(spark, path), spark.createDataFrame(said, schema)
+        assert read(streamed.rating_counts(parts)) == read(stats.rating_counts(ratings))
+        assert read(streamed.monthly_counts(parts)) == read(stats.monthly_counts(ratings))
+        assert read(streamed.average_scores(parts).select("mid", r6("avg_score"))) == read(
+            stats.average_scores(ratings).select("mid", r6("avg_score")))
+
+
+def test_a_replayed_batch_is_written_once_and_only_changed_groups_are(spark, tmp_dir):
+    path = f"{tmp_dir}/stats"
+    changed = streamed.partial_statistics(parse_rating_events(
+        spark.createDataFrame([("1|7|4.0|0",), ("2|7|2.0|0",)], "value string")).rows)
+    for _ in range(2):
+        streamed._put(changed, path, 0)
+    assert [tuple(r) for r in streamed.maintained(spark, path).collect()] == [(7, 197001, 2, 2, 6.0)]
+
+
+def test_null_scores_and_items_count_as_in_the_batch_operators(spark):
+    ratings = spark.createDataFrame([(1, 1, None, 0), (2, 1, 4.0, 0), (3, None, 2.0, 0), (4, 2, None, 0)],
+                                    "uid int, mid int, score double, timestamp long")
+    parts = streamed.partial_statistics(ratings)
+    assert read(streamed.rating_counts(parts)) == read(stats.rating_counts(ratings))
+    assert read(streamed.monthly_counts(parts)) == read(stats.monthly_counts(ratings))
+    assert read(streamed.average_scores(parts)) == read(stats.average_scores(ratings))
+    assert streamed.average_scores(streamed.partial_statistics(ratings.limit(0))).count() == 0
