@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from tasteflow.llm.quality_rules import PHRASES, Rules
+from tasteflow.llm.quality_rules import ENDING, PHRASES, SPEECH, TEASER, Rules
 
 _R = Rules()
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 SQL: dict[str, str] = {}
 
+
+def _quoted(pattern: str) -> str:
+    """Inside a SQL string literal."""
+    return pattern.replace("'", "''")
+
+
 SQL["op2_quality_rules"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, {_WORDS.format('text')} AS ws FROM d),
@@ -22,10 +28,17 @@ ls AS (SELECT r, k, line, len({_WORDS.format('line')}) AS n,
               length(line) - length(replace(line, '!', '')) AS shouts
        FROM (SELECT r, unnest(string_split(text, chr(10))) AS line,
                     generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d)),
-judged AS (SELECT r, line, n, n > 0 AND (s * 100 > n * {_R.line_symbols_pct}
+links AS (SELECT *, n > 0 AND n <= {_R.link_max_words} AND NOT regexp_matches(line, '{_quoted(ENDING)}') AS link FROM ls),
+rows_ AS (SELECT *, sum(link::INT) OVER (PARTITION BY r ORDER BY k ROWS {_R.menu_lines - 1} PRECEDING) = {_R.menu_lines} AS ends
+          FROM links),
+menus AS (SELECT *, bool_or(ends) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN CURRENT ROW
+            AND {_R.menu_lines - 1} FOLLOWING) AS menu FROM rows_),
+judged AS (SELECT r, line, n, n > 0 AND (menu OR s * 100 > n * {_R.line_symbols_pct}
               OR (bars > 0 AND bars * 100 >= n * {_R.line_bars_pct})
               OR (shouts >= 2 AND shouts * 100 >= n * {_R.line_shouts_pct})
-              OR (n <= {_R.phrase_max_words} AND regexp_matches(lower(line), '{"|".join(PHRASES)}'))) AS bad FROM ls),
+              OR (n <= {_R.phrase_max_words} AND regexp_matches(lower(line), '{"|".join(PHRASES)}'))
+              OR (n <= {_R.teaser_max_words} AND regexp_matches(line, '{_quoted(TEASER)}'))
+              OR NOT regexp_matches(line, '{_quoted(SPEECH)}')) AS bad FROM menus),
 sums AS (SELECT r, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS dup,
                 count(*) FILTER (bad) AS bad, coalesce(sum(n) FILTER (bad), 0) AS lost FROM judged GROUP BY r),
 base AS (SELECT w.r, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,

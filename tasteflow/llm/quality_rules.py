@@ -1,9 +1,11 @@
 """Line-first quality rules, with DataFrame expressions only.
 
-Each line is judged on its own: symbol-heavy lines, navigation bars, shouted
-lines and boilerplate phrases are removed.  A document is rejected when it
-fails the base rules (too short, too repetitive) or when the removed lines
-held too large a share of its words.  All work is one projection per row: no
+Each line is judged first.  Punctuation: symbol-heavy and shouted lines, lines
+of marks alone and short lines that break off with an ellipsis go.  Navigation:
+menu bars go, and in any script runs of short lines without a sentence end; a
+heading on its own stays.  Boilerplate: short lines with a known phrase go.  A
+document is rejected when it fails the base rules (too short, too repetitive) or
+when the removed lines held too large a share of its words.  All work is one projection per row: no
 shuffle, no Python, memory bounded by one text.
 
 Defined results: null and empty texts have no words, so they fail the base
@@ -14,6 +16,8 @@ are passed through untouched whatever their names.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +31,11 @@ BARS = "|"
 PHRASES = ("all rights reserved", "cookie policy", "privacy policy", "terms of service", "terms of use",
            "javascript is disabled", "enable javascript", "click here to", "sign up for our newsletter", "lorem ipsum")
 
+#: A letter or digit of any script; what ends a teaser; what ends a sentence or clause, maybe closed by a quote.
+SPEECH = r"[\p{L}\p{N}]"
+TEASER = r"(\.\.\.|…)[\x20\x09-\x0D]*\z"
+ENDING = r"[.!?…,;:。！？；：、।؟۔][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -38,6 +47,9 @@ class Rules:
     line_bars_pct: int = 25         # menu bars per 100 words of a line
     line_shouts_pct: int = 100      # exclamation marks per 100 words of a line, from two marks on
     phrase_max_words: int = 30      # a line with a boilerplate phrase and at most this many words is boilerplate
+    teaser_max_words: int = 12      # a line of at most this many words that ends in an ellipsis is a teaser
+    link_max_words: int = 4         # a line of at most this many words without a sentence end looks like a link
+    menu_lines: int = 3             # so many such lines in a row are a menu
     max_lost_pct: int = 30          # share of a document's words in removed lines
 
 
@@ -47,7 +59,7 @@ def _count(text: Column, characters: str) -> Column:
 
 
 def judged_lines(text: Column, rules: Rules = Rules()) -> Column:
-    """array<struct<line, n, symbols, bad>>: each \\n-split line, its words and symbols, whether a rule removes it."""
+    """array<struct<line, n, symbols, bad, link>>: each \\n-split line, its words and symbols, whether a rule removes it."""
 
     def marks(line: Column, n: Column, marked: Column) -> Column:
         """``marked``: symbols and shouts together; most lines have none and need no further pass."""
@@ -59,13 +71,29 @@ def judged_lines(text: Column, rules: Rules = Rules()) -> Column:
                 | ((s > 0) & (_count(line, BARS) * 100 >= n * rules.line_bars_pct) & F.contains(line, F.lit(BARS)))
                 | ((marked - s >= 2) & ((marked - s) * 100 >= n * rules.line_shouts_pct))
                 | ((n <= rules.phrase_max_words) & F.lower(line).rlike("|".join(PHRASES)))
-            )).alias("bad")))
+                | ((n <= rules.teaser_max_words) & line.rlike(TEASER))
+                | ~line.rlike(SPEECH)
+            )).alias("bad"),
+            ((n > 0) & (n <= rules.link_max_words) & ~line.rlike(ENDING)).alias("link")))
 
     def judge(line: Column) -> Column:
         return let(F.size(words(line)), lambda n: let(
             _count(line, SYMBOLS + "!"), lambda marked: marks(line, n, marked)))
 
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), judge)
+    def menus(lines: Column) -> Column:
+        """Links in runs are bad too; most texts have too few links and need no second pass."""
+        run = range(rules.menu_lines)
+
+        def linked(i: Column) -> Column:
+            link = {k: F.coalesce(F.get(lines, i + k)["link"], F.lit(False)) for k in range(-run[-1], run[-1] + 1)}
+            return reduce(or_, [reduce(and_, [link[k - back] for k in run]) for back in run])
+
+        marked = F.transform(lines, lambda x, i: F.struct(
+            x["line"].alias("line"), x["n"].alias("n"), x["symbols"].alias("symbols"),
+            (x["bad"] | (x["link"] & linked(i))).alias("bad"), x["link"].alias("link")))
+        return F.when(F.size(F.filter(lines, lambda x: x["link"])) < rules.menu_lines, lines).otherwise(marked)
+
+    return let(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), judge), menus)
 
 
 def repeated_words(text_words: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import inspect
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -19,13 +20,22 @@ def plain_clean(text):
     """(kept, cleaned text) by the quality rules, line by line."""
     rules = quality_rules.Rules()
     split = lambda t: re.findall("[^\x20\x09-\x0d]+", t)
-    lost, lines = 0, []
-    for line in text.split("\n"):
+    lost, lines, every = 0, [], text.split("\n")
+    tail = lambda line: line.rstrip(" \t\n\x0b\x0c\r")
+    link = [0 < len(split(line)) <= rules.link_max_words and not re.search(r"[.!?…,;:。！？；：、।؟۔][\"'”’»)\]]*\Z", tail(line))
+            for line in every]
+    menu = set()
+    for i in range(len(every) - rules.menu_lines + 1):
+        if all(link[i:i + rules.menu_lines]):
+            menu.update(range(i, i + rules.menu_lines))
+    for i, line in enumerate(every):
         n = len(split(line))
         symbols, bars, shouts = (sum(line.count(c) for c in cs) for cs in ("#*$%&|<>", "|", "!"))
         bad = n > 0 and (symbols * 100 > n * rules.line_symbols_pct or (bars and bars * 100 >= n * rules.line_bars_pct)
                          or (shouts >= 2 and shouts * 100 >= n * rules.line_shouts_pct)
-                         or (n <= rules.phrase_max_words and any(p in line.lower() for p in quality_rules.PHRASES)))
+                         or (n <= rules.phrase_max_words and any(p in line.lower() for p in quality_rules.PHRASES))
+                         or (n <= rules.teaser_max_words and tail(line).endswith(("...", "…")))
+                         or not any(unicodedata.category(c)[0] in "LN" for c in line) or i in menu)
         lost += n if bad else 0
         if not bad:
             lines.append(line)

@@ -60,6 +60,42 @@ def test_lines_are_judged_first_and_losses_reject(spark):
     assert got[4].base_failed and got[4].n_words == 0
 
 
+def test_punctuation_and_menus_by_line_in_any_script(spark):
+    menus = ["Home\nAbout us\nOur team", "首页\n关于我们\n联系我们\n登录", "Главная\nО нас \nКонтакты\t"]
+    gone = [*menus, "Read the whole story...", "Weiterlesen … ", "--- * --- =", "»"]
+    stays = ["A heading", "One\nTwo", "Roses are red,\nviolets are blue,\nsugar is sweet.", "\u201cYes.\u201d\n\u201cNo.\u201d\n(Maybe.)",
+             "Home\n\nAbout us\n\nOur team", "はい。\nいいえ。\nたぶん。", "3\n4.", " ".join(["word"] * 13) + "..."]
+    texts = [GOOD + "\n" + x + "\n" + GOOD.replace("w", "v") for x in gone + stays]
+    got = {r.doc_id: r for r in quality_rules.quality(docs(spark, texts)).collect()}
+    for i, x in enumerate(gone):
+        assert got[i].n_bad_lines == x.count("\n") + 1 and got[i].kept, x
+        assert got[i].cleaned == GOOD + "\n" + GOOD.replace("w", "v")
+    for i, x in enumerate(stays, len(gone)):
+        assert got[i].n_bad_lines == 0 and got[i].cleaned == texts[i], x
+    many = "\n".join(f"link {i}" for i in range(60))
+    lost = quality_rules.quality(docs(spark, [many + "\n" + GOOD])).first()
+    assert not lost.kept and lost.n_bad_lines == 60 and lost.n_lost_words == 120
+
+
+def test_quality_sql_judges_the_same_lines(spark):
+    import duckdb
+
+    from tasteflow.llm.oracle import SQL
+
+    rnd = np.random.RandomState(11)
+    pieces = ["Home", "About us", "A full sentence.", "", "  ", "Read on...", "…", "首页", "一句话。", "x | y | z", "## $$ %%", "(so.)\r",
+              "\u201cYes.\u201d", "Terms of use", "BUY!! NOW!!", "one two three four", "one two three four five", "a\x85", "b\u2028"]
+    texts = ["\n".join(rnd.choice(pieces, size=n)) + "\n" + GOOD for n in rnd.randint(0, 30, size=150)] + [None, ""]
+    df = docs(spark, texts)
+    documents = df.toPandas()  # noqa: F841
+    with duckdb.connect() as db:
+        db.register("documents", documents)
+        want = {r[0]: r[1:] for r in db.execute(
+            f"SELECT doc_id, n_bad_lines, n_lost_words, kept FROM ({SQL['op2_quality_rules']})").fetchall()}
+    got = {r.doc_id: (r.n_bad_lines, r.n_lost_words, r.kept) for r in quality_rules.quality(df).collect()}
+    assert got == want and len({k for _, _, k in got.values()}) == 2
+
+
 def test_clean_keeps_columns_whatever_their_names(spark):
     df = docs(spark, [GOOD, GOOD + "\nAll rights reserved.", None]).withColumn("kept", F.lit(7)).withColumn(
         "row", F.lit("x")).withColumn("n_bad_lines", F.lit(None).cast("string"))
