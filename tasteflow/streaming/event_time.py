@@ -18,7 +18,7 @@ def on_time_events(events: DataFrame, delay: str, keys: tuple[str, ...] = KEYS)
     Late: more than ``delay`` (such as ``"2 days"``) older than the newest event time of earlier batches.  The state
     holds the events of the last ``delay`` only.  A repeat carries the same time, so it is either late itself or meets its
     first arrival in the state: no repeat passes.  An event dated ahead of the clock passes again at most once per
-    ``delay``.  A watermark begins at 1970, so an event from before is late.  On a batch nothing is late.  Parsed events
+    ``delay``.  A watermark begins at 1970, so an event at or before its first second is late.  On a batch nothing is late.  Parsed events
     have no null time; any column but ``timestamp`` may be null (nulls are equal).
     """
     now = F.unix_timestamp(F.current_timestamp())
