@@ -261,6 +261,28 @@ def test_dropping_the_trie_changes_no_count():
     assert [large.tokens(w) for w in words] == [brute_count("▁" + w.decode(), pieces) for w in words]
 
 
+def test_words_seen_outlive_the_nodes():
+    pieces = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁ab": -3.5, "ba": -9.0}
+    trie = token_counts.PrefixTrie(pieces, max_nodes=12)
+    assert trie.tokens(b"abba") == brute_count("▁abba", pieces)
+    trie.tokens(b"bbbbbbbbbb")
+    trie.tokens(b"aaa")  # drops the nodes
+    assert len(trie.score) == 5 and b"abba" in trie.terminal
+    words = [bytes([97 + i, 97 + j]) for i in range(5) for j in range(5)]
+    assert trie.total(words) == sum(brute_count("▁" + w.decode(), pieces) for w in words)
+    assert len(trie.terminal) <= 13  # these have a bound of their own
+
+
+def test_pieces_that_end_at_a_letter():
+    rng = np.random.RandomState(5)
+    pieces = {"".join(rng.choice(list("abé"), size=n)): -float(n) for n in (1, 2, 2, 3, 4, 5, 6, 6)}
+    ends, word, state = token_counts.PieceEnds(pieces), "".join(rng.choice(list("abéz"), size=400)), 0
+    for end in range(1, len(word) + 1):
+        state = ends.after(state, word[end - 1])
+        want = {(n, pieces[word[end - n:end]]) for n in range(1, 7) if end >= n and word[end - n:end] in pieces}
+        assert set(ends.found[state]) == want and len(ends.found[state]) == len(want)
+
+
 def test_long_words_leave_the_trie_small():
     pieces = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁ab": -3.5, "ba": -9.0}
     word = "".join(np.random.RandomState(2).choice(list("abc"), size=3000))
