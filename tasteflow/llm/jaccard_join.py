@@ -110,8 +110,9 @@ def scheme(band: int, pct: int) -> tuple[int, int, int, int]:
     spread, edge = max(SPREAD, 10_000 // pct + 1), 1
     for _ in range(band):
         edge = edge * spread // 100 + 1
-    top = (edge * spread // 100) * 100 // pct
-    most = difference(2 * top, pct)
+    last = edge * spread // 100  # a pair meets under the band of its smaller set, so one of the two is no larger
+    top = last * 100 // pct
+    most = difference(last + top, pct)
     if not most:
         return edge, top, 0, 0
     empty = (most + 1) * math.exp(-edge / (most + 1))  # buckets that the smallest sets leave empty
@@ -318,9 +319,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         raise ValueError("two sets share a 64-bit node")
     sets = written(rows.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"]), "sets")
 
-    index = rows.select("node", F.explode("keys").alias("key"))
+    # the largest table here by far: dealt by key once, for the groups and for their members
+    index = rows.select("node", F.explode("keys").alias("key")).repartition("key")
     shared = index.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = written(index.join(shared.select("key"), "key", "left_semi").distinct(), "members")
+    members = written(index.join(shared.select("key"), "key").select("node", "key").distinct(), "members")
     texts = written(_candidate_texts(docs, names, members.select("node").distinct(), id_col, text_col), "texts")
 
     open_, roots = members.withColumn("root", F.col("node")), None

@@ -398,3 +398,30 @@ def test_normal_equations_equal_one_matrix(spark):
     a, b = quality_model.normal_equations(df, kernel, branches=3)
     z = kernel.map(x)
     assert np.allclose(a, z.T @ z) and np.allclose(b, z.T @ y)
+
+
+def test_band_has_a_bucket_more_than_its_pairs_can_differ_in():
+    for pct in (80, 90):
+        for band in range(12):
+            edge, top, buckets, spare = jaccard_join.scheme(band, pct)
+            smaller = range(edge, jaccard_join.scheme(band + 1, pct)[0])
+            most = max(jaccard_join.difference(n + m, pct) for n in smaller for m in (n, n * 100 // pct))
+            assert max(n * 100 // pct for n in smaller) <= top
+            assert buckets == (most + 1 + spare if most else 0)
+
+
+def test_group_keys_are_dealt_once(spark, monkeypatch):
+    plans, write = [], jaccard_join.written
+
+    def spied(df, label, *more):
+        if label == "members":
+            plans.append(sorted(map(tuple, df.collect())))
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label, *more)
+
+    monkeypatch.setattr(jaccard_join, "written", spied)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, " ".join(reversed(words)))]
+    found = jaccard_join.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3}
+    assert len({node for node, _ in plans[0]}) == 2 and "ReusedExchange" in plans[1]
