@@ -20,8 +20,9 @@ component the matrix holds the union of the tokens of its classes and what they
 all have, as hashed bits, and their size range.  Components that meet in a group and
 may link by these make a pair, once however many groups they share.  For each
 class of the first one, the bits that the second one's union lacks bound its
-overlap with every member; only components that pass the bound are opened, and
-their members are compared one by one: first by sizes and bits, then by whole sets.
+overlap with every member; only components that pass the bound are opened, large ones
+through an index of what sets their members apart, and the members found are compared
+one by one: first by sizes and bits, then by whole sets.
 
 Scale: texts are read once for the groups and once more to keep those of classes
 that share a group.  Group leaders and unions are pre-aggregated; members meet
@@ -44,7 +45,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteflow.llm.common import blob, calls, written
@@ -53,6 +54,8 @@ from tasteflow.llm.graph import components
 CALL = 1 << 20  # bytes of text, or of sets, handled at once
 ROWS = 256      # rows of an Arrow batch that hold whole texts or sets
 BITS = 1024     # hashed token bits of a set or a union
+LEADERS = 4     # leaders that a class is compared to in a round
+FEW = 8         # classes of a component that is opened class by class
 SPREAD = 140    # percent: sizes within one band differ by this factor at most (more for low thresholds)
 
 
@@ -159,31 +162,52 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        blob(text_col).alias("text"))
 
 
-def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int, pct: int) -> DataFrame:
-    """(id, text_hash, n, node, digest, keys, bits) per document; a task gives the keys of equal sets once."""
+def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, text_hash, n, node, digest, bits) per document; a task gives the bits of equal sets once."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _WordHashes(), set()
         for batch in calls(batches, "text", CALL):
-            n, node, digests, keys, bits = [], [], [], [], []
+            n, node, digests, bits = [], [], [], []
             for tokens in shingle_sets(batch.column(2).to_pylist(), k, hashes):
                 digest = xxhash.xxh3_128_digest(tokens.tobytes())
                 new = len(tokens) and digest not in seen
                 n.append(len(tokens))
                 digests.append(digest)
                 node.append(int.from_bytes(digest[:8], "little", signed=True))
-                keys.append(group_keys(tokens, pct).view(np.int64) if new else None)
                 bits.append(token_bits(tokens) if new else None)
                 seen.add(digest)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(bits, pa.list_(pa.int64()))],
-                names=["id", "text_hash", "n", "node", "digest", "keys", "bits"])
+                 pa.array(digests, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
+                names=["id", "text_hash", "n", "node", "digest", "bits"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return _texts(docs, id_col, text_col).mapInArrow(
-        kernel, f"id {id_type}, text_hash bigint, n bigint, node bigint, digest binary, keys array<bigint>, bits array<bigint>")
+        kernel, f"id {id_type}, text_hash bigint, n bigint, node bigint, digest binary, bits array<bigint>")
+
+
+def _index(docs: DataFrame, text_col: str, k: int, pct: int) -> DataFrame:
+    """(node, key): the groups of every class, from the texts themselves; a task gives those of equal sets once.
+
+    They are larger than the texts, so they go straight to the exchange and are stored nowhere else.
+    """
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = _WordHashes(), set()
+        for batch in calls(batches, "text", CALL):
+            node, keys = [], []
+            for tokens in shingle_sets(batch.column(0).to_pylist(), k, hashes):
+                digest = xxhash.xxh3_128_digest(tokens.tobytes())
+                if len(tokens) and digest not in seen:
+                    seen.add(digest)
+                    keys.append(group_keys(tokens, pct).view(np.int64))
+                    node.append(np.full(len(keys[-1]), int.from_bytes(digest[:8], "little", signed=True), np.int64))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(node)), pa.array(np.concatenate(keys))],
+                                                 names=["node", "key"])
+
+    return docs.select(blob(text_col).alias("text")).mapInArrow(kernel, "node bigint, key bigint")
 
 
 def _missing(a: Column, b: Column) -> Column:
@@ -193,13 +217,25 @@ def _missing(a: Column, b: Column) -> Column:
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """The pairs (a, b) that sizes and bits do not rule out."""
+    """The pairs (a, b, ...) that sizes and bits do not rule out."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     most = F.floor((F.col("n_a") + F.col("n_b")) * (100 - pct) / (100 + pct))
+    own_a, own_b = _missing(F.col("bits_a"), F.col("bits_b")), _missing(F.col("bits_b"), F.col("bits_a"))
+    both = (F.col("n_a") + F.col("n_b")) * pct  # of it (100 + pct) parts are shared tokens at least
     return pairs.join(side("a"), "a").join(side("b"), "b").where(
         (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * pct)
-        & (_missing(F.col("bits_a"), F.col("bits_b")) + _missing(F.col("bits_b"), F.col("bits_a")) <= most)
-    ).select("a", "b")
+        & (own_a + own_b <= most)
+        & ((F.col("n_a") - own_a) * (100 + pct) >= both) & ((F.col("n_b") - own_b) * (100 + pct) >= both)
+    ).select(*pairs.columns)
+
+
+def _nearest(stars: DataFrame) -> DataFrame:
+    """(a, b): of the leaders a of each class b, the ``LEADERS`` that agree with it in most groups.
+
+    A whole set is then sent to so many leaders a round, however many groups the class is in.
+    """
+    order = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("agreed"), "a"))
+    return stars.withColumn("nth", order).where(F.col("nth") <= LEADERS).select("a", "b")
 
 
 def _candidate_texts(docs: DataFrame, names: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -285,17 +321,81 @@ def _component_pairs(open_: DataFrame, pct: int) -> DataFrame:
 
 
 def _candidates(pairs: DataFrame, members: DataFrame, pct: int) -> DataFrame:
-    """(a, b): classes of component pairs; the second component is opened for the classes whose overlap with its union may do."""
-    union = members.groupBy("root").agg(_bits(F.bit_or).alias("union"), F.min("n").alias("least"), F.max("n").alias("most"))
-    query = members.select(F.col("root").alias("a"), F.col("node").alias("q"), F.col("n").alias("q_n"), "bits")
-    overlap = F.col("q_n") - _missing(F.col("bits"), F.col("union"))
-    opened = pairs.join(query, "a").join(union.withColumnRenamed("root", "b"), "b").where(
+    """(a, b): classes of component pairs; a class of the smaller one meets the larger one if its overlap with its union may do.
+
+    Components of up to ``FEW`` classes are opened for it, larger ones are asked through :func:`_near_reference`.
+    """
+    of = members.groupBy("root").agg(_bits(F.bit_or).alias("union"), F.min("n").alias("least"), F.max("n").alias("most"),
+                                     F.count("*").alias("size"))
+    of = written(of, "component-sizes")
+    size = lambda c: of.select(F.col("root").alias(c), F.col("size").alias(f"{c}_size"))
+    first = F.col("a_size") <= F.col("b_size")
+    sided = pairs.join(size("a"), "a").join(size("b"), "b").select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("small"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("large"))
+    query = members.select(F.col("root").alias("small"), F.col("node").alias("q"), F.col("n").alias("q_n"), F.col("bits").alias("q_bits"))
+    overlap = F.col("q_n") - _missing(F.col("q_bits"), F.col("union"))
+    asked = written(sided.join(query, "small").join(of.withColumnRenamed("root", "large"), "large").where(
         (F.col("most") * 100 >= F.col("q_n") * pct) & (F.col("q_n") * 100 >= F.col("least") * pct)
-        & (overlap * (100 + pct) >= (F.col("q_n") + F.col("least")) * pct)).select("b", "q")
-    return opened.join(members.select(F.col("root").alias("b"), "node"), "b").select(
+        & (overlap * (100 + pct) >= (F.col("q_n") + F.col("least")) * pct)).select("large", "q", "q_n", "q_bits", "size"), "asked")
+    large = members.withColumnRenamed("root", "large")
+    few = asked.where(F.col("size") <= FEW).select("large", "q").join(large.select("large", "node"), "large").select("q", "node")
+    many = asked.where(F.col("size") > FEW).drop("size").distinct()
+    return few.unionByName(_near_reference(many, large, pct)).select(
         F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct()
 
 
+def _places(bits: Column) -> Column:
+    """The places of the set bits, in order."""
+    return F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda i: F.getbit(
+        F.element_at(bits, F.shiftright(i, 6) + 1), i.bitwiseAND(63)) == 1)
+
+
+def _near_reference(asked: DataFrame, large: DataFrame, pct: int) -> DataFrame:
+    """(q, node): asked classes and the classes of their large component that bits do not rule out.
+
+    The reference of a component is the bits that more than half of its classes have.  A set's deviation is what it
+    has and the reference lacks, or the reverse; near copies have few.  With x and y deviations, s of them common,
+    two sets differ in x + y - 2 s bits.  They may link if that is at most d, so s must be at least t = (x + y - d) / 2.
+    If t is not positive, x and y say so alone.  Else the first x - t + 1 and y - t + 1 deviations, the rarest first,
+    have one in common.  So classes meet only where they may link, and no product of components is made.
+    """
+    wanted = large.join(asked.select("large").distinct(), "large", "left_semi").select("large", "node", "n", _places(F.col("bits")).alias("at"))
+    wanted = written(wanted, "large-members")
+    half = wanted.groupBy("large").agg(F.count("*").alias("size"))
+    usual = wanted.select("large", F.explode("at").alias("bit")).groupBy("large", "bit").agg(F.count("*").alias("n")).join(
+        half, "large").where("2 * n > size").groupBy("large").agg(F.sort_array(F.collect_list("bit")).alias("usual"))
+    reference = half.select("large").join(usual, "large", "left").select("large", F.coalesce("usual", F.array().cast("array<int>")).alias("usual"))
+    reference = written(reference, "references")
+
+    def deviating(df: DataFrame) -> DataFrame:
+        out = F.concat(F.array_except("at", "usual"), F.array_except("usual", "at"))
+        return df.join(reference, "large").withColumn("odd", out).drop("at", "usual").withColumn("x", F.size("odd"))
+
+    of = written(deviating(wanted), "deviations")
+    to = written(deviating(asked.select("large", F.col("q").alias("node"), F.col("q_n").alias("n"), _places(F.col("q_bits")).alias("at"))), "asked-deviations")
+    often = written(of.select("large", F.explode("odd").alias("bit")).groupBy("large", "bit").agg(F.count("*").alias("often")), "bit-counts")
+    most = lambda m, n: F.floor((m + n) * (100 - pct) / (100 + pct))
+    widest = most(F.col("n"), F.floor(F.col("n") * 100 / pct))  # sizes of linked sets differ by pct at most
+
+    def ranked(df: DataFrame) -> DataFrame:
+        """(large, bit, node, n, x, nth), the deviations rarest first."""
+        each = df.select("large", "node", "n", "x", F.explode("odd").alias("bit")).join(often, ["large", "bit"], "left")
+        by = Window.partitionBy("large", "node").orderBy(F.coalesce("often", F.lit(0)), "bit")
+        return each.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= F.col("x")).drop("often")
+
+    side = lambda df, c: df.select("large", *[x for x in ("bit",) if x in df.columns], *[F.col(x).alias(f"{c}_{x}") for x in df.columns if x not in ("large", "bit")])
+    # neither deviates much: every pair made is a candidate
+    allowed = F.greatest(widest - F.col("x"), F.lit(-1)).cast("int")
+    plain = side(of.where(F.col("x") <= widest).select("large", "node", "n", "x"), "l").withColumn("room", F.col("l_x")).join(
+        side(to.where(allowed >= 0).select("large", "node", "n", "x", allowed.alias("allowed")), "q").select(
+            "*", F.explode(F.sequence(F.lit(0), F.col("q_allowed"))).alias("room")), ["large", "room"])
+    least = F.ceil((F.col("l_x") + F.col("q_x") - most(F.col("l_n"), F.col("q_n"))) / 2)
+    shared = side(ranked(of), "l").join(side(ranked(to), "q"), ["large", "bit"]).where(
+        (least > 0) & (F.col("l_nth") <= F.col("l_x") - least + 1) & (F.col("q_nth") <= F.col("q_x") - least + 1))
+    return plain.where(least <= 0).select(F.col("q_node").alias("q"), F.col("l_node").alias("node")).unionByName(
+        shared.select(F.col("q_node").alias("q"), F.col("l_node").alias("node")))
+
+
 def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """``nodes`` with the root of their component (their own node without links)."""
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -309,7 +409,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     ``rounds`` of contraction come before the matrix; they change the work, not the result: with none, every link
     comes through the matrix.
     """
-    rows = written(_signatures(docs, id_col, text_col, k, pct), "signatures", 4 * ROWS)
+    rows = written(_signatures(docs, id_col, text_col, k), "signatures", 4 * ROWS)
     by_node = rows.where("n > 0").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"),
         F.min("digest").alias("d0"), F.max("digest").alias("d1"))
@@ -319,7 +419,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     sets = written(rows.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"]), "sets")
 
     # the largest table here by far: dealt by key once, for the groups and for their members
-    index = rows.select("node", F.explode("keys").alias("key")).repartition("key")
+    index = _index(docs, text_col, k, pct).repartition("key")
     shared = index.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = written(index.join(shared.select("key"), "key").select("node", "key").distinct(), "members")
     texts = written(_candidate_texts(docs, names, members.select("node").distinct(), id_col, text_col), "texts")
@@ -328,8 +428,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     for turn in range(rounds):
         first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("head")
         stars = open_.join(open_.groupBy("key").agg(first), "key").where("root <> head.root").select(
-            F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
-        links = _linked(_plausible(stars, sets, pct), texts, k, pct)
+            F.col("head.node").alias("a"), F.col("node").alias("b")).groupBy("a", "b").agg(F.count("*").alias("agreed"))
+        links = _linked(_nearest(_plausible(stars, sets, pct)), texts, k, pct)
         if roots is not None and links.isEmpty():
             break
         edges = links if roots is None else links.unionByName(

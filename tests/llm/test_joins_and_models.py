@@ -415,3 +415,77 @@ def test_group_keys_are_dealt_once(spark, monkeypatch):
     found = jaccard_join.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3}
     assert len({node for node, _ in plans[0]}) == 2 and "ReusedExchange" in plans[1]
+
+
+def test_jaccard_join_large_component_is_not_opened(spark):
+    """Classes meet a large component only where bits allow a link, and no link is lost."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 120, dtype=np.uint64)
+
+    def copy(changes):
+        kept = rng.permutation(base)[changes:]
+        return np.unique(np.r_[kept, rng.integers(0, 1 << 62, changes, dtype=np.uint64)])
+
+    large = [copy(int(c)) for c in rng.integers(0, 6, 60)]
+    asked = [copy(int(c)) for c in rng.integers(0, 14, 60)]
+    asked += [np.unique(np.r_[large[i][2:], rng.integers(0, 1 << 62, 2, dtype=np.uint64)]) for i in range(8)]
+    row = lambda i, s: (7, i, len(s), [int(x) for x in jaccard_join.token_bits(s)])
+    found = jaccard_join._near_reference(
+        spark.createDataFrame([row(1000 + i, s) for i, s in enumerate(asked)], "large long, q long, q_n long, q_bits array<long>"),
+        spark.createDataFrame([row(i, s) for i, s in enumerate(large)], "large long, node long, n long, bits array<long>"), 90)
+    got = {(r.q, r.node) for r in found.collect()}
+    links = {(1000 + i, j) for i, a in enumerate(asked) for j, b in enumerate(large)
+             if 100 * len(np.intersect1d(a, b)) >= 90 * len(np.union1d(a, b))}
+    assert links and links <= got
+    assert len(got) < len(large) * len(asked) / 2
+
+
+def test_jaccard_join_few_leaders_a_class(spark):
+    stars = spark.createDataFrame([(a, b, a % 3 + 1) for b in range(4) for a in range(100, 130)], "a long, b long, agreed long")
+    got = jaccard_join._nearest(stars).groupBy("b").count().collect()
+    assert len(got) == 4 and all(r["count"] == jaccard_join.LEADERS for r in got)
+    assert {r.a % 3 for r in jaccard_join._nearest(stars).collect()} == {2}
+
+
+def test_jaccard_join_stores_no_keys(spark):
+    docs = spark.createDataFrame([(i, f"one two three four {i}") for i in range(4)], "doc_id long, text string")
+    assert "keys" not in jaccard_join._signatures(docs, "doc_id", "text", 3).columns
+    index = jaccard_join._index(docs, "text", 3, 90)
+    assert index.columns == ["node", "key"]
+
+
+def test_suffix_dedup_hot_runs_open_only_what_changed(spark, monkeypatch):
+    """Near copies with hot anchors: right spans, and only the windows of the changed runs are compared."""
+    rng = np.random.default_rng(3)
+    base = bytes(rng.integers(97, 123, 2000, dtype=np.uint8))
+    texts = []
+    for i in range(40):
+        at = int(rng.integers(100, 1900))
+        texts.append(base[:at] + b"%08d" % i + base[at + 8:])
+    counted, kept = {}, suffix_dedup.written
+
+    def counting(df, label, *more):
+        out = kept(df, label, *more)
+        counted[label] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", counting)
+    docs = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts)], "ord long, text binary")
+    hot = np.unique(suffix_dedup.Runs(texts, 50).code)
+    got = [set() for _ in texts]
+    for r in suffix_dedup._hot_spans(docs, hot, 50).collect():
+        got[r.ord].update(range(r.start, r.end))
+    seen: set[bytes] = set()
+    for i, t in enumerate(texts):
+        windows = [t[k:k + 50] for k in range(len(t) - 49)]
+        assert got[i] == {b for k, w in enumerate(windows) if w in seen for b in range(k, k + 50)}, i
+        seen.update(windows)
+    assert counted["suffix-windows"] < len(base) + 100 * len(texts)
+
+
+def test_suffix_dedup_hot_share_does_not_fall_with_size(spark):
+    """A passage in seven documents of a thousand is judged alike in a small and a large table."""
+    common = "".join(chr(97 + (i * i * 7 + i // 3) % 26) for i in range(120))
+    for rows in (51_282, 256_410):
+        holders = spark.range(0, rows * 7 // 1000, 1, 4).select(F.lit(common).cast("binary").alias("text"))
+        assert len(suffix_dedup._hot(holders, rows, rows // 2048, 2048, 50)) == 0
