@@ -260,8 +260,10 @@ def _hot(texts: DataFrame, rows: int, buckets: int, bucket_rows: int, length: in
             new = np.r_[True, (code[1:] != code[:-1]) | (text[1:] != text[:-1])] if len(by) else by > 0
             yield _batch("code bigint", code[new].view(np.int64))
 
+    # the same share of the documents at every size, until one home would get too many strings
+    many = max(bucket_rows / 4, min(rows / 100, bucket_rows * 32))
     found = (texts.select("text").sample(share, seed=11).mapInArrow(codes, "code bigint").groupBy("code").count()
-             .where(F.col("count") >= max(8, int(bucket_rows / 4 * share))).orderBy(F.desc("count"), "code").limit(HOT))
+             .where(F.col("count") >= max(8, int(many * share))).orderBy(F.desc("count"), "code").limit(HOT))
     return np.sort(np.array([r.code for r in found.collect()], dtype=np.int64).view(np.uint64))
 
 
@@ -276,7 +278,8 @@ def _hot_spans(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
     """Removed spans of windows with a hot anchor, by joins on digests, so no code or passage is one group.
 
     Neighbouring hot runs are cut into units where their codes say so.  A unit equal to one of a smaller document goes
-    whole; of each different unit the smallest holder's windows are compared one by one.
+    whole.  Of each different unit the smallest holder's runs are compared in the same way, and of each different run
+    the windows: a change in a near copy opens only the runs that it touches.
     """
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,6 +304,17 @@ def _hot_spans(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
                 out.append((xxhash.xxh3_128_digest(unit), ids[t], marks[t], a, unit))
             yield _batch(UNIT, *zip(*out))
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in calls(batches, "segment", 1 << 18):
+            ords, marks, starts, rows = (batch[c].to_pylist() for c in ("ord", "mark", "start", "segment"))
+            runs = Runs(rows, length)
+            out = []
+            for t, a, b in zip(runs.text.tolist(), (runs.first - runs.begin[runs.text]).tolist(),
+                               (runs.last - runs.begin[runs.text] + length).tolist()):
+                run = rows[t][a:b]
+                out.append((xxhash.xxh3_128_digest(run), ords[t], marks[t], starts[t] + a, run))
+            yield _batch(UNIT, *zip(*out))
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in calls(batches, "segment", 1 << 18):
             out = [(xxhash.xxh3_128_digest(unit[k:k + length]), o, mark, a + k)
@@ -311,11 +325,17 @@ def _hot_spans(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
     def with_least(df: DataFrame) -> DataFrame:
         return df.join(df.groupBy("digest").agg(F.min("ord").alias("least")), "digest")
 
+    def holders(df: DataFrame) -> DataFrame:
+        return df.where("ord = least").select("ord", "mark", "start", "segment")
+
+    def whole(df: DataFrame) -> DataFrame:
+        return df.where("ord > least").select("ord", "mark", "start", (F.col("start") + F.octet_length("segment")).alias("end"))
+
     judged = with_least(written(texts.mapInArrow(units, UNIT), "suffix-units", 1024))
-    single = with_least(written(judged.where("ord = least").select("ord", "mark", "start", "segment")
-                                .mapInArrow(windows, WINDOW), "suffix-windows", 1024))
-    whole = judged.where("ord > least").select("ord", "mark", "start", (F.col("start") + F.octet_length("segment")).alias("end"))
-    return whole.unionByName(single.where("ord > least").select("ord", "mark", "start", (F.col("start") + length).alias("end")))
+    opened = with_least(written(holders(judged).mapInArrow(parts, UNIT), "suffix-runs", 1024))
+    single = with_least(written(holders(opened).mapInArrow(windows, WINDOW), "suffix-windows", 1024))
+    return whole(judged).unionByName(whole(opened)).unionByName(
+        single.where("ord > least").select("ord", "mark", "start", (F.col("start") + length).alias("end")))
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
