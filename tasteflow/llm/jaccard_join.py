@@ -22,7 +22,7 @@ may link by these make a pair, once however many groups they share.  For each
 class of the first one, the bits that the second one's union lacks bound its
 overlap with every member; only components that pass the bound are opened, large ones
 through an index of what sets their members apart, and the members found are compared
-one by one: first by sizes and bits, then by whole sets.
+one by one: first by sizes, bits and parity bits, then by whole sets.
 
 Scale: texts are read once for the groups and once more to keep those of classes
 that share a group.  Group leaders and unions are pre-aggregated; members meet
@@ -54,6 +54,7 @@ from tasteflow.llm.graph import components
 CALL = 1 << 20  # bytes of text, or of sets, handled at once
 ROWS = 256      # rows of an Arrow batch that hold whole texts or sets
 BITS = 1024     # hashed token bits of a set or a union
+PARITY = 256    # tokens from which on a set has parity bits, too: its hashed bits fill up
 LEADERS = 4     # leaders that a class is compared to in a round
 FEW = 8         # classes of a component that is opened class by class
 SPREAD = 140    # percent: sizes within one band differ by this factor at most (more for low thresholds)
@@ -157,18 +158,29 @@ def token_bits(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def token_parity(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the set's tokens falls on each place, in 64-bit words.
+
+    Each token in which two sets differ turns one place, so they differ in at least as many tokens as places.  There are
+    two to four places a token, always a power of two: the halves laid on each other are the set's bits on half the places.
+    """
+    places = 1 << (2 * len(tokens) - 1).bit_length()
+    odd = np.bincount((_mix(tokens ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(places)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
                        blob(text_col).alias("text"))
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, text_hash, n, node, digest, bits) per document; a task gives the bits of equal sets once."""
+    """(id, text_hash, n, node, digest, bits, parity) per document; a task gives the bits of equal sets once."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _WordHashes(), set()
         for batch in calls(batches, "text", CALL):
-            n, node, digests, bits = [], [], [], []
+            n, node, digests, bits, parity = [], [], [], [], []
             for tokens in shingle_sets(batch.column(2).to_pylist(), k, hashes):
                 digest = xxhash.xxh3_128_digest(tokens.tobytes())
                 new = len(tokens) and digest not in seen
@@ -176,15 +188,16 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFram
                 digests.append(digest)
                 node.append(int.from_bytes(digest[:8], "little", signed=True))
                 bits.append(token_bits(tokens) if new else None)
+                parity.append(token_parity(tokens) if new and len(tokens) >= PARITY else None)
                 seen.add(digest)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
-                names=["id", "text_hash", "n", "node", "digest", "bits"])
+                 pa.array(digests, pa.binary()), pa.array(bits, pa.list_(pa.int64())), pa.array(parity, pa.list_(pa.int64()))],
+                names=["id", "text_hash", "n", "node", "digest", "bits", "parity"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return _texts(docs, id_col, text_col).mapInArrow(
-        kernel, f"id {id_type}, text_hash bigint, n bigint, node bigint, digest binary, bits array<bigint>")
+        kernel, f"id {id_type}, text_hash bigint, n bigint, node bigint, digest binary, bits array<bigint>, parity array<bigint>")
 
 
 def _index(docs: DataFrame, text_col: str, k: int, pct: int) -> DataFrame:
@@ -216,9 +229,25 @@ def _missing(a: Column, b: Column) -> Column:
                        F.lit(0), lambda s, x: s + x)
 
 
+def _halved(parity: Column) -> Column:
+    half = F.floor(F.size(parity) / 2).cast("int")
+    return F.zip_with(F.slice(parity, F.lit(1), half), F.slice(parity, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """Places in which the parity bits differ; null unless both sets have some, on as many places or twice as many."""
+    return F.aggregate(F.zip_with(F.when(F.size(a) == 2 * F.size(b), _halved(a)).otherwise(a),
+                                  F.when(F.size(b) == 2 * F.size(a), _halved(b)).otherwise(b),
+                                  lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def _plausible(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """The pairs (a, b, ...) that sizes and bits do not rule out."""
+    """The pairs (a, b, ...) that sizes, bits and parity bits do not rule out.
+
+    The hashed bits of a large set are nearly all set and rule nothing out, so pairs that pass meet the parity bits.
+    """
     side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    odd = lambda c: sets.where("parity is not null").select(F.col("node").alias(c), F.col("parity").alias(f"odd_{c}"))
     most = F.floor((F.col("n_a") + F.col("n_b")) * (100 - pct) / (100 + pct))
     own_a, own_b = _missing(F.col("bits_a"), F.col("bits_b")), _missing(F.col("bits_b"), F.col("bits_a"))
     both = (F.col("n_a") + F.col("n_b")) * pct  # of it (100 + pct) parts are shared tokens at least
@@ -226,7 +255,8 @@ def _plausible(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * pct)
         & (own_a + own_b <= most)
         & ((F.col("n_a") - own_a) * (100 + pct) >= both) & ((F.col("n_b") - own_b) * (100 + pct) >= both)
-    ).select(*pairs.columns)
+    ).select(*pairs.columns, most.alias("most")).join(odd("a"), "a", "left").join(odd("b"), "b", "left").where(
+        F.coalesce(_differing(F.col("odd_a"), F.col("odd_b")), F.lit(0)) <= F.col("most")).select(*pairs.columns)
 
 
 def _nearest(stars: DataFrame) -> DataFrame:
@@ -416,7 +446,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     names = written(by_node.select("node", "first.id", "first.text_hash", "d0", "d1"), "classes")
     if names.where("d0 <> d1").limit(1).count():
         raise ValueError("two sets share a 64-bit node")
-    sets = written(rows.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"]), "sets")
+    sets = written(rows.where("bits is not null").select("node", "n", "bits", "parity").dropDuplicates(["node"]), "sets")
 
     # the largest table here by far: dealt by key once, for the groups and for their members
     index = _index(docs, text_col, k, pct).repartition("key")
@@ -443,7 +473,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     alike = open_.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     open_ = open_.join(alike.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
-    open_ = written(open_.join(sets, "node"), "open")
+    open_ = written(open_.join(sets.drop("parity"), "node"), "open")
     rest = _candidates(_component_pairs(open_, pct), open_.select("node", "root", "n", "bits").dropDuplicates(["node"]), pct)
     more = _linked(_plausible(rest, sets, pct), texts, k, pct)
     edges = more if roots is None else more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))

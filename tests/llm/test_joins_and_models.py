@@ -447,6 +447,27 @@ def test_jaccard_join_few_leaders_a_class(spark):
     assert {r.a % 3 for r in jaccard_join._nearest(stars).collect()} == {2}
 
 
+def test_jaccard_join_parity_bits_rule_out_large_sets(spark):
+    rng = np.random.default_rng(7)
+    rows, pairs, linked = [], [], set()
+    cases = [(3000, 3000, 2000), (3000, 3000, 2500), (3000, 3000, 2668), (1030, 1010, 910), (1030, 1010, 650), (300, 300, 200),
+             (300, 300, 270), (260, 250, 235)]
+    for at, (n_a, n_b, shared) in enumerate(cases):
+        tokens = rng.integers(0, 2**64, n_a + n_b - shared, dtype=np.uint64)
+        sets = np.sort(tokens[:n_a]), np.sort(tokens[n_a - shared:])
+        for node, x in zip((2 * at, 2 * at + 1), sets):
+            parity = [int(w) for w in jaccard_join.token_parity(x)] if len(x) >= jaccard_join.PARITY else None
+            rows.append((node, len(x), [int(w) for w in jaccard_join.token_bits(x)], parity))
+        pairs.append((2 * at, 2 * at + 1))
+        both = len(np.intersect1d(*sets))
+        if 100 * both >= 80 * (len(sets[0]) + len(sets[1]) - both):
+            linked.add(pairs[-1])
+    df = spark.createDataFrame(rows, "node long, n long, bits array<long>, parity array<long>")
+    kept = {tuple(r) for r in jaccard_join._plausible(spark.createDataFrame(pairs, "a long, b long"), df, 80).collect()}
+    assert len(linked) == 4 and linked <= kept  # no link is lost, on different numbers of places either
+    assert not kept & {(0, 1), (2, 3), (8, 9), (10, 11)}
+
+
 def test_jaccard_join_stores_no_keys(spark):
     docs = spark.createDataFrame([(i, f"one two three four {i}") for i in range(4)], "doc_id long, text string")
     assert "keys" not in jaccard_join._signatures(docs, "doc_id", "text", 3).columns
