@@ -53,6 +53,21 @@ def test_grid_and_best(spark):
     assert best.rmse == min(r.rmse for r in rows)
 
 
+def test_grid_frees_what_its_fits_leave(spark):
+    import inspect
+    import time
+
+    held = lambda: set(dict(spark.sparkContext._jsc.getPersistentRDDs()))
+    ratings, before = low_rank_ratings(spark, n_users=30, n_items=20), held()
+    train, test = als.holdout_split(ratings, seed=2)
+    assert als.tune_grid(train, test, ranks=(2, 3, 4), reg_params=(0.01, 1.0), max_iter=2, seed=1, parallelism=1).count() == 6
+    until = time.time() + 20  # each fit caches two tables of factors; the last one's may wait for the next collection
+    while len(held() - before) > 2 and time.time() < until:
+        time.sleep(0.2)  # the cleaner works beside the driver
+    assert len(held() - before) <= 2
+    assert inspect.signature(als.fit_als).parameters["checkpoint_interval"].default == 1  # ALS deletes older shuffles there
+
+
 def test_same_seed_same_split_and_factors(spark):
     ratings = low_rank_ratings(spark, n_users=20, n_items=15)
     a_train, _ = als.holdout_split(ratings, seed=11)
