@@ -8,7 +8,8 @@ ratings, one list per asking user (empty when nothing scored) -> append.
 Ratings are live.  The stored ratings are the initial state; ``ratings_source``
 streams in ratings that others store meanwhile, and ``store_ratings`` adds
 the events themselves.  The similarity table is a snapshot taken at start, as in
-the original job: an ordinary partitioned table, joined by item.  ``refresh``
+the original job: an ordinary partitioned table, joined by item, or the factors
+that it comes from, of which a batch computes the rows that it reads.  ``refresh``
 takes a new one, ``close`` drops it.  Nothing is collected to the driver.
 """
 
@@ -20,6 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteflow.operators import realtime
+from tasteflow.operators.similarity import clean_factors, cosine_pairs, similar_lists
+from tasteflow.schemas import FACTOR
+from tasteflow.session import scratch_dir
 from tasteflow.sources.text import parse_rating_events
 from tasteflow.streaming import history, sink
 from tasteflow.streaming.logs import read_line_stream
@@ -41,14 +45,47 @@ class SimilaritySnapshot:
         """The rows of the given items (``mid``)."""
         return items.sparkSession.table(self.name).join(items.select("mid").distinct(), "mid", "left_semi")
 
+    def partners(self, asked: DataFrame, words: DataFrame, k: int) -> DataFrame:
+        """What :func:`realtime.unseen_by_words` reads."""
+        return self.of(asked)
+
+    def pairs(self, candidates: DataFrame, recent: DataFrame) -> DataFrame:
+        """What :func:`realtime.realtime_scores` reads."""
+        return self.of(candidates)
+
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+class FactorSimilarity:
+    """The similarity table of item factors, of which each batch computes the rows that it reads.
+
+    The table grows with the square of the items; the snapshot is a stored copy of the factors.
+    """
+
+    def __init__(self, factors: DataFrame, threshold: float):
+        self.sparkSession, self.threshold = factors.sparkSession, threshold
+        self.path = scratch_dir(self.sparkSession, "factors")
+        clean_factors(factors).write.parquet(self.path)
+
+    def _factors(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(FACTOR).parquet(self.path)
+
+    def partners(self, asked: DataFrame, words: DataFrame, k: int) -> DataFrame:
+        lists = similar_lists(self._factors(asked.sparkSession), self.threshold, reach=realtime.item_reach(asked, words, k))
+        return lists.withColumnRenamed("rank", "place")
+
+    def pairs(self, candidates: DataFrame, recent: DataFrame) -> DataFrame:
+        return cosine_pairs(self._factors(candidates.sparkSession), self.threshold, asked=realtime.scored_pairs(candidates, recent))
+
+    def drop(self) -> None:
+        pass
+
+
 class RealtimeRecommender:
     def __init__(
         self,
-        similarity: DataFrame,
+        similarity: DataFrame | FactorSimilarity,
         ratings: DataFrame | None,
         table: str,
         recent_k: int = RECENT_K,
@@ -60,22 +97,27 @@ class RealtimeRecommender:
         rejects_to: str | None = None,
         metrics_to: str | None = None,
     ):
-        """``ratings``: stored ones, the initial state of a new checkpoint.  ``table``: folder of the suggestion table.
+        """``similarity``: the table, stored at once, or the factors of a table that grows too large.
+
+        ``ratings``: stored ones, the initial state of a new checkpoint.  ``table``: folder of the suggestion table.
 
         ``store_ratings``: each batch's events count as ratings from the next batch on.  ``rejects_to``: folder for
         malformed lines, written by a query of its own.  ``metrics_to``: folder for the durations of the batches.
         """
         self.spark, self.buckets = similarity.sparkSession, similarity_buckets
-        self.similarity = SimilaritySnapshot(similarity, similarity_buckets)
+        self.similarity = self._snapshot(similarity)
         self.ratings, self.table = ratings, table
         self.recent_k, self.candidate_k = recent_k, candidate_k
         self.min_sim, self.boost_above = min_sim, boost_above
         self.store_ratings, self.rejects_to, self.metrics_to = store_ratings, rejects_to, metrics_to
         self.query = self.rejects = self.times = None
 
-    def refresh(self, similarity: DataFrame) -> None:
+    def _snapshot(self, similarity: DataFrame | FactorSimilarity) -> SimilaritySnapshot | FactorSimilarity:
+        return similarity if isinstance(similarity, FactorSimilarity) else SimilaritySnapshot(similarity, self.buckets)
+
+    def refresh(self, similarity: DataFrame | FactorSimilarity) -> None:
         """Take a new similarity snapshot; call between micro-batches."""
-        old, self.similarity = self.similarity, SimilaritySnapshot(similarity, self.buckets)
+        old, self.similarity = self.similarity, self._snapshot(similarity)
         old.drop()
 
     def close(self) -> None:
@@ -93,12 +135,13 @@ class RealtimeRecommender:
 
     def candidates(self, asked: DataFrame) -> DataFrame:
         """(uid, rank, mid, sim) for each row of :func:`history.asked`."""
-        return realtime.unseen_by_words(asked, self.similarity.of(asked), history.words_of(asked), self.candidate_k)
+        words = history.words_of(asked)
+        return realtime.unseen_by_words(asked, self.similarity.partners(asked, words, self.candidate_k), words, self.candidate_k)
 
     def lists(self, asked: DataFrame, candidates: DataFrame) -> DataFrame:
         """(uid, recs, event_time, event_mid, event_score): the scored candidates of each asking user."""
-        scores = realtime.realtime_scores(candidates, history.recent_of(asked), self.similarity.of(candidates), self.min_sim,
-                                          self.boost_above)
+        recent = history.recent_of(asked)
+        scores = realtime.realtime_scores(candidates, recent, self.similarity.pairs(candidates, recent), self.min_sim, self.boost_above)
         users = asked.select("uid", F.col("timestamp").alias("event_time"), F.col("mid").alias("event_mid"),
                              F.col("score").alias("event_score"))
         return realtime.user_lists(users, scores, distinct_users=False)

@@ -287,3 +287,29 @@ def test_stream_result_independent_of_arrival_order(spark, tmp_dir):
     want = registry.realtime_lists(spark, sf).select(*key)
     r = lambda df: sorted((a, b, c, round(d, 6)) for a, b, c, d in df.collect())
     assert r(got) == r(want)
+
+
+def test_factor_similarity_gives_the_lists_of_the_stored_table(spark, tmp_dir):
+    """Batches compute the rows that they read, in which every list is as from the whole table."""
+    import numpy as np
+
+    from tasteflow.operators import similarity
+    from tasteflow.streaming.recommender import FactorSimilarity
+
+    rng = np.random.default_rng(4)
+    factors = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)], "id int, features array<double>")
+    ratings = stored(spark, [(u, int(m), float(m % 5 + 1), t) for u in range(6) for t, m in enumerate(rng.integers(0, 60, 12))])
+    events = os.path.join(tmp_dir, "events")
+    say(spark, events, *(f"{u}|{m}|4.0|{100 + u}" for u, m in enumerate((3, 9, 27, 41, 999))))
+    pairs = similarity.cosine_pairs(factors, 0.1)
+    got = {}
+    for name, source in (("table", pairs), ("factors", FactorSimilarity(factors, 0.1))):
+        job = RealtimeRecommender(source, ratings, os.path.join(tmp_dir, name), min_sim=0.1)
+        job.start(spark, events, os.path.join(tmp_dir, f"{name}-ck"), trigger={"availableNow": True}).awaitTermination()
+        got[name] = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in sink.newest_lists(spark, job.table).collect()}
+        job.close()
+    assert got["factors"] == got["table"] and sum(map(len, got["table"].values())) > 20
+    reach = spark.createDataFrame([(5, 2), (5, 3), (7, 1), (99, 4)], "mid int, reach int")
+    some = similarity.similar_lists(factors, 0.1, reach=reach).collect()
+    whole = similarity.similar_lists(factors, 0.1).where("(mid = 5 and rank <= 3) or (mid = 7 and rank <= 1)").collect()
+    assert sorted(map(tuple, some)) == sorted(map(tuple, whole)) and len(some) == 4
