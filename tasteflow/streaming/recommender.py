@@ -45,6 +45,10 @@ class SimilaritySnapshot:
         """The rows of the given items (``mid``)."""
         return items.sparkSession.table(self.name).join(items.select("mid").distinct(), "mid", "left_semi")
 
+    def known(self, asked: DataFrame) -> DataFrame:
+        """The rows whose item is in the table: no other has a candidate."""
+        return asked.join(asked.sparkSession.table(self.name).select("mid").distinct(), "mid", "left_semi")
+
     def partners(self, asked: DataFrame, words: DataFrame, k: int) -> DataFrame:
         """What :func:`realtime.unseen_by_words` reads."""
         return self.of(asked)
@@ -71,6 +75,10 @@ class FactorSimilarity:
     def _factors(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(FACTOR).parquet(self.path)
 
+    def known(self, asked: DataFrame) -> DataFrame:
+        """The rows whose item has factors: no other has a candidate."""
+        return asked.join(self._factors(asked.sparkSession).select(F.col("id").alias("mid")).distinct(), "mid", "left_semi")
+
     def partners(self, asked: DataFrame, words: DataFrame, k: int) -> DataFrame:
         lists = similar_lists(self._factors(asked.sparkSession), self.threshold, reach=realtime.item_reach(asked, words, k))
         return lists.withColumnRenamed("rank", "place")
@@ -110,6 +118,8 @@ class RealtimeRecommender:
         self.recent_k, self.candidate_k = recent_k, candidate_k
         self.min_sim, self.boost_above = min_sim, boost_above
         self.store_ratings, self.rejects_to, self.metrics_to = store_ratings, rejects_to, metrics_to
+        self.batch = scratch_dir(self.spark, "batch")  # tables of one batch, replaced by the next
+        self.adaptive = self.spark.conf.get("spark.sql.adaptive.enabled")
         self.query = self.rejects = self.times = None
 
     def _snapshot(self, similarity: DataFrame | FactorSimilarity) -> SimilaritySnapshot | FactorSimilarity:
@@ -133,27 +143,40 @@ class RealtimeRecommender:
             self.times.write(self.spark, self.metrics_to)
             self.times = None
 
+    def known(self, asked: DataFrame) -> DataFrame:
+        """The rows of :func:`history.asked` that can have candidates, for :meth:`candidates` and :meth:`lists`."""
+        return history.rated_counts(self.similarity.known(asked))
+
     def candidates(self, asked: DataFrame) -> DataFrame:
         """(uid, rank, mid, sim) for each row of :func:`history.asked`."""
         words = history.words_of(asked)
         return realtime.unseen_by_words(asked, self.similarity.partners(asked, words, self.candidate_k), words, self.candidate_k)
 
-    def lists(self, asked: DataFrame, candidates: DataFrame) -> DataFrame:
+    def lists(self, asked: DataFrame, candidates: DataFrame, known: DataFrame | None = None) -> DataFrame:
         """(uid, recs, event_time, event_mid, event_score): the scored candidates of each asking user."""
-        recent = history.recent_of(asked)
+        recent = history.recent_of(asked if known is None else known)
         scores = realtime.realtime_scores(candidates, recent, self.similarity.pairs(candidates, recent), self.min_sim, self.boost_above)
         users = asked.select("uid", F.col("timestamp").alias("event_time"), F.col("mid").alias("event_mid"),
                              F.col("score").alias("event_score"))
         return realtime.user_lists(users, scores, distinct_users=False)
 
+    def _stored(self, rows: DataFrame, name: str) -> DataFrame:
+        path = f"{self.batch}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def process_batch(self, asked: DataFrame, batch_id: int) -> None:
-        asked = asked.persist()  # the stateful operator runs once; several joins read its rows
-        candidates = self.candidates(asked).persist()
+        spark, name = asked.sparkSession, "spark.sql.adaptive.enabled"
+        before = spark.conf.get(name)
+        spark.conf.set(name, self.adaptive)  # off in a stream for its state; a batch's joins have no state
         try:
-            sink.append_lists(self.lists(asked, candidates), self.table, batch_id)
+            # the stateful operator runs once, in the partitions of its state; several joins read the stored rows
+            asked = self._stored(asked, "asked")
+            known = self._stored(self.known(asked), "known")
+            candidates = self._stored(self.candidates(known), "candidates")
+            sink.append_lists(self.lists(asked, candidates, known), self.table, batch_id)
         finally:
-            candidates.unpersist()
-            asked.unpersist()
+            spark.conf.set(name, before)
         if self.times is not None and batch_id % 50 == 49:
             self.times.write(asked.sparkSession, self.metrics_to)
 

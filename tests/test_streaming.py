@@ -313,3 +313,45 @@ def test_factor_similarity_gives_the_lists_of_the_stored_table(spark, tmp_dir):
     some = similarity.similar_lists(factors, 0.1, reach=reach).collect()
     whole = similarity.similar_lists(factors, 0.1).where("(mid = 5 and rank <= 3) or (mid = 7 and rank <= 1)").collect()
     assert sorted(map(tuple, some)) == sorted(map(tuple, whole)) and len(some) == 4
+
+
+def test_users_share_a_row_of_state(spark, tmp_dir, monkeypatch):
+    """Stored ratings of 1,000 users enter as a row per bucket, and each list is of its own user."""
+    monkeypatch.setattr(history, "BUCKETS", 16)
+    kept = spark.range(3000).selectExpr("CAST(id % 1000 AS INT) uid", "CAST(id AS INT) mid", "4.0D score", "id AS timestamp")
+    source = os.path.join(tmp_dir, "ev")
+    spark.createDataFrame([(u, 70, 5.0, 10**6, True) for u in range(0, 1200, 3)], EVENTS).write.parquet(source)
+    seen = []
+    got, query = run_history(spark, source, os.path.join(tmp_dir, "ck"), kept, False, seen, recent_k=2)
+    assert seen == [400] and set(got) == set(range(0, 1200, 3))
+    for u, (event, recent, rated) in got.items():
+        mine = [] if u >= 1000 else [u + 2000, u + 1000, u]
+        assert event == (10**6, 70, 5.0) and recent == [(m, m, 4.0) for m in mine[:2]] and rated == set(mine)
+    assert [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"][0]["numRowsTotal"] <= 3 * 16
+
+
+def test_packed_events_go_by_age_as_sparks_rows(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    values = [(None, 1, 1.0), (1, None, 1.0), (1, 1, None), (1, 1, float("nan")), (1, 1, 2.0), (2, 0, 0.0), (-3, -70, -1.0)]
+    columns = [pa.array([7] * len(values), pa.int32()), *(pa.array(c, t) for c, t in zip(zip(*values), (pa.int64(), pa.int32(), pa.float64())))]
+    events = history._events(pa.RecordBatch.from_arrays(columns, ["uid", *history.FIELDS]))
+    order = sorted(range(len(values)), key=lambda i: history._order(values[i]))
+    assert np.lexsort(history._age(events)).tolist() == order and history._last(events).tolist() == order[-1:]
+    assert [history._newest(events, k).tobytes() for k in (1, 3, 9)] == [events[order[::-1][:k]].tobytes() for k in (1, 3, 9)]
+    words = history._merged(history._words(events))
+    assert {int(w["word"]) * 64 + i for w in words for i in range(64) if int(w["bits"]) >> i & 1} == {1, 0, -70}
+
+
+def test_a_batch_gives_the_same_lists_where_few_items_are_known(spark, tmp_dir):
+    """Users whose item is in no pair get an empty list; the batch's tables have no row per shuffle partition."""
+    sims = spark.createDataFrame([(100, 200, 0.9), (100, 201, 0.8), (200, 10, 0.8), (201, 10, 0.7)], SIMS)
+    events = os.path.join(tmp_dir, "events")
+    say(spark, events, "1|100|5.0|9", "2|7|5.0|9", "3|100|4.0|9")
+    job = RealtimeRecommender(sims, stored(spark, [(1, 10, 4.0, 1), (3, 10, 2.0, 1), (3, 200, 3.0, 0)]), os.path.join(tmp_dir, "recs"))
+    job.start(spark, events, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True}).awaitTermination()
+    assert lists(spark, job) == {1: [200, 201], 2: [], 3: [201]}
+    known = spark.read.parquet(f"{job.batch}/known").orderBy("uid").collect()
+    assert [(r.uid, r.n_rated) for r in known] == [(1, 1), (3, 2)]
+    job.close()
